@@ -281,6 +281,7 @@ def retrieve(requests: DataFrame, logs: DataFrame, k: int = 10) -> DataFrame:
     branches answers.  Starts jobs (see :func:`nearest`).  Result: request_id, log_id, timestamp, log_line, similarity,
     retrieval_method, rank.
     """
+    requests = cut_lineage(requests)
     by_template = template_hits(requests, logs, k)
     found = _branch(by_template, "template", F.lit(TEMPLATE_SCORE), F.lit(0))
     if "embedding" in requests.columns and "embedding" in logs.columns:
@@ -412,10 +413,11 @@ def within_window(newest: Column, start: Column) -> Column:
 def window_summary(incidents: DataFrame, logs: DataFrame, hours: DataFrame, as_of: str) -> DataFrame:
     """One row per distinct value of ``hours``: incidents of the window and their context.
 
+    Starts jobs (see :func:`retrieve`).
     The newest incidents of a trailing window are the newest incidents overall that
     fall into it, so the two short lists are built once and cut per window.
     """
-    windows = hours.select(F.col("hours").cast("bigint").alias("hours")).distinct()
+    windows = cut_lineage(hours.select(F.col("hours").cast("bigint").alias("hours")).distinct())
     windows = windows.withColumn("cutoff", instant(as_of) - F.make_dt_interval(F.lit(0), F.col("hours").cast("int")))
     counted = counts_by_hours(incidents, "detected_at", windows, as_of, "n_incidents")
     extra = ["embedding"] if "embedding" in incidents.columns else []

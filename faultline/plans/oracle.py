@@ -530,3 +530,22 @@ put("audit_events", [*_gate, governed(False), "steps AS (SELECT *, string_split(
   SELECT request_id, seq, requested_at, tool_name, incident_id, step AS status, CASE WHEN step <> 'validated' THEN approved_by END AS approved_by,
     CASE WHEN step = 'validation_failed' THEN error END AS error FROM (
     SELECT *, unnest(a) AS step, CAST(generate_subscripts(a, 1) - 1 AS INT) AS seq FROM steps)""")
+
+# -- streams, drained to the end
+_stamped = "strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') || substring(log_line, 11)"
+put("stream_logs", [LOGS], f"""SELECT {_stamped} AS log_line, date_trunc('second', "timestamp") AS event_time FROM logs""")
+put("stream_ingest", [LOGS, f"stamped AS (SELECT {_stamped} AS line, \"timestamp\" AS t FROM logs)"], f"""SELECT line AS log_line,
+  date_trunc('second', t) AS timestamp, CAST({ingest_flag('line')} AS INT) AS is_anomaly, {template('line')} AS template_pattern,
+  len({keywords('line')}[1:20]) AS keywords FROM stamped""")
+put("stream_triage", [LOGS], f"""SELECT incident_id, detected_at, CASE WHEN tool_name = 'ESCALATE' THEN detected_at END AS resolved_at,
+  log_line, summary, CASE WHEN tool_name = 'ESCALATE' THEN 'resolved' ELSE 'open' END AS status, tool_name,
+  CASE WHEN tool_name = 'ESCALATE' THEN 'ready' ELSE 'rejected' END AS action_status,
+  CASE WHEN tool_name = 'ESCALATE' THEN 'Tool ''ESCALATE'' ready (approved by auto_approved)' ELSE 'Action rejected by approval gate' END AS message,
+  CAST(2 AS BIGINT) AS audit_steps FROM (SELECT log_id AS incident_id, "timestamp" AS detected_at, log_line,
+    {diagnosis('log_line')} AS summary, {diagnosed_action('log_line')} AS tool_name FROM logs WHERE {monitor_flag()})""")
+_stream_rules = ", ".join(f"('{p}', '{r}')" for p, r in text.PATTERN_REGEX.items())
+put("stream_alerts", [LOGS, f"rules(pattern, regex) AS (VALUES {_stream_rules})"], """SELECT window_start,
+  window_start + INTERVAL 1 HOUR AS window_end, pattern, count(*) AS matches, CAST(2 AS BIGINT) AS threshold, 'ESCALATE' AS action FROM (
+    SELECT date_trunc('hour', "timestamp") AS window_start, pattern FROM logs JOIN rules ON regexp_matches(log_line, regex))
+  GROUP BY window_start, pattern HAVING count(*) >= 2
+    AND window_start + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM logs)""")
