@@ -18,9 +18,15 @@ IP_MASK, IP_SHAPE = "<IP>", r"^\p{Nd}+\.\p{Nd}+\.\p{Nd}+\.\p{Nd}+$"
 HEX_MASK, HEX_SHAPE = "<HEX>", r"^0x[0-9a-fA-F]+$"
 PATH_MASK = "<PATH>"
 
-# All Unicode white space, which Java's \s does not cover.
+# All Unicode white space, which Java's \s does not cover: as a class and as a set.
 WHITESPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
-NON_WORD = r"[^\p{L}\p{N}_]+"
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+# Three or more ASCII letters with no letter, digit or underscore on either side.
+WORD = r"(?<![\p{L}\p{N}_])[a-z]{3,}+(?![\p{L}\p{N}_])"
 
 TEMPLATE_TOKEN_CHARS = 8
 MAX_KEYWORDS = 20
@@ -28,21 +34,23 @@ MAX_KEYWORDS = 20
 
 def strip(line: Column) -> Column:
     """Trim Unicode white space on both ends."""
-    return F.regexp_replace(line, f"^{WHITESPACE}|{WHITESPACE}$", "")
+    return F.btrim(line, F.lit(WHITESPACE_CHARS))
 
 
 def tokens(line: Column) -> Column:
-    return F.filter(F.split(line, WHITESPACE), lambda t: t != "")
+    return F.array_remove(F.split(line, WHITESPACE), "")
 
 
 def mask(token: Column) -> Column:
-    return (
+    """Mask of one token; only tokens that begin with a digit meet the digit shapes."""
+    other = F.when(token.contains("/") | token.contains("\\"), PATH_MASK).otherwise(token)
+    return F.when(
+        token.rlike(r"^\p{Nd}"),
         F.when(token.rlike(NUMBER_SHAPE), NUMBER_MASK)
         .when(token.rlike(IP_SHAPE), IP_MASK)
         .when(token.rlike(HEX_SHAPE), HEX_MASK)
-        .when(token.contains("/") | token.contains("\\"), PATH_MASK)
-        .otherwise(token)
-    )
+        .otherwise(other),
+    ).otherwise(other)
 
 
 def masked_tokens(line: Column) -> Column:
@@ -79,7 +87,7 @@ def jaccard(left: Column, right: Column) -> Column:
 
 def words(line: Column) -> Column:
     """Lower-case runs of three or more ASCII letters that stand alone as words."""
-    return F.filter(F.split(F.lower(line), NON_WORD), lambda w: w.rlike("^[a-z]{3,}$"))
+    return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
 
 
 def keywords(line: Column, max_keywords: int | None = MAX_KEYWORDS) -> Column:

@@ -25,7 +25,9 @@ QUERY_KEYWORDS, HITS_PER_KEYWORD = 3, 5
 # Matrix products add up in an order that depends on the batch, so similarities
 # are rounded before they are ranked: equal vectors then tie exactly.
 SIMILARITY_DIGITS = 9
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES, QUERY_CHUNK = 16 << 20, 512
+# Distinct incident lines up to this size are broadcast; more are joined by shuffle.
+BROADCAST_BYTES = 8 << 20
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -66,17 +68,23 @@ def _best_of_partition(
             rows = _normalised(flat.astype(np.float64).reshape(batch.num_rows, dim))
             at = batch.column("micros").to_numpy(zero_copy_only=False)
             log_id = batch.column("log_id").to_numpy(zero_copy_only=False)
-            scores = np.round(rows @ queries.T, SIMILARITY_DIGITS) + 0.0
-            eligible = (scores >= floor) & (at[:, None] >= cutoffs[None, :])
-            for j in np.flatnonzero(eligible.any(axis=0)):
-                pick = np.flatnonzero(eligible[:, j])
-                s = np.concatenate([sims[j], scores[pick, j]])
-                t = np.concatenate([times[j], at[pick]])
-                i = np.concatenate([logs[j], log_id[pick]])
-                top = np.lexsort((i, -t, -s))[:k]
-                sims[j], times[j], logs[j] = s[top], t[top], i[top]
-                if len(top) == k:
-                    floor[j] = sims[j][-1]
+            for start in range(0, n, QUERY_CHUNK):
+                part = slice(start, start + QUERY_CHUNK)
+                scores = np.round(queries[part] @ rows.T, SIMILARITY_DIGITS) + 0.0
+                scores[at[None, :] < cutoffs[part, None]] = -np.inf
+                least = floor[part]
+                if batch.num_rows > k:
+                    least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+                eligible = (scores >= least[:, None]) & (scores > -np.inf)
+                for j in np.flatnonzero(eligible.any(axis=1)):
+                    q, pick = start + j, np.flatnonzero(eligible[j])
+                    s = np.concatenate([sims[q], scores[j, pick]])
+                    t = np.concatenate([times[q], at[pick]])
+                    i = np.concatenate([logs[q], log_id[pick]])
+                    top = np.lexsort((i, -t, -s))[:k]
+                    sims[q], times[q], logs[q] = s[top], t[top], i[top]
+                    if len(top) == k:
+                        floor[q] = sims[q][-1]
         counts = [len(s) for s in sims]
         if sum(counts):
             yield pa.RecordBatch.from_arrays(
@@ -306,14 +314,23 @@ def retrieve(requests: DataFrame, logs: DataFrame, k: int = 10) -> DataFrame:
 def incident_requests(
     incidents: DataFrame, logs: DataFrame, as_of: str, hours: int = 1, with_summary: bool = True
 ) -> DataFrame:
-    """Retrieval requests for incidents: template by equal line, query from the text."""
+    """Retrieval requests for incidents: template by equal line, query from the text.
+
+    Starts jobs.  The incidents are written out; if their lines are few enough to be
+    broadcast, only the logs with one of those lines are grouped by line.
+    """
     query = F.concat_ws(" ", "log_line", F.coalesce("summary", F.lit(""))) if with_summary else F.col("log_line")
-    extra = [c for c in ("embedding",) if c in incidents.columns]
+    extra = ["embedding"] if "embedding" in incidents.columns else []
     asked = incidents.select(
-        F.col("incident_id").alias("request_id"), query.alias("query_text"), cutoff(as_of, hours).alias("cutoff"), *extra
+        F.col("incident_id").alias("request_id"), "log_line", query.alias("query_text"), cutoff(as_of, hours).alias("cutoff"), *extra
     )
-    template = incident_template(incidents, logs).withColumnRenamed("incident_id", "request_id")
-    return asked.join(template, "request_id", "left")
+    asked = cut_lineage(asked)
+    lines = asked.select("log_line").distinct()
+    size = lines.agg(F.sum(F.octet_length("log_line") + 16)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        logs = logs.join(F.broadcast(lines), "log_line", "left_semi")
+    template = incident_template(asked.withColumnRenamed("request_id", "incident_id"), logs)
+    return asked.drop("log_line").join(template.withColumnRenamed("incident_id", "request_id"), "request_id", "left")
 
 
 def hybrid_retrieve(incidents: DataFrame, logs: DataFrame, as_of: str, hours: int = 1, k: int = 10) -> DataFrame:

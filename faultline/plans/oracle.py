@@ -327,13 +327,19 @@ put("summary_quality", [SUMMARIES], f"""SELECT n AS total_summaries, round(len,
     SELECT count(*) AS n, coalesce(avg(length(said)), 0) AS len,
       CASE WHEN count(*) > 0 THEN count(*) FILTER ({_relevant}) / count(*) * 100 ELSE 0 END AS cov FROM (
         SELECT lower(substring(log_line, 1, 100)) AS line, lower(summary) AS said FROM summaries))""")
-put("action_usefulness", [ORDER_INCIDENTS, ACTIONS], f"""SELECT total_incidents, CASE WHEN total_incidents > 0 THEN a ELSE 0 END AS total_actions,
+
+
+def usefulness(incident_table: str, since: str) -> str:
+    return f"""SELECT total_incidents, CASE WHEN total_incidents > 0 THEN a ELSE 0 END AS total_actions,
   CASE WHEN total_incidents > 0 THEN i ELSE 0 END AS distinct_incidents, CASE WHEN total_incidents > 0 THEN u ELSE 0 END AS useful_actions,
   CASE WHEN total_incidents > 0 AND a > 0 THEN u / a * 100 ELSE 0 END AS usefulness_rate FROM (
     SELECT count(*) AS a, count(DISTINCT incident_id) AS i, count(*) FILTER (incident_id IN (
-        SELECT incident_id FROM order_incidents WHERE status = 'resolved')) AS u
+        SELECT incident_id FROM {incident_table} WHERE status = 'resolved')) AS u
       FROM (SELECT * FROM actions ORDER BY executed_at DESC, action_id LIMIT 100)),
-    (SELECT count(*) AS total_incidents FROM order_incidents WHERE detected_at >= {hours_ago(720, ORDERS_NOW)})""")
+    (SELECT count(*) AS total_incidents FROM {incident_table} WHERE detected_at >= {since})"""
+
+
+put("action_usefulness", [ORDER_INCIDENTS, ACTIONS], usefulness("order_incidents", hours_ago(720, ORDERS_NOW)))
 put("log_totals", [LOGS], "SELECT count(*) AS total_logs, CAST(coalesce(sum(is_anomaly), 0) AS BIGINT) AS total_anomalies FROM logs")
 put("evaluate_rules", [LOGS, INCIDENTS, patterns(168)], """SELECT *, matches >= threshold AS fires FROM (
   SELECT rules.*, (SELECT count(*) FROM (SELECT log_line FROM logs ORDER BY log_id DESC LIMIT 1000) WHERE regexp_matches(log_line, regex)) AS matches FROM rules)""")
@@ -530,6 +536,14 @@ put("audit_events", [*_gate, governed(False), "steps AS (SELECT *, string_split(
   SELECT request_id, seq, requested_at, tool_name, incident_id, step AS status, CASE WHEN step <> 'validated' THEN approved_by END AS approved_by,
     CASE WHEN step = 'validation_failed' THEN error END AS error FROM (
     SELECT *, unnest(a) AS step, CAST(generate_subscripts(a, 1) - 1 AS INT) AS seq FROM steps)""")
+put("evaluation_report", [LOGS, INCIDENTS, ACTIONS], f"""SELECT '{AS_OF}' AS timestamp, d.total_logs, true_anomalies,
+  tp AS detected_anomalies, fp AS false_positives, fn AS false_negatives, round(precision, 2) AS precision, round(recall, 2) AS recall,
+  round(f1_score, 2) AS f1_score, round(l.average, 2) AS latency_average, round(l.min, 2) AS latency_min, round(l.max, 2) AS latency_max,
+  total_summaries, avg_length, keyword_coverage, informativeness_score, u.total_incidents AS recent_total_incidents,
+  u.total_actions AS recent_total_actions, useful_actions AS recent_useful_actions, usefulness_rate AS recent_usefulness_rate,
+  mttd_seconds, mttr_seconds, m.total_incidents, open_incidents, resolved_incidents, escalated_incidents, m.total_actions, action_breakdown
+  FROM ({scores(eval_flag(), _label)}) d, ({ORACLE['latency_summary']}) l, ({ORACLE['summary_quality']}) s,
+    ({usefulness('incidents', hours_ago(24))}) u, ({ORACLE['metrics_summary']}) m""")
 
 # -- streams, drained to the end
 _stamped = "strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') || substring(log_line, 11)"

@@ -599,11 +599,22 @@ def audit_events(spark, d):
 
 @query
 def evaluation_report(spark, d):
-    """The nested report as one JSON text per section."""
+    """The nested report, one column per figure."""
     report = evaluation.evaluation_report(
         wh.logs(spark, d), wh.calls(spark, d), wh.summaries(spark, d), _incidents(spark, d), wh.line_actions(spark, d), AS_OF
     )
-    return report.select("timestamp", *[F.to_json(c).alias(c) for c in report.columns if c != "timestamp"])
+    data, use, ops = "dataset_evaluation", "action_usefulness", "operational_metrics"
+    return report.select(
+        "timestamp",
+        *[f"{data}.{c}" for c in ("total_logs", "true_anomalies", "detected_anomalies", "false_positives", "false_negatives")],
+        *[f"{data}.{c}" for c in ("precision", "recall", "f1_score")],
+        *[F.col(f"{data}.latency.{c}").alias(f"latency_{c}") for c in ("average", "min", "max")],
+        "summarization_quality.*",
+        *[F.col(f"{use}.{c}").alias(f"recent_{c}") for c in ("total_incidents", "total_actions", "useful_actions", "usefulness_rate")],
+        *[F.round(f"{ops}.{c}", 4).alias(c) for c in ("mttd_seconds", "mttr_seconds")],
+        *[f"{ops}.{c}" for c in ("total_incidents", "open_incidents", "resolved_incidents", "escalated_incidents", "total_actions")],
+        _flat_breakdown(f"{ops}.action_breakdown").alias("action_breakdown"),
+    )
 
 
 @query
