@@ -14,7 +14,6 @@ from faultline.functions import text
 from faultline.functions.times import cutoff, instant
 from faultline.functions.vectors import cosine
 from faultline.operators.incidents import incident_template
-from faultline.operators.logs import lexical_index
 from faultline.session import cut_lineage
 
 # Scores of the two unscored branches, and the branch priority.
@@ -189,7 +188,9 @@ def newest_per_word(words: DataFrame, logs: DataFrame, n: int) -> DataFrame:
     cut to n per keyword first: the newest n of a word are among those.
     """
     newest = Window.partitionBy("keyword").orderBy(F.desc("timestamp"), "log_id")
-    index = lexical_index(logs, carry=("timestamp",)).select("log_id", "timestamp", "keyword")
+    # A line may repeat a keyword; it still counts as one hit.
+    distinct = F.array_distinct(text.keywords(F.col("log_line")))
+    index = logs.select("log_id", "timestamp", F.explode(distinct).alias("keyword"))
     per_keyword = index.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n).drop("_rn")
     vocabulary = per_keyword.select("keyword").distinct().select("keyword", F.explode(_grams(F.col("keyword"))).alias("gram"))
     wanted = words.select("word", F.substring("word", 1, GRAM_CHARS).alias("gram")).distinct()

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-    base = tempfile.mkdtemp(prefix="faultline-")
-    spark.conf.set(CHECKPOINT_CONF, base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="faultline-")
+    return _LOCAL_DIRS[app]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
