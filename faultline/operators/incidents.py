@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from faultline import schemas
 from faultline.functions import detect
-from faultline.functions.times import seconds_between, within
+from faultline.functions.times import instant, seconds_between, within
+from faultline.session import cut_lineage
 
 
 def newest_first(incidents: DataFrame) -> DataFrame:
@@ -128,18 +129,36 @@ def first_log_per_line(logs: DataFrame, *columns: str) -> DataFrame:
 
 
 def incident_template(incidents: DataFrame, logs: DataFrame) -> DataFrame:
-    """incident_id → template of the first log with the same line."""
-    first = first_log_per_line(logs, "template_id")
+    """incident_id → template of the first log with the same line.
+
+    Starts a job: the per-line table is written out, so that the join with the
+    incidents begins with a shuffle of its own, which Spark can split where one line
+    fills much of it (or replaces by a broadcast, knowing the size).
+    """
+    first = cut_lineage(first_log_per_line(logs, "template_id").filter(F.col("template_id").isNotNull()))
     return (
         incidents.select("incident_id", "log_line")
         .join(first.select("log_line", "template_id"), "log_line")
-        .filter(F.col("template_id").isNotNull())
         .select("incident_id", "template_id")
     )
 
 
+def incidents_per_template(incidents: DataFrame, logs: DataFrame) -> DataFrame:
+    """template_id, n_incidents: how many incidents carry a line of the template.
+
+    Both sides shrink to one row per line before they meet.
+    """
+    first = first_log_per_line(logs, "template_id").filter(F.col("template_id").isNotNull())
+    per_line = incidents.groupBy("log_line").agg(F.count("*").alias("n"))
+    return per_line.join(first, "log_line").groupBy("template_id").agg(F.sum("n").alias("n_incidents"))
+
+
 def detection_delays(incidents: DataFrame, logs: DataFrame) -> DataFrame:
-    first = first_log_per_line(logs, "timestamp").select("log_line", "timestamp")
+    """Seconds from the first log of the incident's line to its detection, per incident.
+
+    Starts a job (see :func:`incident_template`).
+    """
+    first = cut_lineage(first_log_per_line(logs, "timestamp").select("log_line", "timestamp"))
     return (
         incidents.select("incident_id", "detected_at", "log_line")
         .join(first, "log_line")
@@ -148,8 +167,20 @@ def detection_delays(incidents: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def mttd(incidents: DataFrame, logs: DataFrame) -> DataFrame:
-    """Mean seconds from the first log of the incident's line to its detection."""
-    return detection_delays(incidents, logs).agg(F.avg("mttd_seconds").alias("mttd_seconds"))
+    """Mean of :func:`detection_delays`; null if no incident has a log.
+
+    The incidents of a line share its first log, so their detection times are summed
+    per line and only the sums are joined.
+    """
+    micros = F.timestamp_diff("MICROSECOND", instant("1970-01-01 00:00:00"), F.col("detected_at"))
+    per_line = incidents.groupBy("log_line").agg(
+        F.count("detected_at").alias("n"), F.sum(micros.cast("decimal(20,0)")).alias("detected")
+    )
+    first = first_log_per_line(logs, "timestamp")
+    seen = F.timestamp_diff("MICROSECOND", instant("1970-01-01 00:00:00"), F.col("timestamp")).cast("decimal(20,0)")
+    late = (F.col("detected") - F.col("n") * seen).cast("decimal(38,0)")
+    joined = per_line.join(first, "log_line").agg(F.sum(late).alias("late"), F.sum("n").alias("n"))
+    return joined.select((F.col("late").cast("double") / F.nullif(F.col("n"), F.lit(0)) / 1e6).alias("mttd_seconds"))
 
 
 def metrics_summary(incidents: DataFrame, actions: DataFrame, logs: DataFrame | None = None) -> DataFrame:
@@ -263,8 +294,12 @@ def orphan_rows(
 ) -> DataFrame:
     """Rows whose foreign key has no parent, counted per relation."""
     def orphans(child: DataFrame, parent: DataFrame, key: str, relation: str) -> DataFrame:
-        lone = child.filter(F.col(key).isNotNull()).select(key).join(parent.select(key), key, "left_anti")
-        return lone.agg(F.count("*").alias("orphans")).select(F.lit(relation).alias("relation"), "orphans")
+        # Children are counted per key first, so a key shared by many is one row.
+        per_key = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        lone = per_key.join(parent.select(key), key, "left_anti")
+        return lone.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")).select(
+            F.lit(relation).alias("relation"), "orphans"
+        )
 
     return (
         orphans(actions, incidents, "incident_id", "actions.incident_id")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from faultline.functions import text
 from faultline.functions.times import cutoff, instant
 from faultline.functions.vectors import cosine
-from faultline.operators.incidents import incident_template
+from faultline.operators.incidents import incident_template, incidents_per_template
 from faultline.session import cut_lineage
 
 # Scores of the two unscored branches, and the branch priority.
@@ -35,8 +35,12 @@ def _micros(ts: Column) -> Column:
 
 
 def cosine_to(vectors: DataFrame, targets: DataFrame, key: str) -> DataFrame:
-    """Cosine of each vector with the target vector that shares its key."""
-    right = targets.select(key, F.col("embedding").alias("_target"))
+    """Cosine of each vector with the target vector that shares its key.
+
+    Starts a job that writes the targets, so that a key held by many vectors can be
+    split in the join.
+    """
+    right = cut_lineage(targets.select(key, F.col("embedding").alias("_target")))
     return vectors.join(right, key).select(
         "log_id", key, F.round(cosine(F.col("embedding"), F.col("_target")), 6).alias("similarity")
     )
@@ -163,7 +167,7 @@ def template_correlation(incidents: DataFrame, logs: DataFrame, as_of: str, hour
     incident side is :func:`incident_template`.  Listing every (incident, log) pair
     would square the largest template.
     """
-    counted = incident_template(incidents, logs).groupBy("template_id").agg(F.count("*").alias("n_incidents"))
+    counted = cut_lineage(incidents_per_template(incidents, logs))
     recent = logs.filter(F.col("timestamp") >= cutoff(as_of, hours))
     return recent.join(counted, "template_id").select("template_id", "log_id", "timestamp", "log_line", "n_incidents")
 
@@ -212,9 +216,10 @@ def keyword_fallback(requests: DataFrame, logs: DataFrame) -> DataFrame:
 
     ``requests``: request_id, query_text, cutoff.  The newest hits of a trailing window
     are the newest hits overall that fall into it, so the cutoff is applied last.
+    Starts a job that writes the hits per word.
     """
     asked = requests.select("request_id", "cutoff", F.posexplode(query_words(F.col("query_text"))).alias("position", "word"))
-    hits = newest_per_word(asked.select("word").distinct(), logs, HITS_PER_KEYWORD)
+    hits = cut_lineage(newest_per_word(asked.select("word").distinct(), logs, HITS_PER_KEYWORD))
     return (
         asked.join(hits, "word")
         .filter(F.col("timestamp") >= F.col("cutoff"))
@@ -226,8 +231,8 @@ def template_hits(requests: DataFrame, logs: DataFrame, k: int) -> DataFrame:
     """Logs of the request's template, newest first, enough of them for a top k.
 
     All template hits score the same, and at most k of them can be raised by their
-    semantic score, so 2k per template always suffice.  They are cut per template
-    before they meet the requests.
+    semantic score, so 2k per template always suffice.  They are cut per template and
+    written out before they meet the requests (starts a job).
     """
     newest = Window.partitionBy("template_id").orderBy(F.desc("timestamp"), "log_id")
     wanted = requests.filter(F.col("template_id").isNotNull()).select("template_id").distinct()
@@ -240,7 +245,7 @@ def template_hits(requests: DataFrame, logs: DataFrame, k: int) -> DataFrame:
     )
     return (
         requests.select("request_id", "template_id", "cutoff")
-        .join(kept, "template_id")
+        .join(cut_lineage(kept), "template_id")
         .filter(F.col("timestamp") >= F.col("cutoff"))
         .select("request_id", "log_id", "timestamp")
     )

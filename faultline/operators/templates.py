@@ -25,6 +25,8 @@ THRESHOLD = 0.5
 LEAF_ROWS = 50_000
 # Uncovered lines per split leaf and round; within Spark's window group limit.
 ROUND_ROWS = 1_000
+# Templates that one array holds when the lines of a split leaf are compared.
+BLOCK_ROWS = 2_000
 
 
 def template_table(logs: DataFrame) -> DataFrame:
@@ -62,10 +64,14 @@ def leaf_key(masked: Column, depth: int = DEPTH) -> Column:
 
 
 def template_jaccard(logs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Similarity of every log to the first line of its leaf (one comparison per log)."""
+    """Similarity of every log to the first line of its leaf (one comparison per log).
+
+    Starts a job that writes the first lines, so that a large leaf can be split in the
+    join.
+    """
     masked = logs.select("log_id", "log_line", text.masked_tokens(F.col("log_line")).alias("masked"))
     keyed = masked.withColumn("leaf", leaf_key(F.col("masked"), depth))
-    first = keyed.groupBy("leaf").agg(F.min_by("masked", "log_id").alias("first_masked"))
+    first = cut_lineage(keyed.groupBy("leaf").agg(F.min_by("masked", "log_id").alias("first_masked")))
     return keyed.join(first, "leaf").select(
         "log_id", text.jaccard(F.col("masked"), F.col("first_masked")).alias("similarity")
     )
@@ -181,7 +187,7 @@ def _grow_split_leaves(lines: DataFrame, threshold: float, round_rows: int) -> D
         news = made.groupBy("leaf").agg(
             F.collect_set("own_tokens").alias("new_sets"), F.collect_set("own_pattern").alias("new_patterns")
         )
-        ends = head.groupBy("leaf").agg(F.max("first_id").alias("last_id")).join(news, "leaf")
+        ends = cut_lineage(head.groupBy("leaf").agg(F.max("first_id").alias("last_id")).join(news, "leaf"))
         open_lines = cut_lineage(
             open_lines.join(ends, "leaf")
             .filter(F.col("first_id") > F.col("last_id"))
@@ -191,11 +197,19 @@ def _grow_split_leaves(lines: DataFrame, threshold: float, round_rows: int) -> D
         )
 
 
-def _assign_split_leaves(lines: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
-    """Give every line its best earlier template; row-parallel inside a leaf."""
-    per_leaf = templates.groupBy("leaf").agg(
+def _template_blocks(templates: DataFrame, block_rows: int) -> DataFrame:
+    """Templates of each leaf in arrays of about ``block_rows``, however many there are."""
+    sizes = templates.groupBy("leaf").agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / block_rows)
+    blocked = templates.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("first_id"), blocks))
+    return blocked.groupBy("leaf", "block").agg(
         F.collect_list(F.struct("first_id", "own_pattern", "own_tokens")).alias("templates")
     )
+
+
+def _assign_split_leaves(lines: DataFrame, templates: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Give every line its best earlier template; row-parallel inside a leaf."""
+    blocks = cut_lineage(_template_blocks(templates, block_rows))
     earlier = F.filter("templates", lambda t: t["first_id"] < F.col("first_id"))
     scored = F.transform(
         earlier,
@@ -206,9 +220,11 @@ def _assign_split_leaves(lines: DataFrame, templates: DataFrame, threshold: floa
         ),
     )
     best = F.array_max(F.filter(scored, lambda s: s["similarity"] >= threshold))
-    return lines.join(per_leaf, "leaf").select(
-        "log_line", F.coalesce(best["pattern"], F.col("own_pattern")).alias("template_pattern")
-    )
+    judged = lines.join(blocks, "leaf").select("log_line", "own_pattern", best.alias("best"))
+    if not blocks.filter(F.col("block") > 0).isEmpty():
+        # A leaf in several blocks: the best of each block's best.
+        judged = judged.groupBy("log_line", "own_pattern").agg(F.max("best").alias("best"))
+    return judged.select("log_line", F.coalesce("best.pattern", "own_pattern").alias("template_pattern"))
 
 
 def assign_templates(
@@ -218,6 +234,7 @@ def assign_templates(
     strip_timestamp: bool = False,
     leaf_rows: int = LEAF_ROWS,
     round_rows: int = ROUND_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(log_line, template_pattern) for the distinct lines of ``logs``.
 
@@ -231,12 +248,12 @@ def assign_templates(
     if oversized.isEmpty():
         return _in_order(lines).mapInPandas(_scan_leaves(threshold, only_new=False), schema)
     small = lines.join(oversized, "leaf", "left_anti")
-    large = lines.join(oversized, "leaf", "left_semi")
+    large = cut_lineage(lines.join(oversized, "leaf", "left_semi"))
     templates = _grow_split_leaves(large, threshold, round_rows)
     return (
         _in_order(small)
         .mapInPandas(_scan_leaves(threshold, only_new=False), schema)
-        .unionByName(_assign_split_leaves(large, templates, threshold))
+        .unionByName(_assign_split_leaves(large, templates, threshold, block_rows))
     )
 
 

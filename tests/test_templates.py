@@ -46,10 +46,11 @@ def logs_of(make, lines):
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"leaf_rows": 20, "round_rows": 7}, {"leaf_rows": 1, "round_rows": 1000}, {"depth": 2}, {"threshold": 0.3, "leaf_rows": 5, "round_rows": 3},
+    {}, {"leaf_rows": 20, "round_rows": 40}, {"leaf_rows": 10, "round_rows": 90, "block_rows": 3}, {"leaf_rows": 1, "round_rows": 1000}, {"depth": 2},
+    {"threshold": 0.3, "leaf_rows": 5, "round_rows": 9},
 ])
 def test_mining_equals_sequential_model(make, options):
-    lines = sample_lines(600 if options.get("round_rows", 99) > 5 else 150)
+    lines = sample_lines(600 if options.get("round_rows", 99) > 10 else 120)
     model = {k: v for k, v in options.items() if k in ("depth", "threshold")}
     mined = templates.mine_templates(logs_of(make, lines), **options)
     got = [r[0] for r in mined.orderBy("log_id").select("template_pattern").collect()]
