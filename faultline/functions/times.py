@@ -22,5 +22,26 @@ def within(ts: Column, as_of: str, hours: int) -> Column:
     return ts >= cutoff(as_of, hours)
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def _elapsed(start: Column, end: Column) -> Column:
+    """Exact seconds as a decimal; plain subtraction, so no time zone is involved."""
+    return (end - start).cast("interval second").cast("decimal(20,6)")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
+    return _elapsed(start, end).cast("double")
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    return (_elapsed(start, end) * 1000000).cast("bigint")
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a TIMESTAMP_NTZ."""
+    return micros_between(instant(EPOCH), ts)
+
+
+def from_micros(value: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", value, instant(EPOCH))

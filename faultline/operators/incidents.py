@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faultline import schemas
 from faultline.functions import detect
-from faultline.functions.times import instant, seconds_between, within
+from faultline.functions.times import micros, seconds_between, within
 from faultline.session import cut_lineage
 
 
@@ -172,12 +172,11 @@ def mttd(incidents: DataFrame, logs: DataFrame) -> DataFrame:
     The incidents of a line share its first log, so their detection times are summed
     per line and only the sums are joined.
     """
-    micros = F.timestamp_diff("MICROSECOND", instant("1970-01-01 00:00:00"), F.col("detected_at"))
     per_line = incidents.groupBy("log_line").agg(
-        F.count("detected_at").alias("n"), F.sum(micros.cast("decimal(20,0)")).alias("detected")
+        F.count("detected_at").alias("n"), F.sum(micros(F.col("detected_at")).cast("decimal(20,0)")).alias("detected")
     )
     first = first_log_per_line(logs, "timestamp")
-    seen = F.timestamp_diff("MICROSECOND", instant("1970-01-01 00:00:00"), F.col("timestamp")).cast("decimal(20,0)")
+    seen = micros(F.col("timestamp")).cast("decimal(20,0)")
     late = (F.col("detected") - F.col("n") * seen).cast("decimal(38,0)")
     joined = per_line.join(first, "log_line").agg(F.sum(late).alias("late"), F.sum("n").alias("n"))
     return joined.select((F.col("late").cast("double") / F.nullif(F.col("n"), F.lit(0)) / 1e6).alias("mttd_seconds"))

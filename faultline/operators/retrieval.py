@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions import text
-from faultline.functions.times import cutoff, instant
+from faultline.functions.times import cutoff, from_micros, instant, micros, micros_between
 from faultline.functions.vectors import cosine
 from faultline.operators.incidents import incident_template, incidents_per_template
 from faultline.session import cut_lineage
@@ -27,11 +27,6 @@ SIMILARITY_DIGITS = 9
 BLOCK_BYTES, QUERY_CHUNK = 16 << 20, 512
 # Distinct incident lines up to this size are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 8 << 20
-_EPOCH = "1970-01-01 00:00:00"
-
-
-def _micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", instant(_EPOCH), ts)
 
 
 def cosine_to(vectors: DataFrame, targets: DataFrame, key: str) -> DataFrame:
@@ -114,15 +109,15 @@ def nearest(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int =
     block is one pass over the log vectors that shuffles at most k rows per query and
     task.  With several blocks each pass is written out before the next begins.
     """
-    micros = _micros(F.col("cutoff")) if "cutoff" in queries.columns else F.lit(np.iinfo(np.int64).min)
+    since = micros(F.col("cutoff")) if "cutoff" in queries.columns else F.lit(np.iinfo(np.int64).min)
     asked = queries.filter(F.col("embedding").isNotNull()).select(
         F.col("query_id").cast("bigint").alias("query_id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
-        micros.alias("cutoff"),
+        since.alias("cutoff"),
         F.size("embedding").alias("dim"),
     )
     rows = logs.filter(F.col("embedding").isNotNull()).select(
-        "log_id", _micros(F.col("timestamp")).alias("micros"), F.col("embedding").cast("array<float>").alias("embedding")
+        "log_id", micros(F.col("timestamp")).alias("micros"), F.col("embedding").cast("array<float>").alias("embedding")
     )
     schema = "query_id bigint, log_id bigint, micros bigint, similarity double"
     sizes = asked.groupBy("dim").count().collect()
@@ -303,7 +298,7 @@ def retrieve(requests: DataFrame, logs: DataFrame, k: int = 10) -> DataFrame:
         near = nearest(logs, queries, k).select(
             F.col("query_id").alias("request_id"),
             "log_id",
-            F.timestamp_add("MICROSECOND", F.col("micros"), instant(_EPOCH)).alias("timestamp"),
+            from_micros(F.col("micros")).alias("timestamp"),
             "similarity",
         )
         found = found.unionByName(_branch(near, "semantic", F.col("similarity"), F.lit(0)))
@@ -405,7 +400,7 @@ def counts_by_hours(rows: DataFrame, time_column: str, hours: DataFrame, as_of:
     age hour (partial aggregation) and the counts are added up along the hour axis.
     That axis has one row per hour of history, whatever the number of rows.
     """
-    age = F.ceil(F.timestamp_diff("MICROSECOND", F.col(time_column), instant(as_of)) / F.lit(3600e6)).cast("bigint")
+    age = F.ceil(micros_between(F.col(time_column), instant(as_of)) / F.lit(3600e6)).cast("bigint")
     per_age = rows.groupBy(age.alias("h")).agg(F.count("*").alias("n"))
     asked = hours.select(F.col("hours").cast("bigint").alias("h"), F.lit(0).cast("bigint").alias("n"))
     axis = per_age.unionByName(asked).groupBy("h").agg(F.sum("n").alias("n"))

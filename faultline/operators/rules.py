@@ -52,14 +52,35 @@ def evaluate_rules(logs: DataFrame, rules: DataFrame, tail: int = TAIL_LINES) ->
     return counted.withColumn("fires", F.col("matches") >= F.col("threshold"))
 
 
-def rule_array(rules: DataFrame) -> DataFrame:
-    """One row holding all rules; rule sets are configuration, not data."""
-    return rules.agg(F.collect_list(F.struct("pattern", "regex", "threshold", "action")).alias("rules"))
+# Rule sets up to this size become part of the expression itself.
+LITERAL_RULES = 500
+RULE_FIELDS = ("pattern", "regex", "threshold", "action")
 
 
-def matching_rules(line: Column, rules: Column) -> Column:
-    """Rules whose regex matches the line."""
-    return F.filter(rules, lambda r: F.rlike(line, r["regex"]))
+def matching_rules(line: Column, rules: list[tuple[str, str, int, str]]) -> Column:
+    """Rules (pattern, regex, threshold, action) whose regex matches the line.
+
+    Each regex is a literal, so it is compiled once per task and not once per line.
+    """
+    hits = [
+        F.when(line.rlike(r[1]), F.struct(*[F.lit(v).alias(n) for n, v in zip(RULE_FIELDS, r)])) for r in rules
+    ]
+    return F.array_compact(F.array(*hits))
+
+
+def _matches(logs: DataFrame, rules: DataFrame) -> DataFrame:
+    """(timestamp, r) for every rule a line matches; nothing else leaves the scan."""
+    chosen = rules.select(*RULE_FIELDS)
+    known = [tuple(r) for r in chosen.limit(LITERAL_RULES + 1).collect()]
+    if not known:
+        return logs.select("timestamp", F.explode(F.array().cast(f"array<{chosen.schema.simpleString()}>")).alias("r"))
+    if len(known) <= LITERAL_RULES:
+        return logs.select("timestamp", F.explode(matching_rules(F.col("log_line"), known)).alias("r"))
+    # A larger set stays one array value, tested rule by rule.
+    gathered = chosen.agg(F.collect_list(F.struct(*RULE_FIELDS)))
+    tested = logs.select("timestamp", "log_line").withColumn("_rules", gathered.scalar())
+    matched = F.filter("_rules", lambda r: F.rlike(F.col("log_line"), r["regex"]))
+    return tested.select("timestamp", F.explode(matched).alias("r"))
 
 
 def windowed_alerts(
@@ -67,17 +88,20 @@ def windowed_alerts(
 ) -> DataFrame:
     """Rules whose matches reach the threshold within an event-time window.
 
-    Only matching (line, rule) rows leave the scan; counts combine before the shuffle.
+    Starts a job that reads the rules.  Counts combine before the shuffle.
     """
-    tested = logs.select("timestamp", "log_line").withColumn("_rules", rule_array(rules).scalar())
-    matched = tested.select("timestamp", F.explode(matching_rules(F.col("log_line"), F.col("_rules"))).alias("r"))
     span = F.window("timestamp", window, slide) if slide else F.window("timestamp", window)
     return (
-        matched.groupBy(span.alias("w"), F.col("r.pattern").alias("pattern"))
-        .agg(F.count("*").alias("matches"), F.first("r.threshold").alias("threshold"), F.first("r.action").alias("action"))
+        _matches(logs, rules)
+        .groupBy(span.alias("w"), "r.pattern", "r.threshold", "r.action")
+        .agg(F.count("*").alias("matches"))
         .filter(F.col("matches") >= F.col("threshold"))
         .select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "pattern", "matches", "threshold", "action",
+            F.col("w.start").alias("window_start"),
+            F.col("w.end").alias("window_end"),
+            "pattern",
+            "matches",
+            F.col("threshold").cast("bigint").alias("threshold"),
+            "action",
         )
     )

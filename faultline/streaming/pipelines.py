@@ -116,10 +116,8 @@ def alert_counts(
     ``rules``: (pattern, regex, threshold, action).  Late lines are dropped once the
     watermark has passed their window.
     """
-    fields = ("pattern", "regex", "threshold", "action")
-    known = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(fields, r)]) for r in rules])
     matched = stream.withWatermark("event_time", watermark).select(
-        "event_time", F.explode(matching_rules(F.col("log_line"), known)).alias("r")
+        "event_time", F.explode(matching_rules(F.col("log_line"), rules)).alias("r")
     )
     span = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     return (

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ACTION_SCHEMA, INCIDENT_SCHEMA, LOG_SCHEMA
-from faultline.functions import detect
+from faultline.functions import detect, times
 from faultline.operators import evaluation, governance, incidents, logs, questions, rules
 from faultline.sources import files
 
@@ -295,3 +295,26 @@ def test_advice_from_response(make):
     ])
     got = rows.select(questions.advice_from_response(F.col("s"), F.col("a"), F.col("e"))).collect()
     assert [r[0] for r in got] == ["YES", "YES", "NO", "NO", "CHECK"]
+
+
+def test_large_rule_sets_take_the_array_path(make, monkeypatch):
+    tail = make(LOG_SCHEMA, [(i, ago(minutes=i), f"code {i % 3}") for i in range(1, 30)])
+    table = make("pattern string, regex string, threshold bigint, action string", [(f"p{i}", f"code {i}$", 2, "A") for i in range(4)])
+    direct = sorted(map(tuple, rules.windowed_alerts(tail, table).collect()))
+    monkeypatch.setattr(rules, "LITERAL_RULES", 2)
+    assert sorted(map(tuple, rules.windowed_alerts(tail, table).collect())) == direct and len(direct) == 3
+    assert rules.windowed_alerts(tail, table.limit(0)).count() == 0
+
+
+def test_elapsed_time_ignores_the_session_zone(spark, make):
+    # A clock change in New York lies between the two times.
+    table = make("a timestamp_ntz, b timestamp_ntz", [(dt.datetime(2024, 3, 10, 1), dt.datetime(2024, 3, 10, 4, 0, 0, 5))])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = table.select(
+            times.seconds_between(F.col("a"), F.col("b")), times.from_micros(times.micros(F.col("b"))).cast("string")
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row[:] == (10800.000005, "2024-03-10 04:00:00.000005")
