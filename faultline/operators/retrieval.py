@@ -439,16 +439,22 @@ def window_summary(incidents: DataFrame, logs: DataFrame, hours: DataFrame, as_o
     windows = windows.withColumn("cutoff", instant(as_of) - F.make_dt_interval(F.lit(0), F.col("hours").cast("int")))
     counted = counts_by_hours(incidents, "detected_at", windows, as_of, "n_incidents")
     extra = ["embedding"] if "embedding" in incidents.columns else []
-    inside = windows.withColumn("_new", newest_lines(incidents, LISTED_INCIDENTS).scalar()).select(
+    newest_first = incidents.orderBy(F.desc("detected_at"), "incident_id")
+    latest = newest_first.limit(LISTED_INCIDENTS).select("incident_id", "detected_at", "log_line", *extra)
+    latest = cut_lineage(latest)
+    inside = windows.withColumn("_new", newest_lines(latest, LISTED_INCIDENTS).scalar()).select(
         "hours", within_window(F.col("_new"), F.col("cutoff")).alias("listed")
     )
-    leads = windows.withColumn("_new", newest_lines(incidents, WINDOW_INCIDENTS, *extra).scalar())
+    leads = windows.withColumn("_new", newest_lines(latest, WINDOW_INCIDENTS, *extra).scalar())
     leads = leads.select(
         "hours", "cutoff", F.posexplode(within_window(F.col("_new"), F.col("cutoff"))).alias("seq", "i")
     ).select("hours", "cutoff", "seq", "i.*")
     # One request per (window, incident): the id packs both, five incidents at most.
     leads = leads.withColumn("request_id", F.col("hours") * 8 + F.col("seq"))
-    template = incident_template(leads.select("incident_id", "log_line").distinct(), logs)
+    # The leads are WINDOW_INCIDENTS distinct incidents at most, whatever the windows.
+    newest = latest.orderBy(F.desc("detected_at"), "incident_id").limit(WINDOW_INCIDENTS).select("incident_id", "log_line")
+    same_line = logs.join(F.broadcast(newest.select("log_line").distinct()), "log_line", "left_semi")
+    template = incident_template(newest, same_line)
     requests = leads.join(template, "incident_id", "left").select(
         "request_id", "template_id", F.col("log_line").alias("query_text"), "cutoff", *extra
     )
