@@ -397,15 +397,19 @@ def counts_by_hours(rows: DataFrame, time_column: str, hours: DataFrame, as_of:
     """For each value of ``hours``: how many rows fall into that trailing window.
 
     A row enters every window of at least ``ceil(age)`` hours, so rows are counted per
-    age hour (partial aggregation) and the counts are added up along the hour axis.
-    That axis has one row per hour of history, whatever the number of rows.
+    age hour (partial aggregation), the counts are written out (starts a job) and then
+    added up along the hour axis.  Windows beyond either end of the data are moved to
+    that end, so the axis has one row per hour of history, whatever is asked.
     """
     age = F.ceil(micros_between(F.col(time_column), instant(as_of)) / F.lit(3600e6)).cast("bigint")
-    per_age = rows.groupBy(age.alias("h")).agg(F.count("*").alias("n"))
-    asked = hours.select(F.col("hours").cast("bigint").alias("h"), F.lit(0).cast("bigint").alias("n"))
-    axis = per_age.unionByName(asked).groupBy("h").agg(F.sum("n").alias("n"))
-    running = axis.select(F.col("h").alias("hours"), F.sum("n").over(Window.orderBy("h")).alias(name))
-    return hours.select(F.col("hours").cast("bigint").alias("hours")).join(running, "hours")
+    per_age = cut_lineage(rows.groupBy(age.alias("h")).agg(F.count("*").alias("n")))
+    ends = per_age.agg(F.min("h").alias("low"), F.max("h").alias("high")).select(F.struct("low", "high").alias("e"))
+    asked = hours.select(F.col("hours").cast("bigint").alias("hours")).withColumn("_e", ends.scalar())
+    asked = asked.select("hours", F.greatest(F.least("hours", "_e.high"), F.col("_e.low") - 1).alias("h"))
+    zeros = asked.select("h", F.lit(0).cast("bigint").alias("n")).distinct()
+    axis = per_age.unionByName(zeros).groupBy("h").agg(F.sum("n").alias("n"))
+    running = axis.select("h", F.sum("n").over(Window.orderBy("h")).alias(name))
+    return asked.join(running, "h").select("hours", name)
 
 
 def newest_lines(incidents: DataFrame, n: int, *columns: str) -> DataFrame:

@@ -172,3 +172,12 @@ def test_dedup_first_seen(make):
     hits = make("log_id bigint, seq int", [(5, 3), (5, 1), (6, 2), (7, 4), (5, 9)])
     got = logs_ops.dedup_first_seen(hits, [F.col("seq")], 2).collect()
     assert [(r["log_id"], r["seq"]) for r in got] == [(5, 1), (6, 2)]
+
+
+def test_counts_by_hours(make):
+    rows = make("at timestamp_ntz", [(NOW - dt.timedelta(minutes=m),) for m in (-90, 0, 30, 60, 61, 600)])
+    hours = make("hours bigint", [(h,) for h in (-100, -2, -1, 0, 1, 2, 10, 9999, 10**9)])
+    got = dict(map(tuple, retrieval.counts_by_hours(rows, "at", hours, AS_OF, "n").collect()))
+    assert got == {-100: 0, -2: 0, -1: 1, 0: 2, 1: 4, 2: 5, 10: 6, 9999: 6, 10**9: 6}
+    empty = retrieval.counts_by_hours(rows.limit(0), "at", hours, AS_OF, "n").collect()
+    assert {r["n"] for r in empty} == {0} and len(empty) == 9
