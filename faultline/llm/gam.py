@@ -186,8 +186,16 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose score reaches ``threshold``, all columns as they were."""
-    model = fit_quality(learnable(docs), labels)
-    scored = score_quality(docs, model, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")])
-    return scored.where(F.col("score") >= threshold).select("row.*")
+    model, at = fit_quality(learnable(docs), labels), docs.columns.index(text)
+    if model is None:
+        return docs.where(F.lit(threshold <= 0.5))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [features(t.encode() if t else b"") for t in part.column(at).to_pylist()]
+            scores = model.score(np.array(found, float).reshape(len(found), len(FEATURES)))
+            yield part.filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
