@@ -51,15 +51,15 @@ windows AS (
   SELECT doc_id, i, hash(w[i:i+19]) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
 repeated AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
-gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS at FROM repeated GROUP BY doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS places FROM repeated GROUP BY doc_id),
 kept AS (
-  SELECT w.doc_id, w.w, g.at FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id),
+  SELECT w.doc_id, w.w, g.places FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id),
 flat AS (
-  SELECT doc_id, any_value(len(w)) AS n_words, any_value(coalesce(len(at), 0)) AS n_removed FROM kept GROUP BY doc_id),
+  SELECT doc_id, any_value(len(w)) AS n_words, any_value(coalesce(len(places), 0)) AS n_removed FROM kept GROUP BY doc_id),
 rest AS (
   SELECT k.doc_id, string_agg(k.w[k.p], ' ' ORDER BY k.p) AS s
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM words) k
-  ANTI JOIN (SELECT doc_id, unnest(at) AS p FROM gone) x ON k.doc_id = x.doc_id AND k.p = x.p
+  ANTI JOIN (SELECT doc_id, unnest(places) AS p FROM gone) x ON k.doc_id = x.doc_id AND k.p = x.p
   GROUP BY k.doc_id)
 SELECT f.doc_id, CAST(f.n_words AS BIGINT) AS n_words, CAST(f.n_removed AS BIGINT) AS n_removed, sha256(coalesce(r.s, '')) AS kept_sha256
 FROM flat f LEFT JOIN rest r ON r.doc_id = f.doc_id"""
