@@ -93,8 +93,8 @@ def gram_hashes(items: np.ndarray, n: int) -> np.ndarray:
     size = len(items) - n + 1
     out = np.zeros(size, np.uint64)
     for k in range(n):
-        out = mix(out * np.uint64(_BASE) + items[k : k + size])
-    return out
+        out = out * np.uint64(_BASE) + items[k : k + size]
+    return mix(out)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -14,7 +14,9 @@ by d = n (1 - t) / t for a set of n.
   puts lanes with the most n-grams first that are not known to be frequent: those
   are least likely to agree by chance. Lanes of value 0 are left out; a set that
   has no more than d others sends a key for that case too.
-* Verification: documents that share a lane are compared exactly, n-gram by n-gram.
+* Verification: of documents that share a lane, those whose sizes or whose 512-bit
+  parity sketches are too far apart go, and the others are compared exactly, n-gram
+  by n-gram.
 
 No group of documents is expanded into all its pairs. First every member is
 compared with one hub of its group; members of a group that are still in different
@@ -65,6 +67,12 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(int(x.astype(np.int64)) for x in parts)
 
 
+def bit_sketch(hashes: np.ndarray) -> list[int]:
+    """Parity of the n-grams that fall on each of 512 bits, as 8 numbers."""
+    odd = (np.bincount((hashes >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
@@ -86,17 +94,22 @@ def lane_keys(hashes: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndar
     keys = []
     for k in [band, band + 1] if 100 * n >= percent << (band + 1) else [band]:
         high = (2 << k) - 1
-        lanes = 1 << 32 if high <= 256 else int(high / 1.8)
-        lane = hashes % np.uint64(lanes)
-        order = np.argsort(lane, kind="stable")
-        lane = lane[order]
-        starts = np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]]))
-        value = np.bitwise_xor.reduceat(hashes[order], starts)
-        weight = np.add.reduceat((~common[order]).astype(np.int64), starts)
-        key = mix(mix(value) + lane[starts] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) >> np.uint64(1)
-        key, weight = key[value != 0], weight[value != 0]
+        if high <= 256:  # as many lanes as there are hashes
+            lane, value, weight = hashes, hashes, (~common).astype(np.int64)
+        else:
+            lane = hashes % np.uint64(high / 1.8)
+            order = np.argsort(lane)
+            lane = lane[order]
+            starts = np.flatnonzero(np.concatenate([[True], lane[1:] != lane[:-1]]))
+            lane = lane[starts]
+            value = np.bitwise_xor.reduceat(hashes[order], starts)
+            weight = np.add.reduceat((~common[order]).astype(np.int64), starts)
+        key = mix(mix(value) + lane * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) >> np.uint64(1)
+        if not value.all():
+            key, weight = key[value != 0], weight[value != 0]
         if len(key) > most:
-            keys.append(key[np.lexsort((key, -weight))[: most + 1]])
+            place = (7 - np.minimum(weight, 7)).astype(np.uint64) << np.uint64(60) | key >> np.uint64(3)
+            keys.append(key[np.argpartition(place, most)[: most + 1]])
         else:
             keys += [key, np.array([k], np.uint64)]  # the case of lanes that agree on 0 only
     return np.concatenate(keys)
@@ -122,15 +135,16 @@ def _batch(names: str, *columns) -> pa.RecordBatch:
 
 
 def measure(rows: DataFrame) -> DataFrame:
-    """id, n, d1, d2 of each row: the size and the digest of its set."""
+    """id, n, d1, d2, sketch of each row: the size, the digest and the parity sketch of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             sets = [shingles(t) for t in part.column(1).to_pylist()]
             both = [digest(s) for s in sets]
-            yield _batch("id n d1 d2", part.column(0), [len(s) for s in sets], [d[0] for d in both], [d[1] for d in both])
+            sketches = pa.array([bit_sketch(s) for s in sets], pa.list_(pa.int64()))
+            yield _batch("id n d1 d2 sketch", part.column(0), [len(s) for s in sets], [d[0] for d in both], [d[1] for d in both], sketches)
 
-    return rows.mapInArrow(run, "id long, n long, d1 long, d2 long")
+    return rows.mapInArrow(run, "id long, n long, d1 long, d2 long, sketch array<long>")
 
 
 def _frequent(sample: DataFrame) -> np.ndarray:
@@ -188,6 +202,15 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parity sketches leave possible."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    apart = sum((F.bit_count(F.get("sa", F.lit(k)).bitwiseXOR(F.get("sb", F.lit(k)))) for k in range(8)), F.lit(0))
+    return pairs.where(sizes & (apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b").distinct()
+
+
 def _pairs(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -227,6 +250,7 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     wanted = groups.select("id").union(groups.select("hub")).distinct()
     texts = cut_lineage(rows.join(wanted, "id", "left_semi"))
     first_pairs = cut_lineage(groups.where("hub <> id").select(*_pairs("hub", "id")).distinct())
+    possible = cut_lineage(near(first_pairs, sets, percent))
     set_of = members.select("id", "set_id").distinct()
 
     def edges(pairs: DataFrame) -> DataFrame:
@@ -236,7 +260,7 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
         return cut_lineage(named.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")).where("a <> b").distinct())
 
     shared = set_of.groupBy("id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("a", "b")  # rows that share an id
-    links = edges(first_pairs).union(cut_lineage(shared))
+    links = edges(possible).union(cut_lineage(shared))
     part_of = components(links)
 
     inside = groups.select("sig", "id").join(set_of, "id").join(part_of, F.col("set_id") == F.col("node"), "left")
@@ -248,7 +272,7 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     one = left.select("sig", F.col("c").alias("x"), F.col("id").alias("ia"))
     two = left.select("sig", F.col("c").alias("y"), F.col("id").alias("ib"))
     second = apart.join(one, ["sig", "x"]).join(two, ["sig", "y"]).select(*_pairs("ia", "ib")).distinct()
-    more = edges(cut_lineage(second.join(first_pairs, ["a", "b"], "left_anti")))
+    more = edges(cut_lineage(near(second.join(first_pairs, ["a", "b"], "left_anti"), sets, percent)))
     if not more.isEmpty():
         part_of = components(links.union(more))
     return members.join(part_of, F.col("set_id") == F.col("node"), "left").select(
