@@ -15,8 +15,8 @@ by d = n (1 - t) / t for a set of n.
   are least likely to agree by chance. Lanes of value 0 are left out; a set that
   has no more than d others sends a key for that case too.
 * Verification: of documents that share a lane, those whose sizes or whose 512-bit
-  parity sketches are too far apart go, and the others are compared exactly, n-gram
-  by n-gram.
+  parity sketches (of 8,192 bits for sets of more than 512) are too far apart go, and
+  the others are compared exactly, n-gram by n-gram.
 
 No group of documents is expanded into all its pairs. First every member is
 compared with one hub of its group; members of a group that are still in different
@@ -67,9 +67,9 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(int(x.astype(np.int64)) for x in parts)
 
 
-def bit_sketch(hashes: np.ndarray) -> list[int]:
-    """Parity of the n-grams that fall on each of 512 bits, as 8 numbers."""
-    odd = (np.bincount((hashes >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+def bit_sketch(hashes: np.ndarray, bits: int = 9) -> list[int]:
+    """Parity of the n-grams that fall on each of 2**bits bits, 64 bits a number."""
+    odd = (np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64).tolist()
 
 
@@ -135,16 +135,18 @@ def _batch(names: str, *columns) -> pa.RecordBatch:
 
 
 def measure(rows: DataFrame) -> DataFrame:
-    """id, n, d1, d2, sketch of each row: the size, the digest and the parity sketch of its set."""
+    """id, n, d1, d2, sketch, wide of each row: the size, the digest and the parity sketches of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             sets = [shingles(t) for t in part.column(1).to_pylist()]
             both = [digest(s) for s in sets]
             sketches = pa.array([bit_sketch(s) for s in sets], pa.list_(pa.int64()))
-            yield _batch("id n d1 d2 sketch", part.column(0), [len(s) for s in sets], [d[0] for d in both], [d[1] for d in both], sketches)
+            wide = pa.array([bit_sketch(s, 13) if len(s) > 512 else [] for s in sets], pa.list_(pa.int64()))
+            columns = [len(s) for s in sets], [d[0] for d in both], [d[1] for d in both]
+            yield _batch("id n d1 d2 sketch wide", part.column(0), *columns, sketches, wide)
 
-    return rows.mapInArrow(run, "id long, n long, d1 long, d2 long, sketch array<long>")
+    return rows.mapInArrow(run, "id long, n long, d1 long, d2 long, sketch array<long>, wide array<long>")
 
 
 def _frequent(sample: DataFrame) -> np.ndarray:
@@ -204,11 +206,21 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and parity sketches leave possible."""
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
-    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    apart = sum((F.bit_count(F.get("sa", F.lit(k)).bitwiseXOR(F.get("sb", F.lit(k)))) for k in range(8)), F.lit(0))
-    return pairs.where(sizes & (apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b").distinct()
+
+    def sided(pairs: DataFrame, columns: list[str]) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return pairs
+
+    bound = (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    apart = sum((F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k)))) for k in range(8)), F.lit(0))
+    left = sided(pairs, ["n", "sketch"]).where(sizes & (apart * (100 + percent) <= bound)).select("a", "b", "n_a", "n_b").distinct()
+    large = (F.col("n_a") > 512) & (F.col("n_b") > 512)
+    left = cut_lineage(left)
+    differ = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    wide = sided(left.where(large).drop("n_a", "n_b"), ["n", "wide"]).where(F.aggregate(differ, F.lit(0), lambda x, y: x + y) * (100 + percent) <= bound)
+    return left.where(~large).select("a", "b").union(wide.select("a", "b").distinct())
 
 
 def _pairs(a: str, b: str) -> list:

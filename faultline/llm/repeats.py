@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import gram_hashes, prefix_hash, row_id, signed, slices, sliding_argmin, span_hash, word_spans
+from faultline.llm.common import gram_hashes, mix, prefix_hash, row_id, signed, slices, sliding_argmin, span_hash, word_spans
 from faultline.session import cut_lineage
 
 FREQUENT = 16
@@ -168,8 +168,9 @@ def _run(rows: DataFrame, schema: str, make: Callable) -> DataFrame:
 def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> tuple[DataFrame, DataFrame]:
     """(texts that may hold repeats: id, tie, text), (runs: id, tie, first, n) of windows that occur earlier.
 
-    ``settle(group)`` takes spans (id, tie, first window, string) of whole
-    minimisers and gives the ids, ties and starts of windows equal to an earlier one.
+    ``settle(members)`` takes spans (id, tie, first window, string) of whole
+    minimisers, no two strings equal, those of one minimiser in order of place, and
+    gives the ids, ties and starts of the windows equal to an earlier one.
     """
     share = min(1.0, unit.sample / max(1, total))
     sample = rows.where(F.xxhash64("id").bitwiseAND(F.lit((1 << 30) - 1)) < int(share * (1 << 30)))
@@ -184,7 +185,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
     def minimisers(parts):
         seen = FirstSeen()
         for part in parts:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[np.zeros(0, np.int64)] for _ in range(4)]
             for i, tie, t in zip(*(c.to_pylist() for c in part.columns)):
                 content = unit.content(t)
                 if seen.later(hashlib.sha256(content).digest(), (i, tie)):
@@ -192,10 +193,18 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
                 first, _, keys = spans(unit, content, frequent)
                 for column, x in zip(out, (signed(keys), np.full(len(first), i), np.full(len(first), tie), first)):
                     column.append(x)
-            yield [np.concatenate([np.zeros(0, np.int64), *x]) for x in out]
-
-    sent = _run(rows, "key long, id long, tie long, first long", minimisers)
-    twice = sent.withColumn("n", F.expr("count(1) over (partition by key)")).where("n > 1")
+            key, *place = (np.concatenate(x) for x in out)
+            # of what repeats among these texts, one row tells the others; the rest need no meeting and go anywhere
+            _, one, of, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            sure = counts[of] > 1
+            away = signed(mix(place[0].view(np.uint64)) + place[2].view(np.uint64))
+            told = one[counts > 1]
+            columns = [np.where(sure, away, key), *place, sure.astype(np.int64)]
+            more = [key[told], *(x[told] for x in place), np.zeros(len(told), np.int64)]
+            yield [np.concatenate(x) for x in zip(columns, more)]
+
+    sent = _run(rows, "key long, id long, tie long, first long, sure long", minimisers)
+    twice = sent.withColumn("n", F.expr("count(1) over (partition by key)")).where("n > 1 or sure = 1")
     flagged = twice.groupBy("id", "tie").agg(F.collect_set("first").alias("firsts"))  # spans of one text
     texts = cut_lineage(rows.join(flagged, ["id", "tie"]))
 
@@ -221,41 +230,65 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
     def buckets(parts):
         held: list[tuple] = []
         group: list[tuple] = []
-        size, last, loose = 0, None, False
-
-        def flush():
-            nonlocal held
-            found = settle(held) if held else None
-            held = []
-            if found is not None and len(found[0]):
-                yield [*runs_of(*found), [None] * len(runs_of(*found)[0])]
-
-        def spread(members):
-            for i, tie, first, string in members:
+        ready: list[list] = [[], [], [], [], []]
+        held_size, size, last, loose = 0, 0, None, False
+
+        def add(*row) -> None:
+            for column, x in zip(ready, row):
+                column.append(x)
+
+        def close() -> None:
+            """Strings that come again are settled as a whole; what is left is compared window by window."""
+            nonlocal held_size
+            if len(group) < 2:
+                return
+            group.sort(key=lambda m: m[:3])
+            first: dict[bytes, Place] = {}
+            for i, tie, at, string in group:
+                if first.setdefault(string, (i, tie, at)) != (i, tie, at):
+                    add(i, tie, at, unit.size(string) - unit.window + 1, None)
+            if len(first) > 1:
+                held.extend((*place, string) for string, place in first.items())
+                held_size += sum(map(len, first))
+
+        def spread() -> None:
+            """The windows of a large group one by one, for Spark to sort."""
+            for i, tie, at, string in group:
                 cuts = unit.cuts(string)
-                n = unit.size(string) - unit.window + 1
-                yield [[i] * n, [tie] * n, list(range(first, first + n)), [1] * n, [unit.piece(string, cuts, k, unit.window) for k in range(n)]]
+                for k in range(unit.size(string) - unit.window + 1):
+                    add(i, tie, at + k, 1, unit.piece(string, cuts, k, unit.window))
+            group.clear()
+
+        def take(least_ready: int, least_held: int):
+            nonlocal held_size
+            if held and held_size >= least_held:
+                found = runs_of(*settle(held))
+                held.clear()
+                held_size = 0
+                yield [*found, [None] * len(found[0])]
+            if len(ready[0]) >= least_ready:
+                yield ready
+                for column in ready:
+                    column.clear()
 
         for part in parts:
             for key, i, tie, first, n, string in zip(*(c.to_pylist() for c in part.columns)):
                 if string is None:
-                    yield [[i], [tie], [first], [n], [None]]
+                    add(i, tie, first, n, None)
                     continue
                 if key != last:
-                    if not loose and len(group) > 1:
-                        held += group
-                        if sum(len(g[3]) for g in held) >= GROUP_BYTES:
-                            yield from flush()
-                    group, size, last, loose = [], 0, key, False
+                    close()
+                    group.clear()
+                    yield from take(4096, GROUP_BYTES)
+                    size, last, loose = 0, key, False
                 group.append((i, tie, first, string))
                 size += len(string)
                 if loose or size > GROUP_BYTES:
                     loose = True
-                    yield from spread(group)
-                    group = []
-        if not loose and len(group) > 1:
-            held += group
-        yield from flush()
+                    spread()
+                    yield from take(4096, GROUP_BYTES)
+        close()
+        yield from take(1, 1)
 
     dealt = packed.repartition("key").sortWithinPartitions("key")
     found = cut_lineage(_run(dealt, "id long, tie long, first long, n long, piece binary", buckets))

@@ -21,19 +21,15 @@ UNIT = Words()
 
 
 def repeated_windows(members: list[tuple[int, int, int, bytes]], window: int = UNIT.window) -> tuple[np.ndarray, ...]:
-    """Ids, ties and starts of the windows of the given strings that are equal to an earlier one."""
+    """Ids, ties and starts of the windows of the given strings, in order of place, that are equal to an earlier one."""
     first: dict[bytes, tuple[int, int, int]] = {}
     later: list[tuple[int, int, int]] = []
     for i, tie, at, string in members:
-        words = string.split(b" ")
-        for k in range(len(words) - window + 1):
+        cuts = UNIT.cuts(string).tolist()
+        for k in range(len(cuts) - window):
             place = (i, tie, at + k)
-            known = first.setdefault(b" ".join(words[k : k + window]), place)
-            if place > known:
+            if first.setdefault(string[cuts[k] : cuts[k + window] - 1], place) < place:
                 later.append(place)
-            elif place < known:
-                first[b" ".join(words[k : k + window])] = place
-                later.append(known)
     found = np.array(later, np.int64).reshape(-1, 3)
     return found[:, 0], found[:, 1], found[:, 2]
 
