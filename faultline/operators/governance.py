@@ -168,6 +168,7 @@ def resolves_incident(success: Column, message: Column) -> Column:
 
 
 def resolutions_from(governed: DataFrame) -> DataFrame:
-    """(incident_id, resolved_at) for incidents whose action went through."""
+    """(incident_id, resolved_at) for incidents whose action went through; the time is null where requests carry none."""
     done = resolves_incident(F.col("success"), F.col("message")) & F.col("incident_id").isNotNull()
-    return governed.filter(done).select("incident_id", F.col("requested_at").alias("resolved_at"))
+    at = F.col("requested_at") if "requested_at" in governed.columns else F.lit(None).cast("timestamp_ntz")
+    return governed.filter(done).select("incident_id", at.alias("resolved_at"))

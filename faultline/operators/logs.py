@@ -52,6 +52,11 @@ def _newest(rows: DataFrame, limit: int) -> DataFrame:
     return rows.orderBy(F.desc("timestamp"), "log_id").limit(limit)
 
 
+def _no_escape(pattern: str) -> str:
+    """A LIKE pattern in which a backslash stands for itself."""
+    return pattern.replace("\\", "\\\\")
+
+
 def is_single_word(pattern: str) -> bool:
     return re.match(r"^\w+$", pattern) is not None
 
@@ -61,7 +66,7 @@ def has_keyword(line: Column, word: str) -> Column:
 
     ``_`` stays a wildcard, as in LIKE.
     """
-    pattern = f"%{word.lower()}%"
+    pattern = f"%{_no_escape(word.lower())}%"
     return F.exists(text.keywords(line), lambda k: k.like(pattern))
 
 
@@ -81,7 +86,7 @@ def search_keyword(
     recent = logs.filter(within(F.col("timestamp"), as_of, hours))
     if index is None:
         return _newest(recent.filter(has_keyword(F.col("log_line"), word)), limit)
-    matched = index.filter(F.col("keyword").like(f"%{word.lower()}%")).select("log_id")
+    matched = index.filter(F.col("keyword").like(f"%{_no_escape(word.lower())}%")).select("log_id")
     return _newest(recent.join(matched, "log_id", "left_semi"), limit)
 
 
@@ -90,7 +95,7 @@ def search_substring(
 ) -> DataFrame:
     """Newest logs whose line contains ``pattern``; ``%`` and ``_`` are wildcards."""
     recent = logs.filter(within(F.col("timestamp"), as_of, hours))
-    return _newest(recent.filter(F.col("log_line").ilike(f"%{pattern}%")), limit)
+    return _newest(recent.filter(F.col("log_line").ilike(f"%{_no_escape(pattern)}%")), limit)
 
 
 def search_logs(

@@ -66,19 +66,21 @@ def route_questions(questions: DataFrame) -> DataFrame:
     )
 
 
-def restart_advice(logs: DataFrame, as_of: str, services: list[str] = SERVICES, hours: int = 1) -> DataFrame:
+def restart_advice(
+    logs: DataFrame, as_of: str, services: list[str] = SERVICES, hours: int = 1, limit: int = SEARCH_LIMIT
+) -> DataFrame:
     """Per service: matching logs in the window (as a search would return) and YES or NO.
 
     One pass over the window; services are a short argument list.
     """
     recent = logs.filter(F.col("timestamp") >= cutoff(as_of, hours))
     counts = recent.agg(
-        *[F.least(F.count_if(has_keyword(F.col("log_line"), s)), F.lit(SEARCH_LIMIT)).alias(s) for s in services]
+        *[F.least(F.count_if(has_keyword(F.col("log_line"), s)), F.lit(limit)).alias(s) for s in services]
     )
     pairs = F.explode(F.create_map(*[x for s in services for x in (F.lit(s), F.col(s))]))
     n, service = F.col("matching_logs"), F.col("service")
     healthy = F.concat(F.lit("No recent errors found for "), service, F.lit(". Service appears healthy."))
-    found = F.concat(F.lit("Found "), n.cast("string"), F.lit(" error(s) in the last hour"))
+    found = F.concat(F.lit("Found "), n.cast("string"), F.lit(" error(s) in the last hour" if hours == 1 else f" error(s) in the last {hours} hours"))
     return counts.select(pairs.alias("service", "matching_logs")).select(
         "service",
         "matching_logs",
@@ -116,12 +118,12 @@ def error_summaries(incidents: DataFrame, logs: DataFrame, hours: DataFrame, as_
     )
 
 
-def suspicious_answers(logs: DataFrame, hours: DataFrame, as_of: str) -> DataFrame:
-    """hours, n_events and the answer text: the count and the five newest lines."""
+def suspicious_answers(logs: DataFrame, hours: DataFrame, as_of: str, limit: int = SEARCH_LIMIT) -> DataFrame:
+    """hours, n_events (``limit`` at most, as a search would return) and the answer text: the count and the five newest lines."""
     windows = hours.select(F.col("hours").cast("bigint").alias("hours")).distinct()
     auth = logs.filter(has_keyword(F.col("log_line"), AUTH_PATTERN)).select("log_id", "timestamp", "log_line")
     counted = counts_by_hours(auth, "timestamp", windows, as_of, "_n").select(
-        "hours", F.least("_n", F.lit(SEARCH_LIMIT)).alias("n_events")
+        "hours", F.least("_n", F.lit(limit)).alias("n_events")
     )
     as_incidents = auth.select(
         F.col("timestamp").alias("detected_at"), F.col("log_id").alias("incident_id"), "log_line"

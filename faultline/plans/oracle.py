@@ -352,7 +352,7 @@ def advice(hours: int) -> str:
     )
     return f"""SELECT service, matching_logs, CASE WHEN matching_logs >= 3 THEN 'YES' ELSE 'NO' END AS recommendation,
       CASE WHEN matching_logs = 0 THEN 'No recent errors found for ' || service || '. Service appears healthy.'
-      ELSE 'Found ' || matching_logs || ' error(s) in the last hour' END AS reason FROM ({counted})"""
+      ELSE 'Found ' || matching_logs || ' error(s) in the last {"hour" if hours == 1 else f"{hours} hours"}' END AS reason FROM ({counted})"""
 
 
 put("restart_advice", [LOGS], advice(24))

@@ -23,7 +23,7 @@ def _landing(spark, d) -> str:
     """Log lines with a full leading time, written as text files to follow."""
     path = work_dir(spark, "landing")
     stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
-    lines = wh.logs(spark, d).select(F.concat(stamp, F.substring("log_line", 11, 1000000)).alias("value"))
+    lines = wh.logs(spark, d).select(F.concat(stamp, F.substr(F.col("log_line"), F.lit(11))).alias("value"))
     lines.write.text(path)
     return path
 

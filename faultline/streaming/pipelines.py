@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from faultline.functions import detect, text
@@ -37,25 +38,41 @@ def _save(rows: DataFrame, path: str, batch_id: int) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(target)
 
 
-# Bits of a log id below the batch number: partition, then row within it.
-PARTITION_BITS, ROW_BITS = 17, 26
+def dense_ids(rows: DataFrame, base: int) -> DataFrame:
+    """``rows`` with ``log_id`` = ``base``, base + 1, ... in the order of their columns ``part`` and ``row``.
 
-
-def batch_log_id(batch_id: int) -> Column:
-    """Unique id of a row of one micro-batch.
-
-    Holds for 2^17 partitions of 2^26 rows each, the most lines that a split of the
-    default 128 MiB can carry.
+    The counts of the parts (one row for each task of a batch) give where each part
+    starts; the rows of a part are numbered by its own task.
     """
-    local = F.monotonically_increasing_id()
-    partition, row = F.shiftright(local, 33), local.bitwiseAND(F.lit((1 << 33) - 1))
-    return F.lit(batch_id << (PARTITION_BITS + ROW_BITS)) + F.shiftleft(partition, ROW_BITS) + row
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", (F.coalesce(F.sum("n").over(order), F.lit(0)) + F.lit(base).cast("bigint")).alias("start")
+    )
+    return rows.join(starts, "part").withColumn("log_id", F.col("start") + F.col("row")).drop("part", "row", "start")
 
 
-def _with_ids(batch: DataFrame, batch_id: int) -> DataFrame:
+def _with_ids(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
+    """Lines of one micro-batch with ids that continue those of the batches before.
+
+    The lines are stored with their place before they are counted, and the next free
+    id after them, so a replayed batch gets the ids it had.
+    """
+    spark = batch.sparkSession
     batch = batch.filter(text.strip(F.col("log_line")) != "")
     if "log_id" not in batch.columns:
-        batch = batch.withColumn("log_id", batch_log_id(batch_id))
+        local = F.monotonically_increasing_id()  # numbers the rows of each task without gaps, the task in the high bits
+        placed = batch.withColumn("local", local).select(
+            "*", F.shiftright("local", 33).alias("part"), F.col("local").bitwiseAND(F.lit((1 << 33) - 1)).alias("row")
+        )
+        lines = _save(placed.drop("local"), f"{out}/lines", batch_id)
+        schema = "next_id bigint, batch_id bigint"
+        if batch_id == 0:
+            base = 0
+        else:
+            ends = spark.read.schema(schema).parquet(f"{out}/ids").filter(F.col("batch_id") < batch_id)
+            base = ends.agg(F.coalesce(F.max("next_id"), F.lit(0))).first()[0]
+        _save(spark.createDataFrame([(base + lines.count(),)], "next_id bigint"), f"{out}/ids", batch_id)
+        batch = dense_ids(lines, base)
     return batch.withColumn("timestamp", F.col("event_time").cast("timestamp_ntz")).drop("event_time")
 
 
@@ -66,7 +83,7 @@ def start_ingest(stream: DataFrame, out: str, checkpoint: str, once: bool = Fals
     if part of the batch has to be recomputed.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        stored = _save(logs.ingest(_with_ids(batch, batch_id)), f"{out}/logs", batch_id)
+        stored = _save(logs.ingest(_with_ids(batch, batch_id, out)), f"{out}/logs", batch_id)
         _save(logs.lexical_index(stored), f"{out}/lexical_index", batch_id)
 
     return start_batches(stream, process, checkpoint, once)
@@ -85,7 +102,7 @@ def start_triage(
     flagged = stream.filter(detect.detect_monitor(F.col("log_line")))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        opened = incidents.open_incidents_from_logs(_with_ids(batch, batch_id), F.lit(True))
+        opened = incidents.open_incidents_from_logs(_with_ids(batch, batch_id, out), F.lit(True))
         opened = _save(opened, f"{out}/opened", batch_id)
         requests = opened.select(
             F.col("incident_id").alias("request_id"),
