@@ -7,6 +7,7 @@ the shared folder before the next one reads it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faultline.llm import decontamination, gam, mixing, near_duplicates, token_files
 from faultline.llm.common import table
@@ -32,7 +33,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy of a document that the mix of sources takes."""
-    return mixing.draw_mix(mixing.plan_mix(docs, whole=True)).select(*docs.columns)
+    used = ["doc_id", "text", "source"]
+    others = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in used]).alias("_others")
+    drawn = mixing.draw_mix(mixing.plan_mix(docs.select(*used, others), whole=True))
+    return drawn.select(*[F.col(c if c in used else f"_others.`{c}`") for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -300,10 +300,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that of the smallest id, with all its columns; of rows that share that id, one."""
-    kept = link(docs, percent).where("id = component").select(F.col("id").alias("_id")).distinct()
-    rows = docs.withColumn("_id", row_id(F.col("doc_id"), F.col("text"))).join(kept, "_id", "left_semi")
-    first = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
-    return rows.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").select(*docs.columns)
+    kept = link(docs, percent).where("id = component").select(F.col("id").alias("_node_of_row")).distinct()
+    rows = docs.withColumn("_node_of_row", row_id(F.col("doc_id"), F.col("text"))).join(kept, "_node_of_row", "left_semi")
+    first = Window.partitionBy("_node_of_row").orderBy(F.xxhash64("text"))
+    return rows.withColumn("_rank_in_node", F.row_number().over(first)).where("_rank_in_node = 1").select(*docs.columns)
 
 
 SQL = r"""
