@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def squeeze(rows: DataFrame) -> DataFrame:
+    """``rows`` with their column ``text`` compressed, for the way through a shuffle; see ``unsqueeze``."""
+    at = rows.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for part in slices(batches):
+            columns = list(part.columns)
+            columns[at] = pa.array([None if t is None else pack(t) for t in columns[at].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def unsqueeze(text: bytes | None) -> bytes | None:
+    return None if text is None else zstandard.ZstdDecompressor().decompress(text)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import NO_ID, gram_hashes, mix, row_id, signed, slices, table, word_hashes
+from faultline.llm.common import NO_ID, gram_hashes, mix, row_id, signed, slices, squeeze, table, unsqueeze, word_hashes
 from faultline.llm.components import components
 from faultline.session import cut_lineage
 
@@ -186,7 +186,7 @@ def lanes(rows: DataFrame, percent: int, frequent: np.ndarray, hot: np.ndarray)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts are alike."""
+    """The pairs (a, b) whose texts, given compressed, are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, _NONE
@@ -195,8 +195,8 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             keep = []
             for k in range(part.num_rows):
                 if a[k] != last:
-                    last, left = a[k], shingles(ta[k])
-                keep.append(alike(left, shingles(tb[k]), percent))
+                    last, left = a[k], shingles(unsqueeze(ta[k]))
+                keep.append(alike(left, shingles(unsqueeze(tb[k])), percent))
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -260,7 +260,7 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     groups = cut_lineage(groups.distinct())  # many lanes have the same members
 
     wanted = groups.select("id").union(groups.select("hub")).distinct()
-    texts = cut_lineage(rows.join(wanted, "id", "left_semi"))
+    texts = cut_lineage(squeeze(rows).join(wanted, "id", "left_semi"))
     first_pairs = cut_lineage(groups.where("hub <> id").select(*_pairs("hub", "id")).distinct())
     possible = cut_lineage(near(first_pairs, sets, percent))
     set_of = members.select("id", "set_id").distinct()

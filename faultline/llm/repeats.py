@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import gram_hashes, mix, prefix_hash, row_id, signed, slices, sliding_argmin, span_hash, word_spans
+from faultline.llm.common import gram_hashes, mix, prefix_hash, row_id, signed, slices, sliding_argmin, span_hash, squeeze, unsqueeze, word_spans
 from faultline.session import cut_lineage
 
 FREQUENT = 16
@@ -48,7 +48,7 @@ class Words:
     """Windows of words; a text counts as its words with one space between."""
 
     window: int = 20
-    gram: int = 8
+    gram: int = 6
     sample: int = 4096  # about as many rows tell which grams are frequent
 
     def content(self, text: bytes | None) -> bytes:
@@ -81,7 +81,7 @@ class Bytes:
     """Windows of UTF-8 bytes."""
 
     window: int = 100
-    gram: int = 40
+    gram: int = 28
     sample: int = 1024
 
     def content(self, text: bytes | None) -> bytes:
@@ -166,7 +166,7 @@ def _run(rows: DataFrame, schema: str, make: Callable) -> DataFrame:
 
 
 def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> tuple[DataFrame, DataFrame]:
-    """(texts that may hold repeats: id, tie, text), (runs: id, tie, first, n) of windows that occur earlier.
+    """(texts that may hold repeats: id, tie, compressed text), (runs: id, tie, first, n) of windows that occur earlier.
 
     ``settle(members)`` takes spans (id, tie, first window, string) of whole
     minimisers, no two strings equal, those of one minimiser in order of place, and
@@ -194,26 +194,27 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
                 for column, x in zip(out, (signed(keys), np.full(len(first), i), np.full(len(first), tie), first)):
                     column.append(x)
             key, *place = (np.concatenate(x) for x in out)
-            # of what repeats among these texts, one row tells the others; the rest need no meeting and go anywhere
+            # of what repeats among these texts, one row tells the others; the rest need no
+            # meeting and go anywhere, their first window stored as a negative number
             _, one, of, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
             sure = counts[of] > 1
             away = signed(mix(place[0].view(np.uint64)) + place[2].view(np.uint64))
             told = one[counts > 1]
-            columns = [np.where(sure, away, key), *place, sure.astype(np.int64)]
-            more = [key[told], *(x[told] for x in place), np.zeros(len(told), np.int64)]
+            columns = [np.where(sure, away, key), *place[:2], np.where(sure, -1 - place[2], place[2])]
+            more = [key[told], *(x[told] for x in place)]
             yield [np.concatenate(x) for x in zip(columns, more)]
 
-    sent = _run(rows, "key long, id long, tie long, first long, sure long", minimisers)
-    twice = sent.withColumn("n", F.expr("count(1) over (partition by key)")).where("n > 1 or sure = 1")
-    flagged = twice.groupBy("id", "tie").agg(F.collect_set("first").alias("firsts"))  # spans of one text
-    texts = cut_lineage(rows.join(flagged, ["id", "tie"]))
+    sent = _run(rows, "key long, id long, tie long, first long", minimisers)
+    twice = sent.withColumn("n", F.expr("count(1) over (partition by key)")).where("n > 1 or first < 0")
+    flagged = twice.groupBy("id", "tie").agg(F.collect_set(F.expr("cast(greatest(first, -1 - first) as int)")).alias("firsts"))  # spans of one text
+    texts = cut_lineage(squeeze(rows).join(flagged, ["id", "tie"]))
 
     def pack(parts):
         seen = FirstSeen()
         for part in parts:
             out: list[list] = [[], [], [], [], [], []]
             for i, tie, t, firsts in zip(*(c.to_pylist() for c in part.columns)):
-                content, wanted = unit.content(t), set(firsts)
+                content, wanted = unit.content(unsqueeze(t)), set(firsts)
                 cuts = unit.cuts(content)
                 for first, n, key in zip(*(x.tolist() for x in spans(unit, content, frequent))):
                     if first not in wanted:
@@ -319,7 +320,7 @@ def remove_repeats(docs: DataFrame, unit: Unit, settle: Callable, doc_id: str =
         for part in parts:
             out: list[list] = [[], [], [], [], []]
             for i, tie, t, marks in zip(*(c.to_pylist() for c in part.columns)):
-                content = unit.content(t)
+                content = unit.content(unsqueeze(t))
                 edge = np.zeros(unit.size(content) + 1, np.int64)
                 for m in marks:
                     edge[m["first"]] += 1
