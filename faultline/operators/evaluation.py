@@ -18,36 +18,51 @@ def dataset_limit(logs: DataFrame, n: int) -> DataFrame:
     return logs.orderBy("log_id").limit(n)
 
 
-def confusion(logs: DataFrame, detected: Column, label: Column | None = None) -> DataFrame:
-    """TP, FP, FN, TN and totals of a detector against a label, in one pass."""
-    truth = (F.col("is_anomaly") == 1) if label is None else label
-    flags = logs.select(detected.alias("d"), truth.alias("t"))
-    d, t = F.col("d"), F.col("t")
-    return flags.agg(
+def _counts(d: Column, t: Column) -> list[Column]:
+    return [
         F.count("*").alias("total_logs"),
         F.count_if(t).alias("true_anomalies"),
         F.count_if(d & t).alias("tp"),
         F.count_if(d & ~t).alias("fp"),
         F.count_if(~d & t).alias("fn"),
         F.count_if(~d & ~t).alias("tn"),
-    )
+    ]
+
+
+def confusion(logs: DataFrame, detected: Column, label: Column | None = None) -> DataFrame:
+    """TP, FP, FN, TN and totals of a detector against a label, in one pass."""
+    truth = (F.col("is_anomaly") == 1) if label is None else label
+    flags = logs.select(detected.alias("d"), truth.alias("t"))
+    return flags.agg(*_counts(F.col("d"), F.col("t")))
 
 
 def _rate(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den * 100).otherwise(F.lit(0.0))
 
 
-def detection_metrics(logs: DataFrame, detected: Column, label: Column | None = None) -> DataFrame:
-    """Confusion counts with precision, recall and F1 in percent."""
+def _scored(counts: DataFrame) -> DataFrame:
     p, r = F.col("precision"), F.col("recall")
     return (
-        confusion(logs, detected, label)
+        counts
         .withColumn("precision", _rate(F.col("tp"), F.col("tp") + F.col("fp")))
         .withColumn("recall", _rate(F.col("tp"), F.col("true_anomalies")))
         .withColumn("f1_score", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0)))
     )
 
 
+def detection_metrics(logs: DataFrame, detected: Column, label: Column | None = None) -> DataFrame:
+    """Confusion counts with precision, recall and F1 in percent."""
+    return _scored(confusion(logs, detected, label))
+
+
+def detector_scores(logs: DataFrame, detectors: dict[str, Column], label: Column | None = None) -> DataFrame:
+    """:func:`detection_metrics` of several detectors, a row each, from one scan."""
+    truth = (F.col("is_anomaly") == 1) if label is None else label
+    flags = logs.select(truth.alias("t"), *[c.alias(f"d_{n}") for n, c in detectors.items()])
+    each = [F.struct(F.lit(n).alias("detector"), *_counts(F.col(f"d_{n}"), F.col("t"))) for n in detectors]
+    return _scored(flags.agg(F.array(*each).alias("scores")).select(F.inline("scores")))
+
+
 def detector_agreement(logs: DataFrame, detected: Column, reference: Column) -> DataFrame:
     """Scores of one detector with another as the truth; accuracy is its recall."""
     return detection_metrics(logs, detected, reference).withColumn("accuracy", F.col("recall"))

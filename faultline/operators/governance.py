@@ -10,6 +10,8 @@ VALIDATION_FAILED, VALIDATED, REJECTED = "validation_failed", "validated", "reje
 APPROVED, DRY_RUN, READY = "approved", "dry_run", "ready"
 AUTO_APPROVED, DRY_RUN_GATE = "auto_approved", "dry_run_mode"
 UNKNOWN_TOOL, MISSING_PARAMETER = "Unknown tool: ", "Missing required parameter: "
+EXECUTED, FAILED, TIMEOUT, ERROR = "executed", "failed", "timeout", "error"
+UNKNOWN_ERROR, TIMED_OUT = "Unknown error", "Tool execution timed out"
 GATE_REJECTION = "Action rejected by approval gate"
 UNKNOWN_RISK = "UNKNOWN"
 
@@ -29,9 +31,12 @@ def validate_actions(requests: DataFrame, tools: DataFrame) -> DataFrame:
     """Requests plus ``error`` (null when valid) and ``is_valid``.
 
     The registry is a dimension keyed by tool name; Spark broadcasts it when its size
-    allows and otherwise joins on the name.
+    allows and otherwise joins on the name.  Of entries of one name, the one that
+    requires the most parameters holds.
     """
-    registry = tools.select(F.col("name").alias("tool_name"), F.col("name").alias("_tool"), "required")
+    strictest = F.max(F.struct(F.size("required").alias("n"), "required"))["required"]
+    registry = tools.groupBy(F.col("name").alias("tool_name")).agg(strictest.alias("required"))
+    registry = registry.withColumn("_tool", F.col("tool_name"))
     checked = requests.join(registry, "tool_name", "left")
     return (
         checked.withColumn("error", validation_error(checked))
@@ -41,12 +46,13 @@ def validate_actions(requests: DataFrame, tools: DataFrame) -> DataFrame:
 
 
 def with_policy(requests: DataFrame, policy: DataFrame) -> DataFrame:
-    """Add requires_approval and risk_level; actions without a policy need none."""
-    dim = policy.select(
-        F.col("action_name").alias("tool_name"),
-        F.col("requires_approval").alias("_needs"),
-        F.col("risk_level").alias("_risk"),
-    )
+    """Add requires_approval and risk_level; actions without a policy need none.
+
+    Of entries of one name, one that requires approval holds before one that does not.
+    """
+    dim = policy.groupBy(F.col("action_name").alias("tool_name")).agg(
+        F.max(F.struct("requires_approval", "risk_level")).alias("_policy")
+    ).select("tool_name", F.col("_policy.requires_approval").alias("_needs"), F.col("_policy.risk_level").alias("_risk"))
     return (
         requests.join(dim, "tool_name", "left")
         .withColumn("requires_approval", F.coalesce("_needs", F.lit(False)))
@@ -65,13 +71,17 @@ def govern_actions(
     """Outcome of every request: statuses in order, final status, success, message.
 
     ``requests``: request_id, tool_name, incident_id, params.  ``decisions``:
-    request_id, approved, approved_by; a request without one is rejected.
+    request_id, approved, approved_by; a request without one is rejected, and of
+    several on one request any refusal wins.
     """
     checked = with_policy(validate_actions(requests, tools), policy)
     if decisions is None or dry_run:
         decided = checked.withColumn("_approved", F.lit(False)).withColumn("_by", F.lit(None).cast("string"))
     else:
-        answers = decisions.select("request_id", F.col("approved").alias("_approved"), F.col("approved_by").alias("_by"))
+        one = F.min(F.struct(F.coalesce("approved", F.lit(False)).alias("approved"), "approved_by"))
+        answers = decisions.groupBy("request_id").agg(one.alias("_one")).select(
+            "request_id", F.col("_one.approved").alias("_approved"), F.col("_one.approved_by").alias("_by")
+        )
         decided = checked.join(answers, "request_id", "left")
     invalid, gated = ~F.col("is_valid"), F.col("requires_approval")
     approved = F.coalesce("_approved", F.lit(False))
@@ -143,32 +153,54 @@ def audit_events(governed: DataFrame) -> DataFrame:
     )
 
 
+def _reported(governed: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Ready requests with what came of them, the last report of each."""
+    report = F.struct("executed_at", F.col("status").alias("outcome"), "output")
+    last = outcomes.groupBy("request_id").agg(F.max(report).alias("_last")).select("request_id", "_last.*")
+    return governed.filter(F.col("status") == READY).join(last, "request_id")
+
+
 def record_outcomes(governed: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Action rows of executed requests that belong to an incident.
 
     ``outcomes``: request_id, status, output, executed_at, as reported by whatever ran
-    the ready requests.
+    the ready requests; of several reports on a request the last one holds.
     """
-    ready = governed.filter((F.col("status") == READY) & F.col("incident_id").isNotNull())
-    done = outcomes.filter(F.col("status") == "executed").select("request_id", "output", "executed_at")
-    return ready.join(done, "request_id").select(
+    done = _reported(governed, outcomes).filter((F.col("outcome") == EXECUTED) & F.col("incident_id").isNotNull())
+    return done.select(
         F.col("request_id").alias("action_id"),
         "incident_id",
         F.col("tool_name").alias("action_name"),
         "executed_at",
-        F.lit("executed").alias("status"),
+        F.col("outcome").alias("status"),
         "approved_by",
         F.col("output").alias("result_message"),
     )
 
 
+def outcome_audit(governed: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The audit row of each ready request that has run: executed, failed, timeout or error.
+
+    A status of any other name counts as an error.
+    """
+    known = F.coalesce(F.col("outcome").isin(EXECUTED, FAILED, TIMEOUT), F.lit(False))
+    status, said = F.when(known, F.col("outcome")).otherwise(ERROR), F.nullif("output", F.lit(""))
+    rows = _reported(governed, outcomes).drop("status", "error").withColumn("status", status)
+    error = (
+        F.when(F.col("status") == FAILED, F.coalesce(said, F.lit(UNKNOWN_ERROR)))
+        .when(F.col("status") == TIMEOUT, TIMED_OUT)
+        .when(F.col("status") == ERROR, F.coalesce("output", F.lit("")))
+    )
+    by = F.when(F.col("status") == EXECUTED, F.col("approved_by"))
+    return rows.select("request_id", "tool_name", "incident_id", "executed_at", "status", by.alias("approved_by"), error.alias("error"))
+
+
 def resolves_incident(success: Column, message: Column) -> Column:
     """A successful action resolves its incident unless it was a dry run."""
     return success & ~F.upper(message).contains("DRY RUN")
 
 
-def resolutions_from(governed: DataFrame) -> DataFrame:
-    """(incident_id, resolved_at) for incidents whose action went through; the time is null where requests carry none."""
-    done = resolves_incident(F.col("success"), F.col("message")) & F.col("incident_id").isNotNull()
-    at = F.col("requested_at") if "requested_at" in governed.columns else F.lit(None).cast("timestamp_ntz")
-    return governed.filter(done).select("incident_id", at.alias("resolved_at"))
+def resolutions_from(governed: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """(incident_id, resolved_at) for incidents whose action has run with success."""
+    done = resolves_incident(F.col("outcome") == EXECUTED, F.col("message")) & F.col("incident_id").isNotNull()
+    return _reported(governed, outcomes).filter(done).select("incident_id", F.col("executed_at").alias("resolved_at"))

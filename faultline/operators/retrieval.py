@@ -63,15 +63,19 @@ def _best_of_partition(
             if batch.num_rows == 0:
                 continue
             flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            rows = _normalised(flat.astype(np.float64).reshape(batch.num_rows, dim))
-            at = batch.column("micros").to_numpy(zero_copy_only=False)
-            log_id = batch.column("log_id").to_numpy(zero_copy_only=False)
+            rows = flat.astype(np.float64).reshape(batch.num_rows, dim)
+            finite = np.isfinite(rows).all(axis=1)  # a null element is NaN here
+            if not finite.any():
+                continue
+            rows = _normalised(rows[finite])
+            at = batch.column("micros").to_numpy(zero_copy_only=False)[finite]
+            log_id = batch.column("log_id").to_numpy(zero_copy_only=False)[finite]
             for start in range(0, n, QUERY_CHUNK):
                 part = slice(start, start + QUERY_CHUNK)
                 scores = np.round(queries[part] @ rows.T, SIMILARITY_DIGITS) + 0.0
                 scores[at[None, :] < cutoffs[part, None]] = -np.inf
                 least = floor[part]
-                if batch.num_rows > k:
+                if len(rows) > k:
                     least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
                 eligible = (scores >= least[:, None]) & (scores > -np.inf)
                 for j in np.flatnonzero(eligible.any(axis=1)):
@@ -102,20 +106,27 @@ def nearest(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int =
     """The k logs nearest to each query by cosine: query_id, log_id, micros, similarity.
 
     ``logs``: log_id, timestamp, embedding.  ``queries``: query_id, embedding and, if
-    wanted, cutoff (only logs at or after it count).  Logs without a vector or with
-    one of another length are skipped.
+    wanted, cutoff (only logs at or after it count; null: all).  Logs without a vector,
+    with one of another length, or with an element that is null, NaN or infinite are
+    skipped; queries with such a vector get no hits.
 
-    Starts jobs.  Queries go to the tasks in blocks of at most ``block_bytes``; each
+    Starts jobs.  Queries with the same vector and cutoff are scored once.  They go to
+    the tasks in blocks of at most ``block_bytes``; each
     block is one pass over the log vectors that shuffles at most k rows per query and
     task.  With several blocks each pass is written out before the next begins.
     """
-    since = micros(F.col("cutoff")) if "cutoff" in queries.columns else F.lit(np.iinfo(np.int64).min)
-    asked = queries.filter(F.col("embedding").isNotNull()).select(
+    always = F.lit(np.iinfo(np.int64).min)
+    since = F.coalesce(micros(F.col("cutoff")), always) if "cutoff" in queries.columns else always
+    known = queries.filter(F.col("embedding").isNotNull()).select(
         F.col("query_id").cast("bigint").alias("query_id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
         since.alias("cutoff"),
         F.size("embedding").alias("dim"),
     )
+    # Not so for null, NaN and infinity.
+    known = cut_lineage(known.filter(F.forall("embedding", lambda x: F.abs(x) <= F.lit(float(np.finfo(np.float32).max)))))
+    same = ["embedding", "cutoff", "dim"]
+    asked = cut_lineage(known.select(same).distinct().withColumn("lead", F.monotonically_increasing_id()))
     rows = logs.filter(F.col("embedding").isNotNull()).select(
         "log_id", micros(F.col("timestamp")).alias("micros"), F.col("embedding").cast("array<float>").alias("embedding")
     )
@@ -131,23 +142,24 @@ def nearest(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int =
     for dim, b, n in blocks:
         mine = asked.filter(F.col("dim") == dim)
         if n > 1:
-            mine = mine.filter(F.pmod(F.xxhash64("query_id"), F.lit(n)) == b)
+            mine = mine.filter(F.pmod(F.xxhash64("lead"), F.lit(n)) == b)
         block = mine.toArrow()
         if block.num_rows == 0:
             continue
-        ids = block.column("query_id").to_numpy()
+        ids = block.column("lead").to_numpy()
         flat = block.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         part = rows.mapInArrow(
             _best_of_partition(ids, flat.reshape(len(ids), dim), block.column("cutoff").to_numpy(), k), schema
         )
         parts.append(cut_lineage(part) if len(blocks) > 1 else part)
     if not parts:
-        return rows.sparkSession.createDataFrame([], schema)
+        return rows.sparkSession.createDataFrame([], f"{schema}, rank int")
     hits = parts[0]
     for part in parts[1:]:
         hits = hits.unionByName(part)
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.desc("micros"), "log_id")
-    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    hits = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).withColumnRenamed("query_id", "lead")
+    return known.join(asked, same).select("query_id", "lead").join(hits, "lead").drop("lead")
 
 
 def semantic_topk(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:

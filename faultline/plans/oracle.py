@@ -141,6 +141,11 @@ REQUESTS = f"""{INCIDENTS}, requests AS (SELECT incident_id AS request_id, {REQU
 DECISIONS = f"""decisions AS (SELECT event_id AS request_id, {K} < 35 AS approved,
   'operator_' || CAST(user_id % 3 AS VARCHAR) AS approved_by FROM events WHERE {K} < 50)"""
 
+# The second, earlier reports of some requests never count.
+OUTCOMES = f"""outcomes AS (SELECT event_id AS request_id, ts + to_minutes(k % 60 + 1) AS executed_at,
+  CASE WHEN k % 5 < 2 THEN 'executed' WHEN k % 5 = 2 THEN 'failed' WHEN k % 5 = 3 THEN 'timeout' ELSE 'lost' END AS outcome,
+  CASE WHEN k % 2 = 0 THEN 'exit ' || k ELSE '' END AS output FROM (SELECT *, {K} AS k FROM events) WHERE k % 7 <> 0)"""
+
 POLICY = """policy(action_name, risk_level, requires_approval, description) AS (VALUES
   ('RESTART_APACHE', 'HIGH', TRUE, 'Restart Apache web server - may cause service interruption'),
   ('CLEAR_TEMP_CACHE', 'LOW', FALSE, 'Clear temporary cache files - low risk operation'),
@@ -446,13 +451,13 @@ def hybrid(k: int) -> str:
     top AS (SELECT merged.*, log_line FROM merged JOIN logs USING (log_id) WHERE rank <= {k})"""
 
 
-OPEN_WEEK = f"""asked_for AS (SELECT i.incident_id AS request_id, i.log_line, t.template_id, embedding, {hours_ago(168)} AS cutoff
+ASKED_WEEK = f"""asked_for AS (SELECT i.incident_id AS request_id, i.log_line, t.template_id, embedding, {hours_ago(168)} AS cutoff
     FROM vector_incidents i LEFT JOIN incident_template t ON t.incident_id = i.incident_id
-    WHERE detected_at >= {hours_ago(168)} AND status = 'open')"""
+    WHERE detected_at >= {hours_ago(168)})"""
 _hybrid = [TEMPLATED, INCIDENTS, FIRST, INCIDENT_TEMPLATE, EMBEDDED, VECTOR_INCIDENTS]
-put("hybrid_retrieve", [*_hybrid, OPEN_WEEK, hybrid(10)], """SELECT request_id AS incident_id, log_id, "timestamp",
+put("hybrid_retrieve", [*_hybrid, ASKED_WEEK, hybrid(10)], """SELECT request_id AS incident_id, log_id, "timestamp",
   round(similarity, 6) AS similarity, retrieval_method, rank, log_line FROM top""")
-put("incident_context", [*_hybrid, OPEN_WEEK, hybrid(10), f"""gathered AS (SELECT request_id, count(*) AS n, string_agg(
+put("incident_context", [*_hybrid, ASKED_WEEK, hybrid(10), f"""gathered AS (SELECT request_id, count(*) AS n, string_agg(
     '[' || strftime("timestamp", '{ISO}') || '] ' || log_line || ' (retrieved via ' || retrieval_method || ')', chr(10) ORDER BY rank) AS t
     FROM top GROUP BY 1)"""], """SELECT a.request_id AS incident_id, coalesce(n, 0) AS n_related, coalesce(t, '') AS context_text,
   'Incident line:' || chr(10) || log_line || chr(10) || chr(10) || 'Related log lines:' || chr(10) || coalesce(t, '') || chr(10) || chr(10) ||
@@ -501,10 +506,11 @@ put("embed_logs", [LINES], f"""SELECT doc_id, line_no, 256 AS dim,
   CASE WHEN len({keywords('substring(log_line, 1, 512)')}) = 0 THEN 0::DOUBLE ELSE 1::DOUBLE END AS norm FROM lines""")
 
 # -- rules, governance, reports
-put("windowed_alerts", [LOGS, INCIDENTS, patterns(24)], """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, pattern,
-  count(*) AS matches, CAST(2 AS BIGINT) AS threshold, action FROM (
-    SELECT date_trunc('hour', "timestamp") AS window_start, pattern, action FROM logs JOIN rules ON regexp_matches(log_line, regex))
-  GROUP BY window_start, pattern, action HAVING count(*) >= 2""")
+put("windowed_alerts", [LOGS, INCIDENTS, patterns(24)], """SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, pattern,
+  count(*) AS matches, threshold, action FROM (
+    SELECT CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS window_start, pattern, threshold, action
+    FROM logs JOIN rules ON regexp_matches(log_line, regex))
+  GROUP BY window_start, pattern, threshold, action HAVING count(*) >= threshold""")
 
 
 def governed(dry_run: bool) -> str:
@@ -536,6 +542,14 @@ put("audit_events", [*_gate, governed(False), "steps AS (SELECT *, string_split(
   SELECT request_id, seq, requested_at, tool_name, incident_id, step AS status, CASE WHEN step <> 'validated' THEN approved_by END AS approved_by,
     CASE WHEN step = 'validation_failed' THEN error END AS error FROM (
     SELECT *, unnest(a) AS step, CAST(generate_subscripts(a, 1) - 1 AS INT) AS seq FROM steps)""")
+put("record_actions", [*_gate, governed(False), OUTCOMES], """SELECT request_id AS action_id, incident_id, tool_name AS action_name,
+  executed_at, outcome AS status, approved_by, output AS result_message FROM governed JOIN outcomes USING (request_id)
+  WHERE status = 'ready' AND outcome = 'executed' AND incident_id IS NOT NULL""")
+put("outcome_audit", [*_gate, governed(False), OUTCOMES], """SELECT request_id, tool_name, incident_id, executed_at,
+  CASE WHEN outcome = 'lost' THEN 'error' ELSE outcome END AS status, CASE WHEN outcome = 'executed' THEN approved_by END AS approved_by,
+  CASE outcome WHEN 'failed' THEN coalesce(nullif(output, ''), 'Unknown error') WHEN 'timeout' THEN 'Tool execution timed out'
+    WHEN 'lost' THEN output END AS error
+  FROM governed JOIN outcomes USING (request_id) WHERE status = 'ready'""")
 put("evaluation_report", [LOGS, INCIDENTS, ACTIONS], f"""SELECT '{AS_OF}' AS timestamp, d.total_logs, true_anomalies,
   tp AS detected_anomalies, fp AS false_positives, fn AS false_negatives, round(precision, 2) AS precision, round(recall, 2) AS recall,
   round(f1_score, 2) AS f1_score, round(l.average, 2) AS latency_average, round(l.min, 2) AS latency_min, round(l.max, 2) AS latency_max,
@@ -551,12 +565,13 @@ put("stream_logs", [LOGS], f"""SELECT {_stamped} AS log_line, date_trunc('second
 put("stream_ingest", [LOGS, f"stamped AS (SELECT {_stamped} AS line, \"timestamp\" AS t FROM logs)"], f"""SELECT line AS log_line,
   date_trunc('second', t) AS timestamp, CAST({ingest_flag('line')} AS INT) AS is_anomaly, {template('line')} AS template_pattern,
   len({keywords('line')}[1:20]) AS keywords FROM stamped""")
-put("stream_triage", [LOGS], f"""SELECT incident_id, detected_at, CASE WHEN tool_name = 'ESCALATE' THEN detected_at END AS resolved_at,
-  log_line, summary, CASE WHEN tool_name = 'ESCALATE' THEN 'resolved' ELSE 'open' END AS status, tool_name,
+put("stream_triage", [LOGS, OUTCOMES], f"""SELECT incident_id, detected_at, CASE WHEN tool_name = 'ESCALATE' THEN done_at END AS resolved_at,
+  log_line, summary, CASE WHEN tool_name = 'ESCALATE' AND done_at IS NOT NULL THEN 'resolved' ELSE 'open' END AS status, tool_name,
   CASE WHEN tool_name = 'ESCALATE' THEN 'ready' ELSE 'rejected' END AS action_status,
   CASE WHEN tool_name = 'ESCALATE' THEN 'Tool ''ESCALATE'' ready (approved by auto_approved)' ELSE 'Action rejected by approval gate' END AS message,
   CAST(2 AS BIGINT) AS audit_steps FROM (SELECT log_id AS incident_id, "timestamp" AS detected_at, log_line,
-    {diagnosis('log_line')} AS summary, {diagnosed_action('log_line')} AS tool_name FROM logs WHERE {monitor_flag()})""")
+    {diagnosis('log_line')} AS summary, {diagnosed_action('log_line')} AS tool_name FROM logs WHERE {monitor_flag()})
+  LEFT JOIN (SELECT request_id AS incident_id, executed_at AS done_at FROM outcomes WHERE outcome = 'executed') USING (incident_id)""")
 _stream_rules = ", ".join(f"('{p}', '{r}')" for p, r in text.PATTERN_REGEX.items())
 put("stream_alerts", [LOGS, f"rules(pattern, regex) AS (VALUES {_stream_rules})"], """SELECT window_start,
   window_start + INTERVAL 1 HOUR AS window_end, pattern, count(*) AS matches, CAST(2 AS BIGINT) AS threshold, 'ESCALATE' AS action FROM (

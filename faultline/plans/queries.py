@@ -327,12 +327,7 @@ def detection_metrics(spark, d):
         "eval": detect.detect_eval, "ingest": detect.detect_ingest,
         "monitor": detect.detect_monitor, "intended": detect.detect_intended,
     }
-    rows = wh.logs(spark, d)
-    parts = [evaluation.detection_metrics(rows, f(_line())).withColumn("detector", F.lit(n)) for n, f in flags.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return evaluation.detector_scores(wh.logs(spark, d), {n: f(_line()) for n, f in flags.items()})
 
 
 @query
@@ -512,21 +507,20 @@ def _embedded_incidents(spark, d) -> DataFrame:
     return wh.incidents(spark, d).join(vectors, "user_id", "left").drop("user_id")
 
 
-def _open_this_week(spark, d) -> DataFrame:
-    rows = incidents.in_window(_embedded_incidents(spark, d), AS_OF, WEEK)
-    return rows.filter(F.col("status") == "open")
+def _this_week(spark, d) -> DataFrame:
+    return incidents.in_window(_embedded_incidents(spark, d), AS_OF, WEEK)
 
 
 @query
 def hybrid_retrieve(spark, d):
-    """Related logs of every incident opened in the last week and still open."""
-    hits = retrieval.hybrid_retrieve(_open_this_week(spark, d), wh.embedded_logs(spark, d), AS_OF, WEEK, k=10)
+    """Related logs of every incident of the last week."""
+    hits = retrieval.hybrid_retrieve(_this_week(spark, d), wh.embedded_logs(spark, d), AS_OF, WEEK, k=10)
     return hits.withColumn("similarity", F.round("similarity", 6))
 
 
 @query
 def incident_context(spark, d):
-    return retrieval.incident_context(_open_this_week(spark, d), wh.embedded_logs(spark, d), AS_OF, WEEK, k=10)
+    return retrieval.incident_context(_this_week(spark, d), wh.embedded_logs(spark, d), AS_OF, WEEK, k=10)
 
 
 def _summary_hours(spark, d) -> DataFrame:
@@ -571,9 +565,9 @@ def suggest_rules(spark, d):
 
 @query
 def windowed_alerts(spark, d):
+    """Days on which a rule suggested from the last 24 hours reaches the threshold suggested for it."""
     suggested = rules.suggest_rules(_incidents(spark, d), AS_OF, 24)
-    suggested = suggested.withColumn("threshold", F.lit(2).cast("bigint"))
-    return rules.windowed_alerts(wh.logs(spark, d), suggested)
+    return rules.windowed_alerts(wh.logs(spark, d), suggested, "1 day")
 
 
 def _governed(spark, d, dry_run: bool) -> DataFrame:
@@ -597,6 +591,16 @@ def audit_events(spark, d):
     return governance.audit_events(_governed(spark, d, False))
 
 
+@query
+def record_actions(spark, d):
+    return governance.record_outcomes(_governed(spark, d, False), wh.action_outcomes(spark, d))
+
+
+@query
+def outcome_audit(spark, d):
+    return governance.outcome_audit(_governed(spark, d, False), wh.action_outcomes(spark, d))
+
+
 @query
 def evaluation_report(spark, d):
     """The nested report, one column per figure."""

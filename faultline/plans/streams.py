@@ -70,6 +70,7 @@ def stream_triage(spark, d):
         work_dir(spark, "checkpoint"),
         dry_run=False,
         once=True,
+        outcomes=wh.action_outcomes(spark, d),
     )
     _finish(running)
     steps = spark.read.parquet(f"{out}/audit").groupBy("incident_id").agg(F.count("*").alias("audit_steps"))

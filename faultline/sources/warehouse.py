@@ -261,6 +261,21 @@ def action_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def action_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the actions that ran, an hour at most after the event; some report twice, some never."""
+    k = F.col("k")
+    status = F.when(k % 5 < 2, "executed").when(k % 5 == 2, "failed").when(k % 5 == 3, "timeout").otherwise("lost")
+    first = table(spark, sf_dir, "events").withColumn("k", _k()).filter(k % 7 != 0).select(
+        F.col("event_id").alias("request_id"),
+        status.alias("status"),
+        F.when(k % 2 == 0, F.concat(F.lit("exit "), k.cast("string"))).otherwise("").alias("output"),
+        (F.col("ts") + F.make_dt_interval(mins=k % 60 + 1)).alias("executed_at"),
+        "k",
+    )
+    again = first.filter(k % 3 == 0).withColumn("executed_at", F.col("executed_at") - F.make_dt_interval(secs=F.lit(30)))
+    return first.unionByName(again.withColumn("status", F.lit("timeout"))).drop("k")
+
+
 def approval_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Human decisions for about half of the requests."""
     k = _k()

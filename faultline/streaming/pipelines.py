@@ -97,8 +97,13 @@ def start_triage(
     checkpoint: str,
     dry_run: bool = True,
     once: bool = False,
+    outcomes: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Anomalous lines → incidents, governed actions and audit events under ``out``."""
+    """Anomalous lines → incidents, governed actions and audit events under ``out``.
+
+    An incident is resolved only by an outcome (see :func:`governance.record_outcomes`)
+    of an action that has run; those not reported yet stay open.
+    """
     flagged = stream.filter(detect.detect_monitor(F.col("log_line")))
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -115,8 +120,9 @@ def start_triage(
             governance.govern_actions(requests, tools, policy, dry_run=dry_run), f"{out}/governed", batch_id
         )
         _save(governance.audit_events(governed), f"{out}/audit", batch_id)
-        done = incidents.apply_resolutions(opened, governance.resolutions_from(governed))
-        _save(done, f"{out}/incidents", batch_id)
+        if outcomes is not None:
+            opened = incidents.apply_resolutions(opened, governance.resolutions_from(governed, outcomes))
+        _save(opened, f"{out}/incidents", batch_id)
 
     return start_batches(flagged, process, checkpoint, once)
 

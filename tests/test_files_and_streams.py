@@ -138,9 +138,7 @@ def test_triage_stream(spark, landing, tmp_path):
     incidents = spark.read.parquet(f"{out}/incidents")
     flagged = [x for x in STREAM_LINES if any(w in x for w in detect.MONITOR_KEYWORDS)]
     assert sorted(r["log_line"] for r in incidents.collect()) == sorted(flagged)
-    by_status = {r["status"]: r["count"] for r in incidents.groupBy("status").count().collect()}
-    ports = sum("Port 80" in x for x in flagged)
-    assert by_status == {"open": ports, "resolved": len(flagged) - ports}
+    assert {r["status"] for r in incidents.collect()} == {"open"}  # nothing has run
     assert spark.read.parquet(f"{out}/audit").count() == 2 * len(flagged)
 
 

@@ -213,13 +213,26 @@ def test_governance(request_rows, gate, make):
     assert outcome(governance.govern_actions(request_rows, *gate, dry_run=False))[1] == ("rejected", None, False)
     steps = [r["status"] for r in governance.audit_events(live).filter("request_id = 1").orderBy("seq").collect()]
     assert steps == ["validated", "approved", "ready"]
-    assert sorted(ids(governance.resolutions_from(live), "incident_id")) == [10, 11, 14]
-    assert ids(governance.resolutions_from(dry), "incident_id") == []
     outcomes = make("request_id bigint, status string, output string, executed_at timestamp_ntz", [
-        (1, "executed", "done", NOW), (2, "failed", "no", NOW), (3, "executed", "?", NOW),
+        (1, "executed", "done", NOW), (1, "failed", "first try", ago(minutes=1)), (2, "failed", "", NOW),
+        (3, "executed", "?", NOW), (5, "crashed", "no shell", NOW),
     ])
     recorded = governance.record_outcomes(live, outcomes).collect()
     assert [(r["incident_id"], r["action_name"], r["approved_by"]) for r in recorded] == [(10, "RESTART_APACHE", "kim")]
+    audited = {r["request_id"]: (r["status"], r["error"]) for r in governance.outcome_audit(live, outcomes).collect()}
+    assert audited == {1: ("executed", None), 2: ("failed", "Unknown error"), 5: ("error", "no shell")}
+    assert ids(governance.resolutions_from(live, outcomes), "incident_id") == [10]
+    assert ids(governance.resolutions_from(dry, outcomes), "incident_id") == []
+
+
+def test_governance_repeats(request_rows, gate, make):
+    twice = make("request_id bigint, approved boolean, approved_by string", [
+        (1, True, "kim"), (1, False, "lee"), (6, True, "kim"), (6, True, "kim"),
+    ])
+    tools, policy = gate
+    live = governance.govern_actions(request_rows, tools.union(tools), policy.union(policy), twice, dry_run=False)
+    assert live.count() == request_rows.count()
+    assert {k: outcome(live)[k][0] for k in (1, 6)} == {1: "rejected", 6: "ready"}
 
 
 LABELLED = [

@@ -181,3 +181,14 @@ def test_counts_by_hours(make):
     assert got == {-100: 0, -2: 0, -1: 1, 0: 2, 1: 4, 2: 5, 10: 6, 9999: 6, 10**9: 6}
     empty = retrieval.counts_by_hours(rows.limit(0), "at", hours, AS_OF, "n").collect()
     assert {r["n"] for r in empty} == {0} and len(empty) == 9
+
+
+def test_nearest_skips_broken_vectors_and_merges_equal_queries(make):
+    broken = [[float("nan"), 1.0], [float("inf"), 1.0], [None, 1.0], None]
+    good = [(i, NOW, [1.0, i / 10]) for i in range(20)]
+    bad = [(100 + i, NOW, v) for i, v in enumerate(broken * 3)]
+    rows = make("log_id bigint, timestamp timestamp_ntz, embedding array<float>", good + bad)
+    asked = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), *[(10 + i, v) for i, v in enumerate(broken)]]
+    hits = retrieval.semantic_topk(rows, make("query_id bigint, embedding array<float>", asked), k=5).collect()
+    assert sorted((r["query_id"], r["rank"], r["log_id"]) for r in hits) == [(q, i + 1, i) for q in (1, 2) for i in range(5)]
+    assert retrieval.semantic_topk(rows, make("query_id bigint, embedding array<float>", asked[2:]), k=5).collect() == []
