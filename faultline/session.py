@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_DIRS: dict[str, str] = {}
+_STAGES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,15 +37,35 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, spent: Iterable[DataFrame] = ()) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    A lost executor then costs no replay, and the planner sees the true size.
+    A lost executor then costs no replay, and the planner sees the true size. The
+    shuffle files of the write go as soon as it has ended, and so do the tables of
+    ``spent``, earlier results of this function that nothing reads any more.
     """
     spark = df.sparkSession
     path = work_dir(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _STAGES[out] = path
+    remove_stages(*spent)
+    return out
+
+
+def remove_stages(*tables: DataFrame) -> None:
+    """Delete the tables of ``cut_lineage`` given; other DataFrames are left alone."""
+    for table in tables:
+        path = _STAGES.pop(table, None)
+        if path:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
