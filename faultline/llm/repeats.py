@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import gram_hashes, mix, prefix_hash, row_id, signed, slices, sliding_argmin, span_hash, squeeze, unsqueeze, word_spans
-from faultline.session import cut_lineage
+from faultline.session import cut_lineage, remove_stages
 
 FREQUENT = 16
 GROUP_BYTES = 600_000
@@ -165,8 +165,8 @@ def _run(rows: DataFrame, schema: str, make: Callable) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> tuple[DataFrame, DataFrame]:
-    """(texts that may hold repeats: id, tie, compressed text), (runs: id, tie, first, n) of windows that occur earlier.
+def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(texts that may hold repeats: id, tie, compressed text), (runs: id, tie, first, n) of windows that occur earlier, and the stages behind both.
 
     ``settle(members)`` takes spans (id, tie, first window, string) of whole
     minimisers, no two strings equal, those of one minimiser in order of place, and
@@ -207,7 +207,8 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
     sent = _run(rows, "key long, id long, tie long, first long", minimisers)
     twice = sent.withColumn("n", F.expr("count(1) over (partition by key)")).where("n > 1 or first < 0")
     flagged = twice.groupBy("id", "tie").agg(F.collect_set(F.expr("cast(greatest(first, -1 - first) as int)")).alias("firsts"))  # spans of one text
-    texts = cut_lineage(squeeze(rows).join(flagged, ["id", "tie"]))
+    flagged = cut_lineage(flagged)
+    texts = cut_lineage(squeeze(rows).join(flagged, ["id", "tie"]), spent=[flagged])
 
     def pack(parts):
         seen = FirstSeen()
@@ -297,7 +298,8 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
     place = F.struct("id", "tie", "first")
     earliest = cut_lineage(single.groupBy("piece").agg(F.min(place).alias("earliest")))
     late = single.join(earliest, "piece").where(place > F.col("earliest"))
-    return texts.select("id", "tie", "text"), found.where("piece is null").drop("piece").union(late.select("id", "tie", "first", "n"))
+    runs = found.where("piece is null").drop("piece").union(late.select("id", "tie", "first", "n"))
+    return texts.select("id", "tie", "text"), runs, [texts, found, earliest]
 
 
 def remove_repeats(docs: DataFrame, unit: Unit, settle: Callable, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -314,7 +316,7 @@ def remove_repeats(docs: DataFrame, unit: Unit, settle: Callable, doc_id: str =
 
     base = cut_lineage(_run(rows, "id long, tie long, units long, sha string", whole))
     firsts = cut_lineage(base.where(F.col("units") >= unit.window).groupBy("sha").agg(F.min(F.struct("id", "tie")).alias("one")))
-    texts, runs = find_repeats(rows, unit, settle, base.count())
+    texts, runs, stages = find_repeats(rows, unit, settle, base.count())
 
     def cut(parts):
         for part in parts:
@@ -335,6 +337,7 @@ def remove_repeats(docs: DataFrame, unit: Unit, settle: Callable, doc_id: str =
     marked = runs.groupBy("id", "tie").agg(F.collect_set(F.struct("first", "n")).alias("marks"))  # runs of one text
     parts = _run(texts.join(marked, ["id", "tie"]), "id long, tie long, removed long, spans long, kept string", cut)
     parts = cut_lineage(parts.dropDuplicates(["id", "tie"]))
+    remove_stages(*stages)
     copy = (F.col("units") >= unit.window) & (F.struct("id", "tie") > F.col("one"))
     joined = base.join(firsts, "sha", "left").withColumn("copy", F.coalesce(copy, F.lit(False))).join(parts, ["id", "tie"], "left")
     pick = lambda whole, part, none: F.when(F.col("copy"), whole).otherwise(F.coalesce(part, none))
