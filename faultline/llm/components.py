@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of a node, then the node itself, under
     the smallest neighbour, until nothing moves. Rounds are written to the shared
-    folder. The smallest neighbours are a table of their own, so the join with a
+    folder and removed once the next has been written. The smallest neighbours are a table of their own, so the join with a
     node of very many edges has shuffles that Spark can split.
     """
     stars = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -24,8 +24,9 @@ def components(edges: DataFrame) -> DataFrame:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
         state = now
         both = stars.union(stars.select("v", "u"))
-        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
-        large = cut_lineage(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        near = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
+        large = both.join(near, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = cut_lineage(large.distinct(), spent=[near, stars])
         least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut_lineage(small.union(least.select("u", "m")).distinct())
+        stars = cut_lineage(small.union(least.select("u", "m")).distinct(), spent=[least, large])

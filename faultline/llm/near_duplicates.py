@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm.common import NO_ID, gram_hashes, mix, row_id, signed, slices, squeeze, table, unsqueeze, word_hashes
 from faultline.llm.components import components
-from faultline.session import cut_lineage
+from faultline.session import cut_lineage, remove_stages
 
 SHINGLE = 5
 PERCENT = 75
@@ -220,7 +220,7 @@ def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = cut_lineage(left)
     differ = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     wide = sided(left.where(large).drop("n_a", "n_b"), ["n", "wide"]).where(F.aggregate(differ, F.lit(0), lambda x, y: x + y) * (100 + percent) <= bound)
-    return left.where(~large).select("a", "b").union(wide.select("a", "b").distinct())
+    return cut_lineage(left.where(~large).select("a", "b").union(wide.select("a", "b").distinct()), spent=[left])
 
 
 def _pairs(a: str, b: str) -> list:
@@ -235,7 +235,7 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     total = max(1, sets.count())
     firsts = cut_lineage(sets.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("set_id")))
     members = sets.where("n > 0").join(firsts, ["d1", "d2"]).select("id", "n", "set_id")
-    members = cut_lineage(members.union(sets.where("n = 0").select("id", "n", "id")))
+    members = cut_lineage(members.union(sets.where("n = 0").select("id", "n", "id")), spent=[firsts])
 
     share = min(1.0, SAMPLE_DOCS / total)
     sample = rows.where(F.xxhash64("id").bitwiseAND(F.lit((1 << 30) - 1)) < int(share * (1 << 30)))
@@ -262,14 +262,14 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     wanted = groups.select("id").union(groups.select("hub")).distinct()
     texts = cut_lineage(squeeze(rows).join(wanted, "id", "left_semi"))
     first_pairs = cut_lineage(groups.where("hub <> id").select(*_pairs("hub", "id")).distinct())
-    possible = cut_lineage(near(first_pairs, sets, percent))
+    possible = near(first_pairs, sets, percent)
     set_of = members.select("id", "set_id").distinct()
 
     def edges(pairs: DataFrame) -> DataFrame:
         named = verify(pairs, texts, percent)
         for side in ("a", "b"):
             named = named.join(set_of.select(F.col("id").alias(side), F.col("set_id").alias(f"{side}_set")), side)
-        return cut_lineage(named.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")).where("a <> b").distinct())
+        return cut_lineage(named.select(F.col("a_set").alias("a"), F.col("b_set").alias("b")).where("a <> b").distinct(), spent=[pairs])
 
     shared = set_of.groupBy("id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("a", "b")  # rows that share an id
     links = edges(possible).union(cut_lineage(shared))
@@ -284,7 +284,8 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     one = left.select("sig", F.col("c").alias("x"), F.col("id").alias("ia"))
     two = left.select("sig", F.col("c").alias("y"), F.col("id").alias("ib"))
     second = apart.join(one, ["sig", "x"]).join(two, ["sig", "y"]).select(*_pairs("ia", "ib")).distinct()
-    more = edges(cut_lineage(near(second.join(first_pairs, ["a", "b"], "left_anti"), sets, percent)))
+    more = edges(near(second.join(first_pairs, ["a", "b"], "left_anti"), sets, percent))
+    remove_stages(sets, groups, texts, first_pairs, inside, left)
     if not more.isEmpty():
         part_of = components(links.union(more))
     return members.join(part_of, F.col("set_id") == F.col("node"), "left").select(
