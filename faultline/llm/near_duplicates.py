@@ -18,9 +18,11 @@ by d = n (1 - t) / t for a set of n.
   parity sketches (of 8,192 bits for sets of more than 512) are too far apart go, and
   the others are compared exactly, n-gram by n-gram.
 
-No group of documents is expanded into all its pairs. First every member is
-compared with one hub of its group; members of a group that are still in different
-components after that are then compared, component by component. So every link
+No group of documents is written out as all its pairs. First every member is
+compared with one hub of its group. Of members that are still in different
+components after that, one for each set, those pairs become rows whose sizes and
+sketches allow a link; the join that finds them still looks at each pair of such a
+group. So every link
 between two documents is found or follows from others: components are exact.
 
 Frequent n-grams and lanes are taken from a sample of about ``SAMPLE_DOCS`` rows;
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from faultline.llm.common import NO_ID, gram_hashes, mix, row_id, signed, slices, squeeze, table, unsqueeze, word_hashes
@@ -204,6 +206,13 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def may_link(percent: int) -> Column:
+    """Whether sizes and 512-bit sketches (n_a, n_b, sketch_a, sketch_b) leave a link possible."""
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    apart = sum((F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k)))) for k in range(8)), F.lit(0))
+    return sizes & (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+
+
 def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and parity sketches leave possible."""
 
@@ -213,9 +222,7 @@ def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pairs
 
     bound = (F.col("n_a") + F.col("n_b")) * (100 - percent)
-    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    apart = sum((F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k)))) for k in range(8)), F.lit(0))
-    left = sided(pairs, ["n", "sketch"]).where(sizes & (apart * (100 + percent) <= bound)).select("a", "b", "n_a", "n_b").distinct()
+    left = sided(pairs, ["n", "sketch"]).where(may_link(percent)).select("a", "b", "n_a", "n_b").distinct()
     large = (F.col("n_a") > 512) & (F.col("n_b") > 512)
     left = cut_lineage(left)
     differ = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
@@ -278,12 +285,10 @@ def link(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
     inside = groups.select("sig", "id").join(set_of, "id").join(part_of, F.col("set_id") == F.col("node"), "left")
     inside = cut_lineage(inside.select("sig", "id", F.coalesce("component", "set_id").alias("c")))
     open_ = inside.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("sig")
-    left = cut_lineage(inside.join(open_, "sig", "left_semi").distinct())
-    kinds = left.select("sig", "c").distinct()
-    apart = kinds.select("sig", F.col("c").alias("x")).join(kinds.select("sig", F.col("c").alias("y")), "sig").where("x < y")
-    one = left.select("sig", F.col("c").alias("x"), F.col("id").alias("ia"))
-    two = left.select("sig", F.col("c").alias("y"), F.col("id").alias("ib"))
-    second = apart.join(one, ["sig", "x"]).join(two, ["sig", "y"]).select(*_pairs("ia", "ib")).distinct()
+    left = inside.join(open_, "sig", "left_semi").join(set_of, "id").groupBy("sig", "c", "set_id").agg(F.min("id").alias("id"))
+    left = cut_lineage(left.join(sets.select("id", "n", "sketch"), "id").dropDuplicates(["sig", "id", "n", "sketch"]))
+    one, two = (left.select("sig", *[F.col(x).alias(f"{x}_{side}") for x in ("id", "c", "n", "sketch")]) for side in "ab")
+    second = one.join(two, "sig").where((F.col("c_a") < F.col("c_b")) & may_link(percent)).select(*_pairs("id_a", "id_b")).distinct()
     more = edges(near(second.join(first_pairs, ["a", "b"], "left_anti"), sets, percent))
     remove_stages(sets, groups, texts, first_pairs, inside, left)
     if not more.isEmpty():
