@@ -1,8 +1,10 @@
 """License scan by canonical digests.
 
 Column expressions only. A text is brought to a canonical form: lower case,
-equivalent spellings made one, lines that state a copyright left out, everything
-but letters and digits turned into single spaces. The digest of the whole form is
+equivalent spellings made one, copyright statements left out, everything but
+letters and digits turned into single spaces, so line breaks do not count. A
+statement is the word copyright with a sign, a year or a holder, or a sign or "all
+rights reserved" at the start of a line; "copyright holders" and the like are text. The digest of the whole form is
 joined with the digests of known licence texts; since notices of one line often
 stand alone inside another text, each line of a text is a text of its own for the
 same lookup.
@@ -70,14 +72,35 @@ ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CO
 THIS SOFTWARE."""),
 ]
 
+# Of the check SQL only, which takes whole lines.
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 
 
+# What stands after the word copyright in running text; anything else is a holder.
+_NO_HOLDER = (
+    r"(?!(?:holders?|owners?|ownership|notices?|laws?|licen[sc]\w*|statements?|acts?|permission\w*|interests?|claims?|infring\w*|protect\w*"
+    r"|disclaim\w*|treat\w*|and|or|in|on|of|is|are|as|to|for|with|that|which|resulting|patents?|subsists|status|terms?|information|assign\w*"
+    r"|transfer\w*|materials?|works?|line|the\s+(?:software|library|program|work|file)s?)\b)"
+)
+_SIGN, _YEAR, _GAP = r"(?:\(c\)|©|&copy;)", r"(?:(?:19|20)\d\d|<year>|\[yyyy\])", r"[\s#*/:,-]{0,9}"
+#: Starts of a statement: the word with a sign or a year; at the start of a line also a sign, or the word with a name.
+_MARKED = rf"(?:\bcopyright{_GAP}(?:{_SIGN}|{_YEAR})|{_SIGN}{_GAP}(?:copyright\b|{_YEAR}))"
+_FIRST = rf"(?:©|all\s+rights\s+reserved\b|copyright\s+by\b|copyright[^\S\n]+{_NO_HOLDER}(?:(?-i:[\p{{Lu}}\p{{Lo}}<\[\"“'{{])|(?:[^\s]+[^\S\n]*){{1,5}}$))"
+STATEMENT = rf"(?imd)^[^\p{{L}}\p{{N}}\n©(&]*+(?:{_MARKED}|{_FIRST})[^\n]*+"
+
+
+def without_statements(text: Column) -> Column:
+    """The text without its copyright statements."""
+    text = F.coalesce(text, F.lit(""))
+    low = F.lower(text)
+    stated = reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in ("copyright", "reserved", "©", "(c)", "&copy;")])
+    return F.when(stated, F.regexp_replace(text, STATEMENT, "\n")).otherwise(text)
+
+
 def line_forms(text: Column) -> Column:
     """The canonical form of each line that has one."""
-    stated = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT, "")
-    spaced = F.replace(F.regexp_replace(stated, r"[^\p{L}\p{N}\n]+", " "), F.lit("\n"), F.lit(" \n "))
-    spaced = F.concat(F.lit(" "), spaced, F.lit(" "))
+    spaced = F.regexp_replace(F.lower(without_statements(text)), r"[^\p{L}\p{N}\n]+", " ")
+    spaced = F.concat(F.lit(" "), F.replace(spaced, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for a, b in SPELLINGS + SPELLINGS:  # twice: neighbours share the space between them
         spaced = F.replace(spaced, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.array_remove(F.transform(F.split(spaced, "\n"), lambda x: F.trim(x)), "")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import textwrap
 import zlib
 
 import numpy as np
@@ -196,6 +197,34 @@ def test_licenses(spark, none):
     assert licenses.scan(none, licenses.known_licenses(spark)).count() == 0
 
 
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _wraps(text):
+    return [textwrap.fill(" ".join(text.split()), w, break_long_words=False, break_on_hyphens=False) for w in (18, 31, 40, 60, 72, 78, 79, 80, 100, 120)] + [" ".join(text.split())]
+
+
+def test_license_texts_in_any_wrap(spark):
+    texts = {("MIT", t) for n, t in licenses.KNOWN if n == "MIT" and "Permission" in t} | {("ISC", t) for n, t in licenses.KNOWN if n == "ISC"}
+    texts |= {("BSD-2-Clause", BSD_2)}
+    known = spark.createDataFrame(sorted(texts), "license string, text string")
+    rows = [(n, x) for n, t in texts for w in _wraps(t) for x in (w, w.upper(), "Copyright (c) 2020 A. Person\n" + w, "# Copyright Acme Ltd.\n# " + w.replace("\n", "\n# "))]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string"), known).collect()
+    assert len(got) == len(rows) and all(r.license == r.doc_id for r in got)
+
+
 def test_gam_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
