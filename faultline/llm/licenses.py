@@ -18,6 +18,7 @@ of the input other than the id and the text are not read.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,172 @@ ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CO
 THIS SOFTWARE."""),
 ]
 
+_TEXTS = Path(__file__).parent / "license_texts"
+
+# Whole texts as published: file, words the body starts with after its title, words the terms end with.
+WHOLE = [
+    ("Apache-2.0", "TERMS AND CONDITIONS FOR USE", "END OF TERMS AND CONDITIONS"),
+    ("CC0-1.0", "Statement of Purpose", None),
+    ("GPL-2.0", "Preamble", "END OF TERMS AND CONDITIONS"),
+    ("GPL-3.0", "Preamble", "END OF TERMS AND CONDITIONS"),
+    ("LGPL-2.1", "Preamble", "END OF TERMS AND CONDITIONS"),
+    ("LGPL-3.0", "This version of the GNU Lesser", None),
+    ("MPL-2.0", "1. Definitions", None),
+]
+
+_MIT = next(t for n, t in KNOWN if n == "MIT" and t.startswith("Permission"))
+_ISC = next(t for n, t in KNOWN if n == "ISC")
+_WARRANTY = _MIT[_MIT.index("THE SOFTWARE IS PROVIDED") :]
+
+_BSD_OPENING = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:"""
+_BSD_TERMS = [
+    """Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.""",
+    """Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.""",
+]
+_BSD_NAMES = [
+    f"Neither the name of {x} nor the names of {y} contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission."
+    for x, y in (
+        ("the copyright holder", "its"), ("the copyright holder", "their"), ("the copyright holders", "its"), ("the copyright holders", "their"),
+        ("the copyright owner", "its"), ("the <organization>", "its"), ("the author", "its"), ("the author", "any"), ("the University", "its"),
+    )
+]
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY {by} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+{who} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_PARTIES = [
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDER OR CONTRIBUTORS"),
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS OR CONTRIBUTORS"),
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT OWNER OR CONTRIBUTORS"),
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "<COPYRIGHT HOLDER>"),
+    ("THE AUTHOR AND CONTRIBUTORS", "THE AUTHOR OR CONTRIBUTORS"),
+    ("THE AUTHOR", "THE AUTHOR"),
+    ("THE REGENTS AND CONTRIBUTORS", "THE REGENTS OR CONTRIBUTORS"),
+]
+
+
+def _bsd(names: list[str | None]) -> list[str]:
+    """The text with numbered and plain items, for each clause about names and each pair of parties."""
+    out = []
+    for name in names:
+        terms = _BSD_TERMS + [name] * (name is not None)
+        for marked in ([f"{k}. {x}" for k, x in enumerate(terms, 1)], terms):
+            out += ["\n".join([_BSD_OPENING, *marked, _BSD_DISCLAIMER.format(by=by, who=who)]) for by, who in _BSD_PARTIES]
+    return out
+
+
+_UNLICENSE = f"""This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the
+software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and
+successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this
+software under copyright law.
+
+{_WARRANTY.replace("AUTHORS OR\nCOPYRIGHT HOLDERS", "AUTHORS")}"""
+
+_ZERO_BSD = f"""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+{_ISC[_ISC.index("THE SOFTWARE IS PROVIDED") :]}"""
+
+_APACHE = """you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions
+and limitations under the License."""
+_APACHE_HEADERS = [
+    opening + 'the Apache License, Version 2.0 (the "License"); ' + _APACHE
+    for opening in (
+        "Licensed under ",
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed "
+        "with this work for additional information regarding copyright ownership. The ASF licenses this file to You under ",
+    )
+]
+
+_MPL_HEADERS = [
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+    f"file, You can obtain one at http://mozilla.org/MPL/2.0/.{x}"
+    for x in ("", '\nThis Source Code Form is "Incompatible With Secondary Licenses", as defined by the Mozilla Public License, v. 2.0.')
+]
+
+
+def _gnu_headers() -> list[tuple[str, str]]:
+    """The notices that the GNU licences tell authors to attach."""
+    out = []
+    for kind, short, versions in (
+        ("General Public License", "GPL", ("2", "3")), ("Lesser General Public License", "LGPL", ("2.1", "3")), ("Affero General Public License", "AGPL", ("3",)),
+    ):
+        for version in versions:
+            name = f"{short}-{version}" + ".0" * ("." not in version)
+            for it in ("program", "library", "software", "file"):
+                for later, which in (
+                    ("-or-later", f"either version {version} of the License, or (at your option) any later version."),
+                    ("", f"version {version} of the License."),
+                    ("", f"version {version}."),
+                ):
+                    opening = f"This {it} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation, {which}"
+                    middle = f"""This {it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details."""
+                    copy = f"You should have received a copy of the GNU {kind} along with this {it}"
+                    by_post = f"{copy}; if not, write to the Free Software Foundation, Inc., "
+                    for end in (
+                        f"{copy}. If not, see <http://www.gnu.org/licenses/>.", f"{copy}; if not, see <http://www.gnu.org/licenses/>.",
+                        f"{by_post}51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.", f"{by_post}51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+                        f"{by_post}59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+                    ):
+                        out.append((name + later, "\n\n".join([opening, middle, end])))
+    return out
+
+
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def _cc_headers() -> list[tuple[str, str]]:
+    out = []
+    for code, title in _CC.items():
+        opening = f"This work is licensed under the Creative Commons {title} 4.0 International License."
+        view = f" To view a copy of this license, visit http://creativecommons.org/licenses/{code.lower()}/4.0/"
+        letter = " or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."
+        out += [(f"CC-{code}-4.0", x) for x in (opening, f"{opening}{view}.", opening + view + letter)]
+    return out
+
+
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "2-Clause BSD License", "The 2-Clause BSD License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "3-Clause BSD License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License", "Zero Clause BSD License", "0BSD"],
+}
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """Whole licence texts, with and without title, and the standard headers of files: a bounded table."""
+    plain = [("MIT", _MIT), ("ISC", _ISC), ("ISC", _ISC.replace("and/or distribute", "and distribute")), ("Unlicense", _UNLICENSE), ("0BSD", _ZERO_BSD)]
+    plain.append(("Unlicense", f"{_UNLICENSE}\n\nFor more information, please refer to <http://unlicense.org/>"))
+    plain += [("BSD-2-Clause", x) for x in _bsd([None])] + [("BSD-3-Clause", x) for x in _bsd(_BSD_NAMES)]
+    rows = plain + [(name, f"{title}\n\n{text}") for name, text in plain for title in TITLES[name]]
+    rows += [("Apache-2.0", x) for x in _APACHE_HEADERS] + [("MPL-2.0", x) for x in _MPL_HEADERS] + _gnu_headers() + _cc_headers()
+    for name, first, last in WHOLE:
+        text = (_TEXTS / f"{name}.txt").read_text(encoding="utf-8")
+        body = text[text.index(first) :]
+        rows += [(name, x) for x in (text, body)]
+        if last:
+            rows += [(name, x[: x.index(last) + n]) for x in (text, body) for n in (0, len(last))]
+    return rows
+
+
 # Of the check SQL only, which takes whole lines.
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 
@@ -142,7 +309,8 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license string, text string")
+    """The notices, and the whole texts and headers; the check SQL knows the notices only."""
+    return spark.createDataFrame(KNOWN + full_texts(), "license string, text string")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

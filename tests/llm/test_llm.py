@@ -225,6 +225,38 @@ def test_license_texts_in_any_wrap(spark):
     assert len(got) == len(rows) and all(r.license == r.doc_id for r in got)
 
 
+def test_whole_licenses_and_headers(spark):
+    known = licenses.full_texts()
+    assert len(known) < 10_000
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+    mit = next(t for n, t in licenses.KNOWN if n == "MIT" and "Permission" in t)
+    bsd_3 = BSD_2.replace("\n\nTHIS", "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+                          " derived from this software without specific prior written permission.\n\nTHIS")
+    gpl = (licenses._TEXTS / "GPL-2.0.txt").read_text()
+    notice = gpl[gpl.index("    This program is free software; you") : gpl.index("Also add information")]
+    end = (licenses._TEXTS / "Apache-2.0.txt").read_text()
+    rows = [
+        ("BSD-2-Clause", BSD_2), ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2021, Some Body\nAll rights reserved.\n\n" + bsd_3),
+        ("MIT", "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + mit), ("Apache-2.0", "# Copyright 2020 Some Body\n#\n# " + apache.replace("\n", "\n# ")),
+        ("Apache-2.0", end[end.index('   Licensed under the Apache License, Version 2.0 (the "License");') :]), ("GPL-2.0-or-later", notice), ("GPL-2.0", gpl),
+        (None, gpl[: len(gpl) // 2]), (None, "prose " + BSD_2),
+    ]
+    rows += [(f.stem, x) for f in licenses._TEXTS.glob("*.txt") for x in (f.read_text(), f.read_text().upper(), f.read_text().replace("\n", "\r\n"))]
+    table = spark.createDataFrame(rows, "doc_id string, text string")
+    got = licenses.scan(table, licenses.known_licenses(spark)).collect()
+    assert len(got) == len(rows) and [(r.doc_id, r.license) for r in got if r.license != r.doc_id] == []
+
+
 def test_gam_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
