@@ -4,7 +4,10 @@ Column expressions only. A text is brought to a canonical form: lower case,
 equivalent spellings made one, copyright statements left out, everything but
 letters and digits turned into single spaces, so line breaks do not count. A
 statement is the word copyright with a sign, a year or a holder, or a sign or "all
-rights reserved" at the start of a line; "copyright holders" and the like are text. The digest of the whole form is
+rights reserved" at the start of a line or sentence; "copyright holders" and the like are
+text. It ends with its sentence, a separator, the words that open a notice or its
+line, and what follows on the line is a line of its own. A long text is also looked up
+as it reads if a holder goes on over line ends. The digest of the whole form is
 joined with the digests of known licence texts; since notices of one line often
 stand alone inside another text, each line of a text is a text of its own for the
 same lookup.
@@ -250,23 +253,47 @@ _NO_HOLDER = (
     r"|transfer\w*|materials?|works?|line|the\s+(?:software|library|program|work|file)s?)\b)"
 )
 _SIGN, _YEAR, _GAP = r"(?:\(c\)|©|&copy;)", r"(?:(?:19|20)\d\d|<year>|\[yyyy\])", r"[\s#*/:,-]{0,9}"
-#: Starts of a statement: the word with a sign or a year; at the start of a line also a sign, or the word with a name.
+#: Starts of a statement: the word with a sign or a year; at the start of a line or sentence also a sign, or the word with a name.
 _MARKED = rf"(?:\bcopyright{_GAP}(?:{_SIGN}|{_YEAR})|{_SIGN}{_GAP}(?:copyright\b|{_YEAR}))"
 _FIRST = rf"(?:©|all\s+rights\s+reserved\b|copyright\s+by\b|copyright[^\S\n]+{_NO_HOLDER}(?:(?-i:[\p{{Lu}}\p{{Lo}}<\[\"“'{{])|(?:[^\s]+[^\S\n]*){{1,5}}$))"
-STATEMENT = rf"(?imd)^[^\p{{L}}\p{{N}}\n©(&]*+(?:{_MARKED}|{_FIRST})[^\n]*+"
+_RIGHTS = r"all[^\p{L}\p{N}]{1,9}rights[^\p{L}\p{N}]{1,9}reserved\b"
+# What ends a statement: a separator, the end of a sentence (not an initial's dot), or words that open a notice.
+_STOP = (
+    r"(?:[;|•·—]|\s[-–]\s|(?<!\b\p{L})(?<!\b(?:dr|mr|st|jr|sr))\.(?=\s|$)(?!\s+(?:and|or|&)\s)"
+    r"|(?<=\s)(?:licen[sc]ed|released|distributed|published\s+under|provided|available|permission\s+(?:is|to)|redistributions?|everyone|this|these"
+    r"|you|see|use\s+of|subject\s+to|under|spdx|unless|the\s+(?:software|library|program|above|following)"
+    r"|(?:the\s+)?(?:mit|isc|bsd|apache|gnu|mozilla)\b(?:\s+(?!foundation)[^\s.;]+){0,3}?\s+licen[sc]e)\b)"
+)
+
+
+def _statement(char: str) -> str:
+    """A statement whose holder is made of ``char``, with an "all rights reserved" that follows it."""
+    tail = rf"(?:(?!{_STOP}|{_RIGHTS}){char})"
+    start = rf"(?:{_MARKED}|(?:^[^\p{{L}}\p{{N}}\n©(&]*+|(?<=[.;|]\s{{1,3}}))(?:{_FIRST}))"
+    years = rf"(?:[^\S\n]*+[,–-]?[^\S\n]*+(?:{_YEAR}|present\b|{_SIGN}))*+[^\S\n]*+[,:–-]?[^\S\n]*+"
+    return rf"(?imd){start}{years}{tail}*+(?:[^\p{{L}}\p{{N}}]*+{_RIGHTS}{tail}*+)?"
+
+
+STATEMENT = _statement(r"[^\n]")
+#: Where a holder goes on over line ends, but not over an empty line: for whole texts of LONG characters only.
+WRAPPED = _statement(r"(?:[^\n]|\n(?![^\p{L}\p{N}\n]*(?:\n|\z)))").replace("*+(?:[^", "{0,300}+(?:[^")
+LONG = 400
 
 
-def without_statements(text: Column) -> Column:
-    """The text without its copyright statements."""
-    text = F.coalesce(text, F.lit(""))
-    low = F.lower(text)
-    stated = reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in ("copyright", "reserved", "©", "(c)", "&copy;")])
-    return F.when(stated, F.regexp_replace(text, STATEMENT, "\n")).otherwise(text)
+def stated(text: Column) -> Column:
+    """Whether a text may hold a copyright statement."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in ("copyright", "reserved", "©", "(c)", "&copy;")])
+
+
+def without_statements(text: Column, statement: str = STATEMENT) -> Column:
+    """The text without its copyright statements, each of which ends a line."""
+    return F.when(stated(text), F.regexp_replace(text, statement, "\n")).otherwise(F.coalesce(text, F.lit("")))
 
 
 def line_forms(text: Column) -> Column:
-    """The canonical form of each line that has one."""
-    spaced = F.regexp_replace(F.lower(without_statements(text)), r"[^\p{L}\p{N}\n]+", " ")
+    """The canonical form of each line, of a text without statements, that has one."""
+    spaced = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
     spaced = F.concat(F.lit(" "), F.replace(spaced, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for a, b in SPELLINGS + SPELLINGS:  # twice: neighbours share the space between them
         spaced = F.replace(spaced, F.lit(f" {a} "), F.lit(f" {b} "))
@@ -282,9 +309,18 @@ def digest(form: Column) -> Column:
     return F.when(form != "", F.sha2(form.cast("binary"), 256))
 
 
+def readings(text: Column) -> Column:
+    """(text, wrapped): the text without its statements and, where it has some, without statements that go on over line ends."""
+    plain = F.struct(without_statements(text).alias("text"), F.lit(False).alias("wrapped"))
+    wrapped = F.struct(without_statements(text, WRAPPED).alias("text"), F.lit(True).alias("wrapped"))
+    return F.when(stated(text), F.array(plain, wrapped)).otherwise(F.array(plain))
+
+
 def known_digests(licenses: DataFrame, name: str = "license", text: str = "text") -> DataFrame:
     """known_digest and license of each known canonical form."""
-    rows = licenses.select(digest(canonical(line_forms(F.col(text)))).alias("known_digest"), F.col(name).alias("license"))
+    rows = licenses.select(F.col(name).alias("license"), F.explode(readings(F.col(text))).alias("r"))
+    rows = rows.select("license", "r.wrapped", canonical(line_forms(F.col("r.text"))).alias("form"))
+    rows = rows.where(~F.col("wrapped") | (F.length("form") >= LONG)).select(digest(F.col("form")).alias("known_digest"), "license")
     found = rows.where("known_digest is not null").groupBy("known_digest").agg(F.min("license").alias("license"))
     if found.limit(MAX_LICENSES + 1).count() > MAX_LICENSES:
         raise ValueError(f"more than {MAX_LICENSES} licence texts")
@@ -294,16 +330,20 @@ def known_digests(licenses: DataFrame, name: str = "license", text: str = "text"
 def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     """doc_id, text_digest, license (of the whole text), n_license_lines and line_licenses (sorted names) of every row."""
     known = known_digests(licenses)
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), line_forms(F.col("text")).alias("_lines"))
-    whole = F.struct(canonical(F.col("_lines")).alias("form"), F.lit(True).alias("whole"))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), "text")
+    rows = rows.select("doc_id", "_row", F.explode(readings(F.col("text"))).alias("r")).select("doc_id", "_row", "r.wrapped", line_forms(F.col("r.text")).alias("_lines"))
+    form = canonical(F.col("_lines"))
+    whole = F.struct(F.when(~F.col("wrapped") | (F.length(form) >= LONG), form).otherwise("").alias("form"), F.lit(True).alias("whole"))
     lines = F.transform("_lines", lambda x: F.struct(x.alias("form"), F.lit(False).alias("whole")))
-    units = rows.select("doc_id", "_row", F.explode(F.concat(F.array(whole), lines)).alias("u"))
-    units = units.select("doc_id", "_row", "u.whole", digest(F.col("u.form")).alias("digest"))
+    units = rows.select("doc_id", "_row", "wrapped", F.explode(F.when(F.col("wrapped"), F.array(whole)).otherwise(F.concat(F.array(whole), lines))).alias("u"))
+    units = units.select("doc_id", "_row", "wrapped", "u.whole", digest(F.col("u.form")).alias("digest"))
     hits = units.join(F.broadcast(known), F.col("digest") == F.col("known_digest"), "left")  # MAX_LICENSES short rows at most
+    plain, wrapped = F.col("whole") & ~F.col("wrapped"), F.col("whole") & F.col("wrapped")
     line = ~F.col("whole") & F.col("license").isNotNull()
     # a text's units come from one task, so the sums below meet before the shuffle
     return hits.groupBy("doc_id", "_row").agg(
-        F.max(F.when(F.col("whole"), F.col("digest"))).alias("text_digest"), F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
+        F.max(F.when(plain, F.col("digest"))).alias("text_digest"),
+        F.coalesce(F.max(F.when(plain, F.col("license"))), F.max(F.when(wrapped, F.col("license")))).alias("license"),
         F.count_if(line).alias("n_license_lines"), F.array_sort(F.collect_set(F.when(line, F.col("license")))).alias("line_licenses"),
     ).drop("_row")
 

@@ -257,6 +257,28 @@ limitations under the License."""
     assert len(got) == len(rows) and [(r.doc_id, r.license) for r in got if r.license != r.doc_id] == []
 
 
+def test_statements_leave_the_rest_of_their_line(spark):
+    mit = next(t for n, t in licenses.KNOWN if n == "MIT" and "Permission" in t)
+    apache = licenses.full_texts()
+    apache = next(t for n, t in apache if n == "Apache-2.0" and t.startswith("Licensed under the"))
+    notice = "Licensed under the MIT License."
+    lines = [
+        f"Copyright 2020 X. {notice}", f"# Copyright (c) 2019-2021 A. B. Person, Acme Inc. All rights reserved. {notice}", f"(c) 2020 Acme Ltd; {notice}",
+        f"© Acme | {notice}", f"Copyright Acme Corp. {notice}", f"Copyright 2020 - Acme and others - {notice}", f"{notice} Copyright 2020 X.", f"Copyright © 2020 Acme {notice}",
+    ]
+    rows = [("MIT 1", x) for x in lines] + [(None, "Copyright 2020 Acme Inc. and its friends."), ("None 1", "prose\n" + lines[0] + "\nmore prose")]
+    rows += [(None, "Copyright 2020 X\nprose\n" + "Some words. Released to nobody.")]
+    whole = f"The MIT License Copyright (c) 2020 A. Person and some more words of a holder Permission{mit.removeprefix('Permission')}"
+    rows += [("MIT", x) for x in _wraps(whole)] + [("MIT 0", mit + "\nCopyright 2020 Acme")]
+    rows += [("Apache-2.0", x) for x in _wraps(f"Copyright 2020 The Some Body Foundation, Inc. All rights reserved. {apache}")]
+    gpl = (licenses._TEXTS / "GPL-2.0.txt").read_text()
+    rows += [("GPL-2.0", x) for x in _wraps(gpl)] + [("LGPL-3.0", x) for x in _wraps((licenses._TEXTS / "LGPL-3.0.txt").read_text())]
+    rows += [("Apache-2.0", x) for x in _wraps((licenses._TEXTS / "Apache-2.0.txt").read_text())] + [("None 0", "x Copyright 2020 " * 100_000)]
+    got = licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string"), licenses.known_licenses(spark)).collect()
+    wrong = [(r, rows[r.doc_id][1][:200]) for r in got if (rows[r.doc_id][0] or "None 0") not in (r.license, f"{r.license} {r.n_license_lines}")]
+    assert len(got) == len(rows) and wrong == []
+
+
 def test_gam_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
