@@ -28,7 +28,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"), short=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -333,6 +333,18 @@ def test_decontamination(spark, docs, none):
     assert decontamination.matches(none, bench).count() == 0 and decontamination.matches(table, bench.limit(0)).count() == 0
 
 
+def test_short_items_match_whole(spark, tmp_path):
+    bench = [(1, "Who wrote Faust?"), (2, "北京是中国的首都吗"), (3, ""), (4, None), (5, "ox"), (6, "Who wrote Faust?")]
+    rows = [(1, "Q: who wrote FAUST -- Goethe"), (2, "he who wrote fausty things"), (3, "问：北京是中国的首都吗？是的，北京是中国的首都吗"), (4, "an oxen, a fox"), (5, "an ox."), (6, None), (7, "who wrote faus")]
+    rows += [(8, "我说北京是中国的首都吗对")]
+    spark.createDataFrame(bench, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.doc_id, r.item_id, r.distance, r.end) for r in decontamination.op8_decontaminate(spark, str(tmp_path)).collect())
+    assert got == [(1, 1, 0, 17), (1, 6, 0, 17), (3, 2, 0, 11), (5, 5, 0, 5), (8, 2, 0, 11)]
+    assert sorted(r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()) == [2, 4, 6, 7]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 20), st.lists(st.integers(0, 2**20 - 1), min_size=1, max_size=50), st.data())
 def test_packing(bits, ids, data):
