@@ -305,11 +305,20 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row of each component, that of the smallest id, with all its columns; of rows that share that id, one."""
-    kept = link(docs, percent).where("id = component").select(F.col("id").alias("_node_of_row")).distinct()
-    rows = docs.withColumn("_node_of_row", row_id(F.col("doc_id"), F.col("text"))).join(kept, "_node_of_row", "left_semi")
+    """One row of each component, that of the smallest id and then text hash, with all its columns.
+
+    A node is an id with a text: rows that only share an id are linked by their sets or
+    not at all, and of rows with one id and text one is kept. Rows without a text have
+    nothing to be alike and all stay.
+    """
+    node = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(NO_ID - 1))
+    rows = docs.where(F.col("text").isNotNull()).withColumn("_node_of_row", node)
+    parts = link(rows, percent, "_node_of_row").groupBy("id").agg(F.min("component").alias("component"))
+    named = rows.groupBy(F.col("_node_of_row").alias("id")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))).alias("place"))
+    kept = named.join(parts, "id").groupBy("component").agg(F.min_by("id", "place").alias("_node_of_row")).select("_node_of_row")
     first = Window.partitionBy("_node_of_row").orderBy(F.xxhash64("text"))
-    return rows.withColumn("_rank_in_node", F.row_number().over(first)).where("_rank_in_node = 1").select(*docs.columns)
+    chosen = rows.join(kept, "_node_of_row", "left_semi").withColumn("_rank_in_node", F.row_number().over(first))
+    return chosen.where("_rank_in_node = 1").select(*docs.columns).union(docs.where(F.col("text").isNull()))
 
 
 SQL = r"""

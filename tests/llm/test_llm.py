@@ -69,6 +69,14 @@ def test_near_duplicates(docs, none):
     assert near_duplicates.link(none).count() == 0
 
 
+def test_keep_first_keeps_unlike_rows_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(7, a), (7, b), (7, b), (8, b + " more"), (None, c), (None, c), (9, c), (None, None), (None, None), (10, None), (11, ""), (11, "x")]
+    got = near_duplicates.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    left = [(7, a), (7, b), (9, c), (None, None), (None, None), (10, None), (11, ""), (11, "x")]
+    assert sorted(map(repr, got)) == sorted(f"Row(doc_id={i!r}, text={t!r})" for i, t in left)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(3, 700), st.integers(0, 200), st.integers(0, 10**6))
 def test_linked_sets_share_a_lane(n, changed, seed):
