@@ -14,6 +14,7 @@ label all scores are 0.5.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -187,10 +188,11 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose score reaches ``threshold``, all columns as they were."""
+    """Rows of ``docs`` whose score reaches ``threshold``, all columns as they were; all rows if no label could be learned from."""
     model, at = fit_quality(learnable(docs), labels), docs.columns.index(text)
     if model is None:
-        return docs.where(F.lit(threshold <= 0.5))
+        warnings.warn("no label could be learned from: quality is not judged and all rows are kept", stacklevel=2)
+        return docs
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):

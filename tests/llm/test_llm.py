@@ -308,6 +308,13 @@ def test_quality(spark, docs, none):
     assert gam.score_quality(none, None, [none.doc_id]).count() == 0
 
 
+def test_quality_without_labels_keeps_all_rows(docs):
+    labels = docs.sparkSession.createDataFrame([(10**9, 1), (10**9 + 1, 0), (None, 1)], "doc_id bigint, quality int")
+    for unusable in (labels, labels.limit(0)):
+        with pytest.warns(UserWarning, match="no label"):
+            assert gam.keep_quality(docs, unusable).count() == docs.count() > 0
+
+
 def _distance(a, b):
     row = list(range(len(b) + 1))
     row = [0] * (len(b) + 1)
