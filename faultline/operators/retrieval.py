@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions import text
-from faultline.functions.times import cutoff, from_micros, instant, micros, micros_between
+from faultline.functions.times import cutoff, from_micros, instant, micros_between
 from faultline.functions.vectors import cosine
 from faultline.operators.incidents import incident_template, incidents_per_template
+from faultline.operators.nearest import BLOCK_BYTES, nearest
 from faultline.session import cut_lineage
 
 # Scores of the two unscored branches, and the branch priority.
@@ -21,10 +19,6 @@ TEMPLATE_SCORE, KEYWORD_SCORE = 0.9, 0.5
 METHOD_RANK = {"template": 0, "semantic": 1, "keyword": 2}
 QUERY_KEYWORDS, HITS_PER_KEYWORD = 3, 5
 
-# Matrix products add up in an order that depends on the batch, so similarities
-# are rounded before they are ranked: equal vectors then tie exactly.
-SIMILARITY_DIGITS = 9
-BLOCK_BYTES, QUERY_CHUNK = 16 << 20, 512
 # Distinct incident lines up to this size are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 8 << 20
 
@@ -41,127 +35,6 @@ def cosine_to(vectors: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _normalised(rows: np.ndarray) -> np.ndarray:
-    norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-    return np.divide(rows, norms, out=np.zeros_like(rows), where=norms != 0)
-
-
-def _best_of_partition(
-    ids: np.ndarray, vectors: np.ndarray, cutoffs: np.ndarray, k: int
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Per task: one matrix product per batch, keeping k rows per query."""
-    dim = vectors.shape[1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = _normalised(vectors.astype(np.float64))
-        n = len(ids)
-        sims, times, logs = [np.empty(0)] * n, [np.empty(0, np.int64)] * n, [np.empty(0, np.int64)] * n
-        floor = np.full(n, -np.inf)
-        for batch in batches:
-            fits = pc.fill_null(pc.equal(pc.list_value_length(batch.column("embedding")), dim), False)
-            batch = batch.filter(fits)
-            if batch.num_rows == 0:
-                continue
-            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            rows = flat.astype(np.float64).reshape(batch.num_rows, dim)
-            finite = np.isfinite(rows).all(axis=1)  # a null element is NaN here
-            if not finite.any():
-                continue
-            rows = _normalised(rows[finite])
-            at = batch.column("micros").to_numpy(zero_copy_only=False)[finite]
-            log_id = batch.column("log_id").to_numpy(zero_copy_only=False)[finite]
-            for start in range(0, n, QUERY_CHUNK):
-                part = slice(start, start + QUERY_CHUNK)
-                scores = np.round(queries[part] @ rows.T, SIMILARITY_DIGITS) + 0.0
-                scores[at[None, :] < cutoffs[part, None]] = -np.inf
-                least = floor[part]
-                if len(rows) > k:
-                    least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
-                eligible = (scores >= least[:, None]) & (scores > -np.inf)
-                for j in np.flatnonzero(eligible.any(axis=1)):
-                    q, pick = start + j, np.flatnonzero(eligible[j])
-                    s = np.concatenate([sims[q], scores[j, pick]])
-                    t = np.concatenate([times[q], at[pick]])
-                    i = np.concatenate([logs[q], log_id[pick]])
-                    top = np.lexsort((i, -t, -s))[:k]
-                    sims[q], times[q], logs[q] = s[top], t[top], i[top]
-                    if len(top) == k:
-                        floor[q] = sims[q][-1]
-        counts = [len(s) for s in sims]
-        if sum(counts):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(ids, counts)),
-                    pa.array(np.concatenate(logs)),
-                    pa.array(np.concatenate(times)),
-                    pa.array(np.concatenate(sims)),
-                ],
-                names=["query_id", "log_id", "micros", "similarity"],
-            )
-
-    return run
-
-
-def nearest(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The k logs nearest to each query by cosine: query_id, log_id, micros, similarity.
-
-    ``logs``: log_id, timestamp, embedding.  ``queries``: query_id, embedding and, if
-    wanted, cutoff (only logs at or after it count; null: all).  Logs without a vector,
-    with one of another length, or with an element that is null, NaN or infinite are
-    skipped; queries with such a vector get no hits.
-
-    Starts jobs.  Queries with the same vector and cutoff are scored once.  They go to
-    the tasks in blocks of at most ``block_bytes``; each
-    block is one pass over the log vectors that shuffles at most k rows per query and
-    task.  With several blocks each pass is written out before the next begins.
-    """
-    always = F.lit(np.iinfo(np.int64).min)
-    since = F.coalesce(micros(F.col("cutoff")), always) if "cutoff" in queries.columns else always
-    known = queries.filter(F.col("embedding").isNotNull()).select(
-        F.col("query_id").cast("bigint").alias("query_id"),
-        F.col("embedding").cast("array<float>").alias("embedding"),
-        since.alias("cutoff"),
-        F.size("embedding").alias("dim"),
-    )
-    # Not so for null, NaN and infinity.
-    known = cut_lineage(known.filter(F.forall("embedding", lambda x: F.abs(x) <= F.lit(float(np.finfo(np.float32).max)))))
-    same = ["embedding", "cutoff", "dim"]
-    asked = cut_lineage(known.select(same).distinct().withColumn("lead", F.monotonically_increasing_id()))
-    rows = logs.filter(F.col("embedding").isNotNull()).select(
-        "log_id", micros(F.col("timestamp")).alias("micros"), F.col("embedding").cast("array<float>").alias("embedding")
-    )
-    schema = "query_id bigint, log_id bigint, micros bigint, similarity double"
-    sizes = asked.groupBy("dim").count().collect()
-    blocks = [
-        (r["dim"], b, n)
-        for r in sizes
-        for n in [max(1, -(-r["count"] * (8 * r["dim"] + 24 * k) // block_bytes))]
-        for b in range(n)
-    ]
-    parts = []
-    for dim, b, n in blocks:
-        mine = asked.filter(F.col("dim") == dim)
-        if n > 1:
-            mine = mine.filter(F.pmod(F.xxhash64("lead"), F.lit(n)) == b)
-        block = mine.toArrow()
-        if block.num_rows == 0:
-            continue
-        ids = block.column("lead").to_numpy()
-        flat = block.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        part = rows.mapInArrow(
-            _best_of_partition(ids, flat.reshape(len(ids), dim), block.column("cutoff").to_numpy(), k), schema
-        )
-        parts.append(cut_lineage(part) if len(blocks) > 1 else part)
-    if not parts:
-        return rows.sparkSession.createDataFrame([], f"{schema}, rank int")
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.desc("micros"), "log_id")
-    hits = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).withColumnRenamed("query_id", "lead")
-    return known.join(asked, same).select("query_id", "lead").join(hits, "lead").drop("lead")
-
-
 def semantic_topk(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, log_id, similarity, rank of the k nearest logs per query."""
     return nearest(logs, queries, k, block_bytes).select("query_id", "log_id", "similarity", "rank")

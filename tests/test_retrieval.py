@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import INCIDENT_SCHEMA
 from faultline.functions.vectors import cosine
 from faultline.operators import logs as logs_ops
-from faultline.operators import retrieval
+from faultline.operators import nearest, retrieval
 from test_text import model_keywords
 
 AS_OF = "2024-01-10 00:00:00"
@@ -192,3 +192,45 @@ def test_nearest_skips_broken_vectors_and_merges_equal_queries(make):
     hits = retrieval.semantic_topk(rows, make("query_id bigint, embedding array<float>", asked), k=5).collect()
     assert sorted((r["query_id"], r["rank"], r["log_id"]) for r in hits) == [(q, i + 1, i) for q in (1, 2) for i in range(5)]
     assert retrieval.semantic_topk(rows, make("query_id bigint, embedding array<float>", asked[2:]), k=5).collect() == []
+
+
+def _clustered(n=1500, dim=16, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim))
+    rows = centres[rng.integers(12, size=n)] + 0.4 * rng.normal(size=(n, dim))
+    return [(i, NOW - dt.timedelta(minutes=i), [float(x) for x in row]) for i, row in enumerate(rows)]
+
+
+def test_index_recall_and_exact_way(make, spark, tmp_path):
+    rows = _clustered() + [(9000, NOW, None), (9001, NOW, [float("nan")] * 16)]
+    table = make("log_id bigint, timestamp timestamp_ntz, embedding array<float>", rows).repartition(6)
+    asked = table.where("log_id % 20 = 0").selectExpr("log_id AS query_id", "embedding", "timestamp - INTERVAL 3 HOURS AS cutoff")
+    exact = {(r["query_id"], r["rank"]): r["log_id"] for r in nearest.nearest(table, asked, 10).collect()}
+    index = nearest.build_index(table, str(tmp_path), lists=24, sample_rows=300)
+    assert index.logs.count() == 1500  # fitted on a sample, but every vector is in a list
+    assert 1 <= index.probes < 24
+    found = {(r["query_id"], r["rank"]): r["log_id"] for r in nearest.VectorIndex(spark, str(tmp_path)).search(asked, 10).collect()}
+    pairs = {(q, i) for (q, _), i in exact.items()}
+    assert len(pairs & {(q, i) for (q, _), i in found.items()}) >= 0.9 * len(pairs)
+    whole = {(r["query_id"], r["rank"]): r["log_id"] for r in index.search(asked, 10, probes=24).collect()}
+    assert whole == exact
+
+
+def test_index_of_odd_tables(make, spark, tmp_path):
+    schema = "log_id bigint, timestamp timestamp_ntz, embedding array<float>"
+    none = nearest.build_index(make(schema, [(1, NOW, None)]), str(tmp_path / "none"))
+    assert none.search(make("query_id bigint, embedding array<float>", [(1, [1.0, 2.0])])).count() == 0
+    with pytest.raises(ValueError):
+        nearest.build_index(make(schema, [(1, NOW, [1.0]), (2, NOW, [1.0, 2.0])]), str(tmp_path / "mixed"))
+    same = nearest.build_index(make(schema, [(i, NOW, [1.0, 0.0]) for i in range(30)]), str(tmp_path / "same"), lists=8)
+    hits = same.search(make("query_id bigint, embedding array<float>", [(7, [2.0, 0.0]), (8, [1.0])]), k=4).collect()
+    assert sorted((r["query_id"], r["log_id"]) for r in hits) == [(7, 0), (7, 1), (7, 2), (7, 3)]
+
+
+def test_many_queries_read_the_vectors_once(make):
+    rows = make("log_id bigint, timestamp timestamp_ntz, embedding array<float>", _clustered(200))
+    asked = make("query_id bigint, embedding array<float>", [(i, v) for i, _, v in _clustered(120, seed=9)])
+    many = nearest.nearest(rows, asked, 3, block_bytes=2000)
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, nearest.nearest(rows, asked, 3).collect()))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("timestamp#") <= 4  # one scan of the logs, whatever the blocks
