@@ -3,13 +3,17 @@
 A line's *leaf* is the sequence of its first ``depth`` masked tokens.  Inside a
 leaf the lines are taken in log order; each joins the most similar template made
 before it (Jaccard of token sets, at least ``threshold``, first one on ties) or
-makes a new template.  Leaves never see each other, so they are the unit of
-distribution, and a leaf with too many lines for one task is split (see
-:func:`mine_templates`).
+makes a new template.  By default the tokens after the leaf's are what is compared
+with the whole template, so lines of at most ``depth`` tokens only ever make their own;
+``compare="line"`` takes all tokens of the line instead.  Leaves never see each other.
+Inside a leaf of any size an index over rare tokens finds the templates that a line
+could join, see :func:`grow_templates` and :func:`similar_templates`.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,12 +25,11 @@ from faultline.session import cut_lineage
 
 DEPTH = 4
 THRESHOLD = 0.5
-# Distinct lines of one leaf that a single task takes on its own.
-LEAF_ROWS = 50_000
-# Uncovered lines per split leaf and round; within Spark's window group limit.
-ROUND_ROWS = 1_000
-# Templates that one array holds when the lines of a split leaf are compared.
-BLOCK_ROWS = 2_000
+# Classes of lines of each leaf in the first stretch, and how much longer each next one is.
+HEAD_ROWS = 1_000
+HEAD_GROWTH = 8
+# Stands in for the tokens of an empty set, so that two empty sets meet.
+NO_TOKEN = 0
 
 
 def template_table(logs: DataFrame) -> DataFrame:
@@ -77,87 +80,93 @@ def template_jaccard(logs: DataFrame, depth: int = DEPTH) -> DataFrame:
     )
 
 
-class _Leaf:
-    """Templates of the leaf being read, in the order they were made."""
+class LeafIndex:
+    """Templates of one leaf in the order they were made, found by their rare tokens.
 
-    def __init__(self) -> None:
+    A template of n tokens that is similar to a line shares at least ``threshold * n``
+    tokens with it, so one of any n - ceil(threshold * n) + 1 of its tokens is among
+    them. Each template is listed under that many of its tokens, those met in the fewest
+    lines so far; a line looks up its own tokens and compares only what it finds.
+    """
+
+    def __init__(self, threshold: float) -> None:
+        self.threshold = threshold
         self.patterns: list[str] = []
         self.sets: list[frozenset] = []
-        self._seen: dict[frozenset, tuple[int, int, float]] = {}
-
-    def match(self, tokens: frozenset, threshold: float) -> str | None:
-        # Equal token sets share their answer; only newer templates are compared.
-        start, best, score = self._seen.get(tokens, (0, -1, 0.0))
-        for i in range(start, len(self.sets)):
+        self._numbers: dict[str, int] = {}
+        self._under: dict[int, list[int]] = {}
+        self._met: Counter = Counter()
+
+    def match(self, tokens: frozenset) -> str | None:
+        """The most similar template, the first of equals; None below the threshold."""
+        self._met.update(tokens)
+        best, score = -1, 0.0
+        for i in sorted({i for t in tokens or (NO_TOKEN,) for i in self._under.get(t, ())}):
             other = self.sets[i]
             shared = len(tokens & other)
             union = len(tokens) + len(other) - shared
             similarity = shared / union if union else 1.0
-            if similarity >= threshold and similarity > score:
+            if similarity >= self.threshold and similarity > score:
                 best, score = i, similarity
-        self._seen[tokens] = (len(self.sets), best, score)
         return self.patterns[best] if best >= 0 else None
 
-    def add(self, pattern: str, tokens: frozenset) -> None:
-        if pattern not in self.patterns:
-            self.patterns.append(pattern)
-            self.sets.append(tokens)
+    def add(self, pattern: str, tokens: frozenset) -> bool:
+        """Whether ``pattern`` is new to the leaf."""
+        if pattern in self._numbers:
+            return False
+        number = self._numbers[pattern] = len(self.patterns)
+        self.patterns.append(pattern)
+        self.sets.append(tokens)
+        for t in sorted(tokens, key=lambda t: (self._met[t], t))[: listed_tokens(len(tokens), self.threshold)] or (NO_TOKEN,):
+            self._under.setdefault(t, []).append(number)
+        return True
 
 
-def _scan_leaves(threshold: float, only_new: bool):
-    """Reader of rows sorted by (leaf, first_id); holds one leaf's templates at a time."""
+def listed_tokens(size: int, threshold: float) -> int:
+    """How many tokens of a template list it in an index for ``threshold``."""
+    return min(size, size - math.ceil(threshold * size - 1e-9) + 1)
+
+
+def _made_by_leaf(threshold: float):
+    """Reader of rows sorted by (leaf, first_id): the templates they make, one leaf's index at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        leaf, state = None, _Leaf()
+        leaf, index = None, LeafIndex(threshold)
         for batch in batches:
-            chosen, made = [], []
-            for key, tokens, own, own_tokens in zip(
-                batch["leaf"], batch["tokens"], batch["own_pattern"], batch["own_tokens"]
-            ):
+            made = []
+            for key, tokens, own, own_tokens in zip(batch["leaf"], batch["tokens"], batch["own_pattern"], batch["own_tokens"]):
                 if key != leaf:
-                    leaf, state = key, _Leaf()
-                pattern = state.match(frozenset(tokens), threshold)
-                made.append(pattern is None)
-                if pattern is None:
-                    pattern = own
-                    state.add(own, frozenset(own_tokens))
-                chosen.append(pattern)
-            if only_new:
-                yield batch.loc[made, ["leaf", "first_id", "own_pattern", "own_tokens"]]
-            else:
-                yield pd.DataFrame({"log_line": batch["log_line"], "template_pattern": chosen})
+                    leaf, index = key, LeafIndex(threshold)
+                made.append(index.match(frozenset(tokens)) is None and index.add(own, frozenset(own_tokens)))
+            yield batch.loc[made, ["leaf", "first_id", "own_pattern", "own_tokens"]]
 
     return run
 
 
-def _token_hashes(tokens: Column) -> Column:
-    return F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t)))
-
-
-def distinct_lines(logs: DataFrame, depth: int = DEPTH, strip_timestamp: bool = False) -> DataFrame:
-    """Distinct lines with leaf, token hashes, and the template each would make."""
-    lines = logs.groupBy("log_line").agg(F.min("log_id").alias("first_id"))
-    line = text.without_leading_timestamp(F.col("log_line")) if strip_timestamp else F.col("log_line")
-    return (
-        lines.withColumn("masked", text.masked_tokens(line))
-        .withColumn("own_pattern", text.render_template(F.col("masked")))
-        .select(
-            "log_line",
-            "first_id",
-            leaf_key(F.col("masked"), depth).alias("leaf"),
-            _token_hashes(F.col("masked")).alias("tokens"),
-            "own_pattern",
-            # The template is tokenised again: a cut token may turn into a number.
-            _token_hashes(text.masked_tokens(F.col("own_pattern"))).alias("own_tokens"),
-        )
-    )
+def token_hashes(tokens: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
 
 
-def _in_order(rows: DataFrame) -> DataFrame:
-    return rows.repartition("leaf").sortWithinPartitions("leaf", "first_id")
+def line_parts(line: Column, depth: int = DEPTH, strip_timestamp: bool = False, compare: str = "rest") -> list[Column]:
+    """leaf, tokens, own_pattern, own_tokens of a line: where it is mined, what is compared, the template it would make."""
+    if compare not in ("rest", "line"):
+        raise ValueError(f"compare={compare!r}: 'rest' or 'line'")
+    masked = text.masked_tokens(text.without_leading_timestamp(line) if strip_timestamp else line)
+    own = text.render_template(masked)
+    compared = F.slice(masked, depth + 1, F.greatest(F.size(masked), F.lit(1))) if compare == "rest" else masked
+    return [
+        leaf_key(masked, depth).alias("leaf"),
+        token_hashes(compared).alias("tokens"),
+        own.alias("own_pattern"),
+        # The template is tokenised again: a cut token may turn into a number.
+        token_hashes(text.masked_tokens(own)).alias("own_tokens"),
+    ]
 
 
-_MADE_SCHEMA = "leaf string, first_id bigint, own_pattern string, own_tokens array<bigint>"
+def distinct_lines(logs: DataFrame, depth: int = DEPTH, strip_timestamp: bool = False, compare: str = "rest") -> DataFrame:
+    """Distinct lines with first_id and their parts, see :func:`line_parts`."""
+    lines = logs.groupBy("log_line").agg(F.min("log_id").alias("first_id"))
+    return lines.select("log_line", "first_id", *line_parts(F.col("log_line"), depth, strip_timestamp, compare))
 
 
 def _similarity(tokens: Column, other: Column) -> Column:
@@ -166,65 +175,74 @@ def _similarity(tokens: Column, other: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(shared / union)
 
 
-def _grow_split_leaves(lines: DataFrame, threshold: float, round_rows: int) -> DataFrame:
-    """Templates of oversized leaves, found in rounds of bounded size.
+def _set_id() -> Column:
+    return F.md5(F.concat_ws("\n", "leaf", F.lit(""), F.col("tokens").cast("array<string>"))).alias("set_id")
+
+
+def similar_templates(sets: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
+    """set_id and template (similarity, age, pattern) of every pair of one leaf that reaches ``threshold``.
 
-    The first ``round_rows`` uncovered lines of a leaf depend only on templates made
-    before them, all of which are known, so one task can settle them exactly.  The
-    templates they make then cover most later lines, which leave the race in
-    parallel.  A line whose own template text exists already cannot add one either.
+    ``sets``: set_id, leaf, tokens; ``templates``: leaf, first_id, own_pattern,
+    own_tokens. Templates are listed under their rarest tokens as in :class:`LeafIndex`,
+    here by the number of the leaf's templates with that token; the join is on leaf and
+    token. A pair may be found under several tokens and is listed as often.
     """
-    order = Window.partitionBy("leaf").orderBy("first_id")
-    found: DataFrame | None = None
-    open_lines = lines.drop("log_line")
-    while True:
-        head = open_lines.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= round_rows)
-        head = cut_lineage(head.drop("_rn"))
-        if head.isEmpty():
-            return found if found is not None else head.select("leaf", "first_id", "own_pattern", "own_tokens")
-        made = cut_lineage(_in_order(head).mapInPandas(_scan_leaves(threshold, only_new=True), _MADE_SCHEMA))
-        found = made if found is None else found.unionByName(made)
-        news = made.groupBy("leaf").agg(
-            F.collect_set("own_tokens").alias("new_sets"), F.collect_set("own_pattern").alias("new_patterns")
-        )
-        ends = cut_lineage(head.groupBy("leaf").agg(F.max("first_id").alias("last_id")).join(news, "leaf"))
-        open_lines = cut_lineage(
-            open_lines.join(ends, "leaf")
-            .filter(F.col("first_id") > F.col("last_id"))
-            .filter(~F.array_contains("new_patterns", F.col("own_pattern")))
-            .filter(~F.exists("new_sets", lambda s: _similarity(F.col("tokens"), s) >= threshold))
-            .drop("last_id", "new_sets", "new_patterns")
-        )
+    padded = lambda c: F.when(F.size(c) > 0, F.col(c)).otherwise(F.array(F.lit(NO_TOKEN).cast("bigint")))
+    each = templates.select("leaf", "first_id", "own_pattern", "own_tokens", F.explode(padded("own_tokens")).alias("token"))
+    met = each.withColumn("met", F.count("*").over(Window.partitionBy("leaf", "token")))
+    ranked = met.groupBy("leaf", "first_id", "own_pattern", "own_tokens").agg(
+        F.array_sort(F.collect_list(F.struct("met", "token"))).alias("by_rarity"))  # the tokens of one line
+    n = F.size("own_tokens")
+    listed = F.greatest(F.least(n, n - F.ceil(threshold * n - 1e-9) + 1), F.lit(1)).cast("int")
+    index = ranked.select("leaf", "first_id", "own_pattern", "own_tokens", F.explode(F.slice(F.col("by_rarity.token"), F.lit(1), listed)).alias("token"))
+    probes = sets.select("set_id", "leaf", "tokens", F.explode(padded("tokens")).alias("token"))
+    sizes = (F.size("tokens") >= threshold * n) & (n >= threshold * F.size("tokens"))
+    scored = probes.join(index, ["leaf", "token"]).where(sizes).withColumn("similarity", _similarity(F.col("tokens"), F.col("own_tokens")))
+    return scored.where((F.col("similarity") >= threshold) & (F.col("similarity") > 0)).select(
+        "set_id", F.struct("similarity", (-F.col("first_id")).alias("age"), F.col("own_pattern").alias("pattern")).alias("template"))
+
+
+def _ranked(classes: DataFrame) -> DataFrame:
+    """``classes`` with rank, their place in their leaf by first_id; no leaf goes through one task."""
+    order = ["leaf", "first_id"]
+    rows = cut_lineage(classes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    before = Window.partitionBy("leaf").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("leaf", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).select(
+        "leaf", "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(starts, ["leaf", "_part"]).withColumn("rank", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
 
 
-def _template_blocks(templates: DataFrame, block_rows: int) -> DataFrame:
-    """Templates of each leaf in arrays of about ``block_rows``, however many there are."""
-    sizes = templates.groupBy("leaf").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / block_rows)
-    blocked = templates.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("first_id"), blocks))
-    return blocked.groupBy("leaf", "block").agg(
-        F.collect_list(F.struct("first_id", "own_pattern", "own_tokens")).alias("templates")
-    )
+_MADE_SCHEMA = "leaf string, first_id bigint, own_pattern string, own_tokens array<bigint>"
 
 
-def _assign_split_leaves(lines: DataFrame, templates: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """Give every line its best earlier template; row-parallel inside a leaf."""
-    blocks = cut_lineage(_template_blocks(templates, block_rows))
-    earlier = F.filter("templates", lambda t: t["first_id"] < F.col("first_id"))
-    scored = F.transform(
-        earlier,
-        lambda t: F.struct(
-            _similarity(F.col("tokens"), t["own_tokens"]).alias("similarity"),
-            (-t["first_id"]).alias("age"),
-            t["own_pattern"].alias("pattern"),
-        ),
-    )
-    best = F.array_max(F.filter(scored, lambda s: s["similarity"] >= threshold))
-    judged = lines.join(blocks, "leaf").select("log_line", "own_pattern", best.alias("best"))
-    if not blocks.filter(F.col("block") > 0).isEmpty():
-        # A leaf in several blocks: the best of each block's best.
-        judged = judged.groupBy("log_line", "own_pattern").agg(F.max("best").alias("best"))
-    return judged.select("log_line", F.coalesce("best.pattern", "own_pattern").alias("template_pattern"))
+def grow_templates(lines: DataFrame, threshold: float = THRESHOLD, head_rows: int = HEAD_ROWS, growth: int = HEAD_GROWTH) -> DataFrame:
+    """leaf, first_id, own_pattern, own_tokens of the templates that ``lines`` make.
+
+    Lines that agree in leaf, compared tokens and own template are one class: whatever
+    its first line finds, no other can add a template. Classes are ranked in their leaf,
+    and the ranks cut into stretches, each ``growth`` times as long as all before it. Of
+    a stretch only classes that no earlier template covers are read in order by one
+    task per leaf; an index finds the covered ones in parallel. So the number of rounds
+    grows with the logarithm of the largest leaf, and a task reads in order little
+    more than what makes templates.
+    """
+    classes = lines.groupBy("set_id", "leaf", "tokens", "own_pattern").agg(F.min("first_id").alias("first_id"), F.first("own_tokens").alias("own_tokens"))
+    classes = cut_lineage(classes)
+    most = classes.groupBy("leaf").count().agg(F.max("count")).first()[0] or 0
+    # Leaves of one stretch need no ranks.
+    ranked = classes.withColumn("rank", F.lit(0)) if most <= head_rows else cut_lineage(_ranked(classes))
+    found, low, high = None, 0, head_rows
+    while low < most:
+        rows = ranked.where((F.col("rank") >= low) & (F.col("rank") < high))
+        if found is not None:
+            covered = similar_templates(rows.select("set_id", "leaf", "tokens").distinct(), found, threshold).select("set_id").distinct()
+            rows = rows.join(found.select("leaf", "own_pattern"), ["leaf", "own_pattern"], "left_anti").join(covered, "set_id", "left_anti")
+        rows = rows.select("leaf", "first_id", "tokens", "own_pattern", "own_tokens")
+        made = cut_lineage(rows.repartition("leaf").sortWithinPartitions("leaf", "first_id").mapInPandas(_made_by_leaf(threshold), _MADE_SCHEMA))
+        found = made if found is None else cut_lineage(found.unionByName(made), spent=[found, made])
+        low, high = high, high * growth
+    return lines.select("leaf", "first_id", "own_pattern", "own_tokens").limit(0) if found is None else found
 
 
 def assign_templates(
@@ -232,29 +250,25 @@ def assign_templates(
     depth: int = DEPTH,
     threshold: float = THRESHOLD,
     strip_timestamp: bool = False,
-    leaf_rows: int = LEAF_ROWS,
-    round_rows: int = ROUND_ROWS,
-    block_rows: int = BLOCK_ROWS,
+    compare: str = "rest",
+    head_rows: int = HEAD_ROWS,
+    growth: int = HEAD_GROWTH,
 ) -> DataFrame:
     """(log_line, template_pattern) for the distinct lines of ``logs``.
 
-    Starts jobs: the distinct lines are written to shared storage, and leaves with
-    more than ``leaf_rows`` of them are counted so that they take the split path.
+    A line joins the most similar template made before it, the first of equals; the
+    similarity is that of ``compare``: the tokens after the line's leaf ("rest") or all
+    of its tokens ("line") with all tokens of the template. Starts jobs: lines, classes
+    and templates are written to shared storage.
     """
-    lines = cut_lineage(distinct_lines(logs, depth, strip_timestamp))
-    oversized = lines.groupBy("leaf").count().filter(F.col("count") > leaf_rows).select("leaf")
-    oversized = cut_lineage(oversized)
-    schema = "log_line string, template_pattern string"
-    if oversized.isEmpty():
-        return _in_order(lines).mapInPandas(_scan_leaves(threshold, only_new=False), schema)
-    small = lines.join(oversized, "leaf", "left_anti")
-    large = cut_lineage(lines.join(oversized, "leaf", "left_semi"))
-    templates = _grow_split_leaves(large, threshold, round_rows)
-    return (
-        _in_order(small)
-        .mapInPandas(_scan_leaves(threshold, only_new=False), schema)
-        .unionByName(_assign_split_leaves(large, templates, threshold, block_rows))
-    )
+    lines = cut_lineage(distinct_lines(logs, depth, strip_timestamp, compare).withColumn("set_id", _set_id()))
+    found = grow_templates(lines, threshold, head_rows, growth)
+    sets = lines.groupBy("set_id").agg(F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
+    options = similar_templates(sets, found, threshold).groupBy("set_id").agg(F.collect_set("template").alias("options"))
+    options = cut_lineage(options)  # templates that one set of tokens may join
+    earlier = F.filter("options", lambda t: -t["age"] < F.col("first_id"))
+    joined = lines.join(options, "set_id", "left")
+    return joined.select("log_line", F.coalesce(F.array_max(earlier)["pattern"], "own_pattern").alias("template_pattern"))
 
 
 def mine_templates(logs: DataFrame, **options) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Template mining against a sequential model, on both the plain and the split path."""
+"""Template mining against a sequential model, for leaves of one and of many stretches."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,16 +11,17 @@ from faultline.operators import templates
 from test_text import model_masked
 
 
-def sequential(lines, depth=4, threshold=0.5):
+def sequential(lines, depth=4, threshold=0.5, compare="rest", strip=False):
     """One pass in log order: template of every line."""
     groups, answered, out = {}, {}, []
     for line in lines:
         if line not in answered:
-            masked = model_masked(line)
+            masked = model_masked(re.sub(STAMP, "", line) if strip else line)
+            compared = set(masked[depth:] if compare == "rest" else masked)
             known = groups.setdefault(tuple(masked[:depth]), [])
             best, score = None, 0.0
             for pattern in known:
-                a, b = set(masked), set(model_masked(pattern))
+                a, b = compared, set(model_masked(pattern))
                 s = len(a & b) / len(a | b) if a | b else 1.0
                 if s >= threshold and s > score:
                     best, score = pattern, s
@@ -45,16 +47,58 @@ def logs_of(make, lines):
     return rows.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("options", [
-    {}, {"leaf_rows": 20, "round_rows": 40}, {"leaf_rows": 10, "round_rows": 90, "block_rows": 3}, {"leaf_rows": 1, "round_rows": 1000}, {"depth": 2},
-    {"threshold": 0.3, "leaf_rows": 5, "round_rows": 9},
+STAMP = r"^\s*\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d+)?)?\s*"
+
+
+def long_lines(n=400, seed=4):
+    """Few leaves, and tails long enough to reach a whole template after the leaf's tokens."""
+    rng = random.Random(seed)
+    words = [f"{c}{k}" for c in "ab" for k in range(9)]
+    lines = []
+    for _ in range(n):
+        tail = rng.sample(words[:9] if rng.random() < 0.5 else words[9:], rng.randint(4, 9))
+        lines.append(f"2024-01-0{rng.randint(1, 9)} 10:00:00 {rng.choice(['x y z q', 'x y z r'])} {' '.join(tail)}")
+    return lines
+
+
+@pytest.mark.parametrize("options,strip", [
+    ({}, False), ({"compare": "line"}, True), ({"head_rows": 5, "growth": 4}, True), ({"threshold": 0.3, "depth": 2, "head_rows": 20}, False),
+    ({"threshold": 0.25, "depth": 1, "head_rows": 20, "growth": 3, "compare": "line"}, False),
 ])
-def test_mining_equals_sequential_model(make, options):
-    lines = sample_lines(600 if options.get("round_rows", 99) > 10 else 120)
-    model = {k: v for k, v in options.items() if k in ("depth", "threshold")}
-    mined = templates.mine_templates(logs_of(make, lines), **options)
+def test_mining_equals_sequential_model(make, options, strip):
+    lines = sample_lines(300) + long_lines()
+    model = {k: v for k, v in options.items() if k in ("depth", "threshold", "compare")}
+    mined = templates.mine_templates(logs_of(make, lines), strip_timestamp=strip, **options)
     got = [r[0] for r in mined.orderBy("log_id").select("template_pattern").collect()]
-    assert got == sequential(lines, **model)
+    assert got == sequential(lines, strip=strip, **model)
+    assert len(set(got)) < len(set(lines))
+
+
+def test_readings_of_the_leaf_rule_differ(make):
+    """Lines as long as the leaf never join by their rest; all their tokens may."""
+    lines = ["a b c d", "a b c d e", "a b c d e f"]
+    tell = lambda **o: [r[0] for r in templates.mine_templates(logs_of(make, lines), **o).orderBy("log_id").select("template_pattern").collect()]
+    assert tell() == lines
+    assert tell(compare="line") == ["a b c d"] * 3
+    with pytest.raises(ValueError):
+        tell(compare="none")
+
+
+@pytest.mark.parametrize("threshold", [0.2, 1 / 3, 0.5, 0.75, 1.0])
+def test_index_finds_what_a_scan_finds(threshold):
+    rng = random.Random(1)
+    index, sets = templates.LeafIndex(threshold), []
+    for k in range(400):
+        tokens = frozenset(rng.sample(range(1, 25), rng.randint(0, 8)))
+        best, score = None, 0.0
+        for i, other in enumerate(sets):
+            s = len(tokens & other) / len(tokens | other) if tokens | other else 1.0
+            if s >= threshold and s > score:
+                best, score = f"p{i}", s
+        assert index.match(tokens) == best
+        if best is None and rng.random() < 0.7:
+            index.add(f"p{len(sets)}", tokens)
+            sets.append(tokens)
 
 
 def test_strip_timestamp_merges_lines(make):
