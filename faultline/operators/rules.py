@@ -52,7 +52,7 @@ def evaluate_rules(logs: DataFrame, rules: DataFrame, tail: int = TAIL_LINES) ->
     return counted.withColumn("fires", F.col("matches") >= F.col("threshold"))
 
 
-# Rule sets up to this size become part of the expression itself.
+# Rules that one expression holds; a larger set becomes several expressions.
 LITERAL_RULES = 500
 RULE_FIELDS = ("pattern", "regex", "threshold", "action")
 
@@ -68,19 +68,18 @@ def matching_rules(line: Column, rules: list[tuple[str, str, int, str]]) -> Colu
     return F.array_compact(F.array(*hits))
 
 
-def _matches(logs: DataFrame, rules: DataFrame) -> DataFrame:
-    """(timestamp, r) for every rule a line matches; nothing else leaves the scan."""
+def rule_matches(logs: DataFrame, rules: DataFrame) -> DataFrame:
+    """(timestamp, r) for every rule a line matches; nothing else leaves the scan.
+
+    Starts a job that reads the rules, which people write and review.
+    """
     chosen = rules.select(*RULE_FIELDS)
-    known = [tuple(r) for r in chosen.limit(LITERAL_RULES + 1).collect()]
+    known = [tuple(r) for r in chosen.collect()]
+    line = F.col("log_line")
     if not known:
         return logs.select("timestamp", F.explode(F.array().cast(f"array<{chosen.schema.simpleString()}>")).alias("r"))
-    if len(known) <= LITERAL_RULES:
-        return logs.select("timestamp", F.explode(matching_rules(F.col("log_line"), known)).alias("r"))
-    # A larger set stays one array value, tested rule by rule.
-    gathered = chosen.agg(F.collect_list(F.struct(*RULE_FIELDS)))
-    tested = logs.select("timestamp", "log_line").withColumn("_rules", gathered.scalar())
-    matched = F.filter("_rules", lambda r: F.rlike(F.col("log_line"), r["regex"]))
-    return tested.select("timestamp", F.explode(matched).alias("r"))
+    parts = [matching_rules(line, known[k : k + LITERAL_RULES]) for k in range(0, len(known), LITERAL_RULES)]
+    return logs.select("timestamp", F.explode(parts[0] if len(parts) == 1 else F.concat(*parts)).alias("r"))
 
 
 def windowed_alerts(
@@ -92,7 +91,7 @@ def windowed_alerts(
     """
     span = F.window("timestamp", window, slide) if slide else F.window("timestamp", window)
     return (
-        _matches(logs, rules)
+        rule_matches(logs, rules)
         .groupBy(span.alias("w"), "r.pattern", "r.threshold", "r.action")
         .agg(F.count("*").alias("matches"))
         .filter(F.col("matches") >= F.col("threshold"))

@@ -6,7 +6,7 @@ Fragments are strings so that every query stays one self-contained statement.
 from __future__ import annotations
 
 from faultline.functions import detect, text
-from faultline.operators import evaluation, questions
+from faultline.operators import evaluation, governance, questions
 from faultline.sources.warehouse import (
     AS_OF,
     LOG_LINE_SQL,
@@ -220,6 +220,10 @@ put("search_logs", [LOGS], f"""SELECT * FROM (SELECT {LOG_COLUMNS}, 'nginx' AS p
     WHERE {_log_week} AND {has_keyword('nginx')} {_newest})
   UNION ALL SELECT * FROM (SELECT {LOG_COLUMNS}, 'login attempt' AS pattern FROM logs
     WHERE {_log_week} AND log_line ILIKE '%login attempt%' {_newest})""")
+put("search_indexed", [LOGS], " UNION ALL ".join(
+    f"SELECT * FROM (SELECT {LOG_COLUMNS}, '{p}' AS pattern FROM logs WHERE {_log_week} AND {has_keyword(p) if p.replace('_', '').isalnum() else like} {_newest})"
+    for p, like in [("conn", ""), ("ti_eout", ""), ("%port 80 is_in", "log_line ILIKE '%port 80 is_in%'"),
+                    ("C:\\svc", "contains(lower(log_line), 'c:\\svc')"), ("5 m", "contains(lower(log_line), '5 m')")]))
 put("suspicious_events", [LOGS], f"SELECT {LOG_COLUMNS} FROM logs WHERE {_log_week} AND {has_keyword('auth')} {_newest}")
 put("incident_listing", [INCIDENTS], "SELECT incident_id, detected_at, status, substring(summary, 1, 50) AS summary FROM incidents")
 put("constraint_violations", [TEMPLATED, INCIDENTS, ACTIONS], """
@@ -263,6 +267,12 @@ put("semantic_topk", [EXEMPLARS], f"""SELECT query_id, log_id, round(similarity,
     SELECT CAST(q.label AS BIGINT) AS query_id, vec_id AS log_id, {cosine('embedding', 'target', 9)} AS similarity
     FROM embeddings, exemplars q)) WHERE rank <= 10""")
 
+put("semantic_topk_many", [], f"""SELECT query_id, log_id, round(similarity, 6) AS similarity, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, log_id DESC) AS INT) AS rank FROM (
+    SELECT q.vec_id AS query_id, e.vec_id AS log_id, {cosine('e.embedding', 'q.embedding', 9)} AS similarity
+    FROM embeddings e, embeddings q WHERE q.vec_id % 20 = 0)) WHERE rank <= 10""")
+put("semantic_topk_indexed", [], "SELECT 10 * count(*) AS hits, TRUE AS recalled, TRUE AS exact_with_all FROM embeddings WHERE vec_id % 20 = 0")
+
 # -- aggregates
 put("incident_status_counts", [ORDER_INCIDENTS], "SELECT status, count(*) AS n FROM order_incidents GROUP BY 1")
 put("action_status_counts", [ACTIONS], "SELECT status, count(*) AS n FROM actions GROUP BY 1")
@@ -578,3 +588,50 @@ put("stream_alerts", [LOGS, f"rules(pattern, regex) AS (VALUES {_stream_rules})"
     SELECT date_trunc('hour', "timestamp") AS window_start, pattern FROM logs JOIN rules ON regexp_matches(log_line, regex))
   GROUP BY window_start, pattern HAVING count(*) >= 2
     AND window_start + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 10 MINUTE FROM logs)""")
+
+
+def mined(prefix: str, line: str, compared: str) -> list[str]:
+    """Mining in log order: one row for each leaf and place in it, with the templates of the leaf so far.
+
+    ``line``: the mined part of log_line; ``compared``: which of its tokens ``m`` meet a template.
+    """
+    p = prefix
+    return [
+        f"""{p}_lines AS (SELECT log_line, {masked(line)} AS m, min(log_id) AS first_id FROM logs GROUP BY log_line)""",
+        f"""{p}_parts AS (SELECT log_line, array_to_string(m[1:4], chr(10)) AS leaf, list_distinct({compared}) AS r, first_id,
+          array_to_string(list_transform(m, lambda t: substring(t, 1, 8)), ' ') AS own FROM {p}_lines)""",
+        f"""{p}_ranked AS (SELECT *, list_distinct({masked('own')}) AS t, row_number() OVER (PARTITION BY leaf ORDER BY first_id) AS k FROM {p}_parts)""",
+        f"""{p}_steps(leaf, k, log_line, pattern, patterns, sets) AS (
+          SELECT leaf, k, log_line, own, [own], [t] FROM {p}_ranked WHERE k = 1
+          UNION ALL
+          SELECT leaf, k, log_line, coalesce(patterns[best], own),
+            CASE WHEN best IS NULL AND NOT list_contains(patterns, own) THEN list_append(patterns, own) ELSE patterns END,
+            CASE WHEN best IS NULL AND NOT list_contains(patterns, own) THEN list_append(sets, t) ELSE sets END
+          FROM (SELECT *, CASE WHEN list_max(scores) >= 0.5 THEN list_position(scores, list_max(scores)) END AS best FROM (
+            SELECT n.leaf, n.k, n.log_line, n.own, n.t, s.patterns, s.sets, list_transform(s.sets, lambda x: CASE WHEN len(x) + len(n.r) = 0 THEN 1.0
+              ELSE len(list_intersect(x, n.r)) / CAST(len(list_distinct(list_concat(x, n.r))) AS DOUBLE) END) AS scores
+            FROM {p}_steps s JOIN {p}_ranked n ON n.leaf = s.leaf AND n.k = s.k + 1)))""",
+    ]
+
+
+_undated = r"regexp_replace(log_line, '^\s*\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d+)?)?\s*', '')"
+_mined_logs = f"SELECT log_id, pattern AS template_pattern, {stable_id('pattern')} AS template_id FROM logs JOIN a_steps USING (log_line)"
+for _name in ("mine_templates", "stream_templates"):
+    put(_name, [LOGS, *mined("a", "log_line", "m[5:]")], _mined_logs)
+    ORACLE[_name] = ORACLE[_name].replace("WITH ", "WITH RECURSIVE ", 1)
+put("mine_templates_undated", [LOGS, *mined("a", _undated, "m[5:]"), *mined("b", _undated, "m")],
+    "SELECT log_id, a.pattern AS template_pattern, b.pattern AS by_line FROM logs JOIN a_steps a USING (log_line) JOIN b_steps b USING (log_line)")
+ORACLE["mine_templates_undated"] = ORACLE["mine_templates_undated"].replace("WITH ", "WITH RECURSIVE ", 1)
+put("stream_growing", [LOGS], f"""SELECT {_stamped} AS log_line, date_trunc('second', "timestamp") AS event_time FROM logs""")
+put("stream_outcomes", [LOGS, OUTCOMES], f"""SELECT incident_id, CASE WHEN outcome = 'executed' THEN 'resolved' ELSE 'open' END AS status,
+    CASE WHEN outcome = 'executed' THEN executed_at END AS resolved_at,
+    CASE WHEN outcome = 'executed' THEN round({seconds('detected_at', 'executed_at')}, 4) END AS recovery_seconds,
+    CASE WHEN NOT ready THEN NULL WHEN outcome IS NULL THEN 'timeout' WHEN outcome IN ('executed', 'failed', 'timeout') THEN outcome ELSE 'error' END AS report,
+    CASE WHEN NOT ready THEN NULL WHEN outcome IS NULL THEN detected_at + to_hours(24 * 60) ELSE executed_at END AS executed_at,
+    CASE WHEN NOT ready OR outcome = 'executed' THEN NULL WHEN outcome IS NULL OR outcome = 'timeout' THEN '{governance.TIMED_OUT}'
+      WHEN outcome = 'failed' THEN coalesce(nullif(output, ''), '{governance.UNKNOWN_ERROR}') ELSE coalesce(output, '') END AS error
+  FROM (SELECT log_id AS incident_id, "timestamp" AS detected_at, {diagnosed_action('log_line')} = 'ESCALATE' AS ready,
+    CASE WHEN {diagnosed_action('log_line')} = 'ESCALATE' THEN o.outcome END AS outcome, o.output, o.executed_at
+    FROM logs LEFT JOIN outcomes o ON o.request_id = log_id WHERE {monitor_flag()})""")
+put("stream_rule_alerts", [LOGS, INCIDENTS, patterns(24)], ORACLE["windowed_alerts"].split(f"{patterns(24)} ", 1)[1])
+put("stream_template_table", [TEMPLATED, TABLE], "SELECT * FROM template_rows")

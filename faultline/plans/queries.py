@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions import detect, text
 from faultline.functions.times import cutoff, instant
-from faultline.operators import evaluation, governance, incidents, logs, questions, retrieval, rules, templates
+from faultline.operators import evaluation, governance, incidents, logs, nearest, questions, retrieval, rules, search_index, templates
 from faultline.session import work_dir
 from faultline.sources import files, warehouse as wh
 from faultline.sources.warehouse import AS_OF, ORDERS_AS_OF
@@ -19,6 +20,8 @@ QUERIES: dict[str, Query] = {}
 
 WEEK = 168
 LINE = "log_line"
+# What the searches through a stored index look for: a word, a word with a wildcard, wildcards in a phrase, a path, a short pattern.
+INDEXED_SEARCHES = ["conn", "ti_eout", "%port 80 is_in", "C:\\svc", "5 m"]
 
 
 def query(fn: Query) -> Query:
@@ -194,6 +197,14 @@ def search_keyword(spark, d):
     return logs.search_keyword(all_logs, "conn", AS_OF, WEEK, index=logs.lexical_index(all_logs))
 
 
+@query
+def search_indexed(spark, d):
+    """Searches through a stored index: one word, a phrase with wildcards, a path, and a pattern too short for it."""
+    index = search_index.build_search_index(wh.logs(spark, d), work_dir(spark, "search"), block_lines=128)
+    found = [index.search(p, AS_OF, WEEK).withColumn("pattern", F.lit(p)) for p in INDEXED_SEARCHES]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @query
 def search_logs(spark, d):
     """A one-word search and a phrase search, side by side."""
@@ -272,6 +283,30 @@ def semantic_topk(spark, d):
     return hits.withColumn("similarity", F.round("similarity", 6))
 
 
+def _every_twentieth(spark, d) -> DataFrame:
+    return _vectors(spark, d).where("log_id % 20 = 0").select(F.col("log_id").alias("query_id"), "embedding")
+
+
+@query
+def semantic_topk_many(spark, d):
+    """The nearest vectors of every twentieth one, with more queries than one block holds."""
+    hits = retrieval.semantic_topk(_vectors(spark, d), _every_twentieth(spark, d), k=10, block_bytes=4096)
+    return hits.withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def semantic_topk_indexed(spark, d):
+    """Whether an index finds at least nine tenths of the nearest vectors of every twentieth one; all of them with all lists."""
+    vectors, asked = _vectors(spark, d), _every_twentieth(spark, d)
+    index = nearest.build_index(vectors, work_dir(spark, "vectors"))
+    exact = retrieval.semantic_topk(vectors, asked, k=10).select("query_id", "log_id", F.lit(1).alias("exact"))
+    found = index.search(asked, k=10).select("query_id", "log_id", F.lit(1).alias("found"))
+    all_lists = index.search(asked, k=10, probes=nearest.LISTS).select("query_id", "log_id", F.lit(1).alias("all_lists"))
+    met = exact.join(found, ["query_id", "log_id"], "left").join(all_lists, ["query_id", "log_id"], "left")
+    return met.agg(
+        F.count("*").alias("hits"), (F.avg(F.coalesce("found", F.lit(0))) >= 0.9).alias("recalled"), (F.count("all_lists") == F.count("*")).alias("exact_with_all"))
+
+
 # -- aggregates --------------------------------------------------------------
 
 
@@ -626,3 +661,11 @@ def mine_templates(spark, d):
     """Greedy templates of all logs."""
     mined = templates.mine_templates(wh.logs(spark, d))
     return mined.select("log_id", "template_pattern", "template_id")
+
+
+@query
+def mine_templates_undated(spark, d):
+    """Templates of all logs without the date at their start, by the rest of a line and by the whole line."""
+    by_rest = templates.mine_templates(wh.logs(spark, d), strip_timestamp=True).select("log_id", "template_pattern")
+    by_line = templates.mine_templates(wh.logs(spark, d), strip_timestamp=True, compare="line")
+    return by_rest.join(by_line.select("log_id", F.col("template_pattern").alias("by_line")), "log_id")

@@ -41,3 +41,41 @@ def follow_table(spark: SparkSession, directory: str, name: str, max_files: int
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(directory)
+
+
+END_SCHEMA = "ends_at timestamp"
+
+
+def with_end(stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` plus one row, null but for its event_time, for each end asked for in ``folder``.
+
+    Event-time operators hold back what the watermark has not passed. A row far ahead
+    in time moves the watermark past all that waits, so the last windows and lines come
+    out; see :func:`end_stream`. Set the watermark on the result, not on ``stream``.
+    """
+    ends = stream.sparkSession.readStream.schema(END_SCHEMA).parquet(folder)
+    columns = [F.col("ends_at").alias(f.name) if f.name == "event_time" else F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema]
+    return stream.union(ends.select(*columns))
+
+
+def not_an_end(column: str) -> Column:
+    """True for rows of :func:`with_end` that have a ``column``, as any row but an end has.
+
+    A filter on the column alone would be pushed below the watermark, which then never
+    sees the ends; this one reads event_time and stays above.
+    """
+    return F.col(column).isNotNull() | (F.col("event_time") < F.lit("0001-01-01 00:00:00").cast("timestamp"))
+
+
+def open_end(spark: SparkSession, folder: str) -> str:
+    """Make the folder that :func:`with_end` reads, without an end in it yet."""
+    spark.createDataFrame([], END_SCHEMA).write.mode("append").parquet(folder)
+    return folder
+
+
+def end_stream(spark: SparkSession, folder: str, at: str) -> None:
+    """Ask a running or restarted stream to give out all up to ``at`` (text) less its watermark delay.
+
+    Ask when all lines before have been read: lines older than that are late afterwards.
+    """
+    spark.range(1).select(F.lit(at).cast("timestamp").alias("ends_at")).write.mode("append").parquet(folder)

@@ -4,17 +4,19 @@ import datetime as dt
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from faultline.functions import detect, text
-from faultline.operators import logs, rules, templates
+from faultline.operators import logs, rules
 from faultline.session import shared_dir, work_dir
 from faultline.sources import files
-from faultline.streaming import pipelines, sources
-from test_templates import sample_lines, sequential
+from faultline.streaming import mining, pipelines, sources
+from test_templates import long_lines, sample_lines, sequential
 
 AS_OF = "2024-01-10T00:00:00"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def write(tmp_path, name, content, mode="w"):
@@ -158,22 +160,100 @@ def test_alert_stream_equals_batch_on_closed_windows(spark, make, landing, tmp_p
     assert got == sorted(closed) and len(got) == 4
 
 
-def test_template_stream_equals_batch(spark, make, tmp_path):
-    lines = sample_lines(200)
-    table = make("log_id bigint, log_line string", list(enumerate(lines)))
-    folder = str(tmp_path / "in")
-    # Three files, read one per batch in the order they were written.
-    for i in range(3):
-        part = table.filter((F.col("log_id") >= i * 70) & (F.col("log_id") < (i + 1) * 70 if i < 2 else F.lit(True)))
+def _mining_input(spark, make, tmp_path, files=3):
+    """Lines dealt over tasks out of order, in files of which each overlaps the next in time."""
+    lines = sample_lines(150) + long_lines(150) + sample_lines(150)
+    rows = [(i, x, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i, x in enumerate(lines)]
+    random.Random(2).shuffle(rows)
+    rows.sort(key=lambda r: (r[0] + random.Random(r[0]).randint(-40, 40)) * files // len(lines))
+    folder, size = str(tmp_path / "in"), len(rows) // files
+    for i in range(files):
+        part = make("log_id bigint, log_line string, event_time timestamp", rows[i * size :] if i == files - 1 else rows[i * size : (i + 1) * size])
         part.coalesce(1).write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    mined = pipelines.mined_stream(stream)
-    out = str(tmp_path / "mined")
-    before = spark.conf.get(pipelines.PROVIDER_CONF)
-    pipelines.start_mining(mined, out, str(tmp_path / "ck"), once=True).awaitTermination()
-    assert spark.conf.get(pipelines.PROVIDER_CONF) == before
+    return lines, folder
+
+
+@pytest.mark.parametrize("compare", ["rest", "line"])
+def test_template_stream_equals_batch(spark, make, tmp_path, compare):
+    lines, folder = _mining_input(spark, make, tmp_path)
+    ends = sources.open_end(spark, str(tmp_path / "ends"))
+    stream = spark.readStream.schema("log_id bigint, log_line string, event_time timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    mined = mining.mined_stream(sources.with_end(stream.repartition(8), ends), compare=compare, watermark="3 minutes")
+    out, checkpoint = str(tmp_path / "mined"), str(tmp_path / "ck")
+    before = spark.conf.get(mining.PROVIDER_CONF), spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, "20")
+    try:
+        mining.start_mining(mined, out, checkpoint, once=True).awaitTermination()
+        early = spark.read.schema(mined.schema).parquet(out).count()
+        sources.end_stream(spark, ends, "2024-06-01 00:00:00")
+        mining.start_mining(mined, out, checkpoint, once=True).awaitTermination()
+    finally:
+        spark.conf.set(ARROW_ROWS, before[1])
+    assert spark.conf.get(mining.PROVIDER_CONF) == before[0]
     got = spark.read.schema(mined.schema).parquet(out).orderBy("log_id").collect()
+    assert 0 < early < len(lines)  # the last lines come with the end only
     assert [r["log_id"] for r in got] == list(range(len(lines)))
-    assert [r["template_pattern"] for r in got] == sequential(lines)
-    whole = templates.mine_templates(table).orderBy("log_id").collect()
-    assert [r["template_id"] for r in got] == [r["template_id"] for r in whole]
+    assert [r["template_pattern"] for r in got] == sequential(lines, compare=compare)
+
+
+class _Map(dict):
+    def getValue(self, key):
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+class _List(list):
+    get = list.copy
+
+    def appendValue(self, row):
+        self.append(row)
+
+    def appendList(self, rows):
+        self.extend(rows)
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = set()
+
+    def getListState(self, *_):
+        return _List()
+
+    def getMapState(self, *_):
+        return _Map()
+
+    def getValueState(self, *_):
+        cell = type("Cell", (), {"v": None, "get": lambda s: s.v, "update": lambda s, v: setattr(s, "v", v)})
+        return cell()
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+def test_mining_state_is_flat_over_repeats_and_forgets():
+    hour = 3_600_000_000
+
+    def drive(forget, hours):
+        leaf, handle, answers = mining._MineLeaf(0.5, forget), _Handle(), []
+        leaf.init(handle)
+        for h in range(hours):
+            lines = ["same", f"once {h}"] if h < hours // 2 else ["same"]
+            batch = pd.DataFrame([(x, "leaf", [hash(x)], x, [hash(x)], [h * hour + k], [2 * h + k]) for k, x in enumerate(lines)],
+                                 columns=["digest", "leaf", "tokens", "own_pattern", "own_tokens", "times", "ids"])
+            clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda s: (h + 1) * hour // 1000})()
+            answers += list(leaf.handleInputRows(("leaf",), iter([batch]), clock)) + list(leaf.handleExpiredTimer(("leaf",), clock, None))
+        assert not leaf.waiting
+        return leaf, pd.concat(answers)
+
+    kept, told = drive(None, 40)
+    assert len(kept.answers) == 21 and len(told) == 60
+    bounded, told = drive(8 * hour, 40)
+    assert set(bounded.answers) == {("same",)} and set(told["template_pattern"]) >= {"same", "once 3"}

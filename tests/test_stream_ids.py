@@ -1,5 +1,7 @@
 """Ids of streamed lines and searches with a backslash."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from faultline.operators import governance, logs
@@ -32,5 +34,11 @@ def test_backslash_is_a_plain_character(make):
 
 
 def test_resolutions_without_a_request_time(make):
-    governed = make("incident_id bigint, success boolean, message string", [(1, True, "done"), (2, True, "DRY RUN: x")])
-    assert [tuple(r) for r in governance.resolutions_from(governed).collect()] == [(1, None)]
+    governed = make("request_id bigint, incident_id bigint, status string, success boolean, message string", [
+        (1, 1, "ready", True, "done"), (2, 2, "ready", True, "DRY RUN: x"), (3, 3, "rejected", False, "no"), (4, 4, "ready", True, "done"),
+    ])
+    at = dt.datetime(2024, 1, 1, 5)
+    told = make("request_id bigint, status string, output string, executed_at timestamp_ntz", [
+        (1, "executed", "", at), (1, "failed", "", at - dt.timedelta(seconds=1)), (2, "executed", "", at), (3, "executed", "", at), (4, "failed", "", at),
+    ])
+    assert [tuple(r) for r in governance.resolutions_from(governed, told).collect()] == [(1, at)]
