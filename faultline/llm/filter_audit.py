@@ -95,7 +95,9 @@ def judge(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"), F.col("text").cast("binary").alias("text"))
     alone = cut_lineage(rows.mapInArrow(run, "doc_id long, part string, digest binary, fails int"))
+    # A table of its own, so that both sides of the join are shuffled and Spark can split a text that fills much of the corpus.
     copied = alone.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    copied = cut_lineage(copied)
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int")
     return alone.join(copied, "digest", "left").select("doc_id", "part", F.col("fails").bitwiseOR(copy * 16).alias("fails"))
 
