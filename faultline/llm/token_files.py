@@ -12,8 +12,10 @@ id and the text are not read, whatever their names.
 from __future__ import annotations
 
 import json
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -24,12 +26,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from faultline.llm.common import slices, table
-from faultline.session import work_dir
+from faultline.session import cut_lineage, work_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 BLOCK_IDS = 1 << 16
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
+#: How the words of the default tokenizer are cut, and the ASCII marks that are no letter or digit.
+_MARK_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TOKENIZERS: dict[str, "WordTokenizer"] = {}
 
 BLOCK_SCHEMA = "shard int, block int, first long, n_ids long, bits int, doc_ids array<bigint>, lengths array<int>, payload binary"
@@ -39,8 +44,15 @@ class WordTokenizer:
     """Encodes texts with a tokenizer that drops white space, each distinct word once.
 
     No token of such a tokenizer crosses white space, so the ids of a text are
-    those of its words in order. ``cached`` words are kept between texts; words
+    those of its words in order. About ``cached`` words are kept between texts; words
     beyond them are encoded again in each batch.
+
+    If the tokenizer lower-cases and cuts at the borders of letters and marks, the ids
+    of a word that ends in ASCII marks after a letter are those of the word without
+    them, then those of the marks; and an ASCII word has the ids of its lower-case form.
+    So most forms of a word are put together from one that the tokenizer has seen.
+    Words of Latin letters alone are one piece each and go to its merges at once, as
+    the bytes that they are written with.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -49,35 +61,117 @@ class WordTokenizer:
         steps = (spec.get("normalizer") or {}).get("normalizers")
         if steps:  # words come one space apart, so folding white space changes nothing
             spec["normalizer"]["normalizers"] = [s for s in steps if s.get("pattern") != {"Regex": "\\s+"}]
+        self.parts = bool(steps) and [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and _cuts_at_marks(spec)
         self.tokenizer = Tokenizer.from_str(json.dumps(spec))
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.special = [t["content"].encode().lower() for t in spec.get("added_tokens", [])]
         self.limit = cached
         self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+    def _ask(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        """The ids of words from the tokenizer itself."""
+        if self.parts:
+            merge, left = self.tokenizer.model.tokenize, []
+            for word in words:
+                letters = _latin(word)
+                if letters is None:
+                    left.append(word)
+                else:
+                    into[word] = array("I", [t.id for t in merge(letters)]).tobytes()
+            words = left
         for k in range(0, len(words), 2000):
             part = [w.decode("utf-8", "replace") for w in words[k : k + 2000]]
             starts = np.cumsum([0, *(len(w) + 1 for w in part)])
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(got.ids, "<u4")
             at = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
-            cuts = np.searchsorted(at, starts)
-            for i, w in enumerate(words[k : k + 2000]):
-                into[w] = ids[cuts[i] : cuts[i + 1]].tobytes()
+            cuts = (4 * np.searchsorted(at, starts)).tolist()
+            data = ids.tobytes()
+            into.update(zip(words[k : k + 2000], [data[x:y] for x, y in zip(cuts[:-1], cuts[1:])]))
+
+    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that are not known, and of the parts that they were put together from."""
+        known, fresh = self.known, {}
+        if not self.parts:
+            self._ask(list(words), fresh)
+            return fresh
+        whole, pairs = set(), []
+        for word in words:
+            plain, low = word.isascii(), word.lower()
+            special = any(s in low for s in self.special)
+            low = low if plain else word
+            stem = low.rstrip(_MARKS)
+            marks = low[len(stem) :]
+            if special:
+                whole.add(word)
+            elif (plain or marks) and marks[:1] != b"'" and (stem[-1:].isalnum() if plain else stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha()):
+                pairs.append((word, stem, marks))
+                whole.add(stem)
+                if marks:
+                    whole.add(marks)
+            else:
+                whole.add(word)
+        self._ask([w for w in whole if w not in known], fresh)
+        for word, stem, marks in pairs:
+            ids = known.get(stem)
+            ids = fresh[stem] if ids is None else ids
+            if marks:
+                end = known.get(marks)
+                ids += fresh[marks] if end is None else end
+            fresh[word] = ids
+        return fresh
+
+    def _lowered(self, text: bytes) -> bytes:
+        """An ASCII text in lower case, unless that makes or hides a special token."""
+        if not self.parts or not text.isascii():
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words}.difference(self.known)
-        fresh: dict[bytes, bytes] = {}
-        self._learn(list(new), fresh)
-        if len(self.known) + len(fresh) <= self.limit:
-            self.known.update(fresh)
-            fresh = {}
-        if not fresh:
-            known = self.known
-            return [b"".join([known[w] for w in words]) for words in split]
-        return [b"".join([fresh.get(w) or self.known.get(w, b"") for w in words]) for words in split]
+        split = [self._lowered(t).split() for t in texts]
+        known = self.known
+        fresh = self._learn(set().union(*split).difference(known))
+        known.update(fresh)
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(known) > self.limit:
+            for word in fresh:
+                del known[word]
+        return out
+
+
+def _latin(word: bytes) -> str | None:
+    """A word of Latin letters in lower case as byte characters; None for any other.
+
+    Such letters are composed, and each has a lower case of its own, but for a capital
+    I with a dot.
+    """
+    text = word.decode("utf-8", "replace")
+    if not text.isalpha():
+        return None
+    if text.isascii():
+        return text.lower()
+    if max(text) > "\u017f" or "\u0130" in text:
+        return None
+    return text.lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or b >= 0xA1 and b != 0xAD]
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
+def _cuts_at_marks(spec: dict) -> bool:
+    """Whether the words of a tokenizer are cut into contractions, letters, digits, and runs of anything else."""
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    bytewise = len(steps) == 2 and steps[1].get("type") == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+    known = bytewise and (steps[0].get("pattern") or {}).get("Regex") == _MARK_RULE
+    return known and not spec.get("post_processor") and sys.byteorder == "little"
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -159,7 +253,9 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     offsets = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
         "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start")
     )
-    return blocks.join(offsets, "shard").withColumn("start", F.col("shard_start") + F.col("first"))
+    return blocks.join(F.broadcast(offsets), "shard").withColumn(  # one row for each task that wrote
+        "start", F.col("shard_start") + F.col("first")
+    )
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -195,8 +291,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """Write the token files of ``docs`` to the shared folder and read their documents back."""
+    """Write the token files of ``docs`` to the shared folder, read their documents back and delete the files."""
     spark = docs.sparkSession
     path = work_dir(spark, "tokens")
     write_token_files(docs, path)
-    return read_documents(spark, path)
+    documents = cut_lineage(read_documents(spark, path))
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return documents
