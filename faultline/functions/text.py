@@ -32,6 +32,13 @@ TEMPLATE_TOKEN_CHARS = 8
 MAX_KEYWORDS = 20
 
 
+def fill(template: str, *values: Column) -> Column:
+    """A sentence with each ``{}`` replaced by the next value; null if a value is."""
+    first, *rest = template.split("{}")
+    pieces = [F.lit(first)] + [x for value, piece in zip(values, rest, strict=True) for x in (value.cast("string"), F.lit(piece))]
+    return F.concat(*pieces)
+
+
 def strip(line: Column) -> Column:
     """Trim Unicode white space on both ends."""
     return F.btrim(line, F.lit(WHITESPACE_CHARS))

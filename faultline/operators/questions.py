@@ -18,6 +18,13 @@ NOT_RECOGNISED = (
     "Query not recognized. Supported queries: summarize errors, suspicious auth events, "
     "restart service recommendation, open incidents."
 )
+HEALTHY = "No recent errors found for {}. Service appears healthy."
+SERVICE_ERRORS_HOUR, SERVICE_ERRORS_HOURS = "Found {} error(s) in the last hour", "Found {} error(s) in the last {} hours"
+NO_ERRORS = "No errors found in the last {} hour(s). System appears to be operating normally."
+ERRORS = "RAG-Enhanced Summary of errors in last {} hour(s) ({} incidents):\n{}"
+NO_EVENTS, EVENTS = "No suspicious authentication events found.", "Found {} suspicious authentication events:\n{}"
+NO_OPEN, OPEN_LISTING, OPEN_ENTRY = "No open incidents.", "Found {} open incidents:\n{}", "ID {}: {}"
+ADVICE = "Recommendation: {}\nReason: {}\nErrors found: {}"
 AUTH_PATTERN = "auth"
 
 
@@ -79,8 +86,8 @@ def restart_advice(
     )
     pairs = F.explode(F.create_map(*[x for s in services for x in (F.lit(s), F.col(s))]))
     n, service = F.col("matching_logs"), F.col("service")
-    healthy = F.concat(F.lit("No recent errors found for "), service, F.lit(". Service appears healthy."))
-    found = F.concat(F.lit("Found "), n.cast("string"), F.lit(" error(s) in the last hour" if hours == 1 else f" error(s) in the last {hours} hours"))
+    healthy = text.fill(HEALTHY, service)
+    found = text.fill(SERVICE_ERRORS_HOUR, n) if hours == 1 else text.fill(SERVICE_ERRORS_HOURS, n, F.lit(hours))
     return counts.select(pairs.alias("service", "matching_logs")).select(
         "service",
         "matching_logs",
@@ -107,12 +114,8 @@ def error_summaries(incidents: DataFrame, logs: DataFrame, hours: DataFrame, as_
     flagged = incidents.filter(detect.detect_eval(F.col("log_line")))
     errors = counts_by_hours(flagged, "detected_at", windows, as_of, "n_errors")
     context = window_summary(incidents, logs, windows, as_of).select("hours", "n_incidents", "fallback_summary")
-    h, n = F.col("hours").cast("string"), F.col("n_errors")
-    quiet = F.concat(F.lit("No errors found in the last "), h, F.lit(" hour(s). System appears to be operating normally."))
-    loud = F.concat(
-        F.lit("RAG-Enhanced Summary of errors in last "), h, F.lit(" hour(s) ("), n.cast("string"),
-        F.lit(" incidents):\n"), F.col("fallback_summary"),
-    )
+    h, n = F.col("hours"), F.col("n_errors")
+    quiet, loud = text.fill(NO_ERRORS, h), text.fill(ERRORS, h, n, F.col("fallback_summary"))
     return errors.join(context, "hours").select(
         "hours", "n_errors", "n_incidents", F.when(n == 0, quiet).otherwise(loud).alias("answer")
     )
@@ -133,10 +136,7 @@ def suspicious_answers(logs: DataFrame, hours: DataFrame, as_of: str, limit: int
     shown = F.transform(within_window(F.col("_new"), start), lambda i: F.substring(i["log_line"], 1, 200))
     lines = F.array_join(shown, "\n")
     n = F.col("n_events")
-    listing = F.concat(F.lit("Found "), n.cast("string"), F.lit(" suspicious authentication events:\n"), lines)
-    return counted.select(
-        "hours", "n_events", F.when(n == 0, "No suspicious authentication events found.").otherwise(listing).alias("answer")
-    )
+    return counted.select("hours", "n_events", F.when(n == 0, NO_EVENTS).otherwise(text.fill(EVENTS, n, lines)).alias("answer"))
 
 
 def open_answer(incidents: DataFrame) -> DataFrame:
@@ -144,12 +144,10 @@ def open_answer(incidents: DataFrame) -> DataFrame:
     open_rows = incidents.filter(F.col("status") == "open")
     total = open_rows.agg(F.count("*").alias("n_open"))
     total = total.withColumn("_new", newest_lines(open_rows, LISTED_OPEN).scalar())
-    lines = F.array_join(F.transform(within_window(F.col("_new"), instant("0001-01-01 00:00:00")), lambda i: F.concat(
-        F.lit("ID "), i["incident_id"].cast("string"), F.lit(": "), F.substring(i["log_line"], 1, 100)
-    )), "\n")
+    entry = lambda i: text.fill(OPEN_ENTRY, i["incident_id"], F.substring(i["log_line"], 1, 100))
+    lines = F.array_join(F.transform(within_window(F.col("_new"), instant("0001-01-01 00:00:00")), entry), "\n")
     n = F.col("n_open")
-    listing = F.concat(F.lit("Found "), n.cast("string"), F.lit(" open incidents:\n"), lines)
-    return total.select("n_open", F.when(n == 0, "No open incidents.").otherwise(listing).alias("answer"))
+    return total.select("n_open", F.when(n == 0, NO_OPEN).otherwise(text.fill(OPEN_LISTING, n, lines)).alias("answer"))
 
 
 def answer_questions(questions: DataFrame, incidents: DataFrame, logs: DataFrame, as_of: str) -> DataFrame:
@@ -172,10 +170,7 @@ def answer_questions(questions: DataFrame, incidents: DataFrame, logs: DataFrame
     advice = restart_advice(logs, as_of).select(
         F.lit(RESTART_ROUTE).alias("route"),
         "service",
-        F.concat(
-            F.lit("Recommendation: "), F.col("recommendation"), F.lit("\nReason: "), F.col("reason"),
-            F.lit("\nErrors found: "), F.col("matching_logs").cast("string"),
-        ).alias("_advice"),
+        text.fill(ADVICE, F.col("recommendation"), F.col("reason"), F.col("matching_logs")).alias("_advice"),
     )
     opened = open_answer(incidents).select("answer").scalar()
     return (

@@ -18,6 +18,11 @@ from faultline.session import cut_lineage
 TEMPLATE_SCORE, KEYWORD_SCORE = 0.9, 0.5
 METHOD_RANK = {"template": 0, "semantic": 1, "keyword": 2}
 QUERY_KEYWORDS, HITS_PER_KEYWORD = 3, 5
+# Context lines and fallback summaries.
+CONTEXT_LINE = "[{}] {} (retrieved via {})"
+DETECTED = "Incident detected: {}. Related events found: {}"
+FOUND = "Found {} incidents in the last {} hour(s). Related context: {} log entries."
+NO_INCIDENTS = "No incidents found in the last {} hour(s)"
 
 # Distinct incident lines up to this size are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 8 << 20
@@ -236,10 +241,7 @@ def _joined_lines(entries: Column, render: Callable[[Column], Column]) -> Column
 
 
 def context_line(e: Column) -> Column:
-    return F.concat(
-        F.lit("["), _iso(e["timestamp"]), F.lit("] "), e["log_line"],
-        F.lit(" (retrieved via "), e["retrieval_method"], F.lit(")"),
-    )
+    return text.fill(CONTEXT_LINE, _iso(e["timestamp"]), e["log_line"], e["retrieval_method"])
 
 
 def build_prompt(log_line: Column, context: Column) -> Column:
@@ -268,9 +270,7 @@ def incident_context(incidents: DataFrame, logs: DataFrame, as_of: str, hours: i
             n.alias("n_related"),
             context.alias("context_text"),
             build_prompt(line, context).alias("prompt"),
-            F.concat(F.lit("Incident detected: "), line, F.lit(". Related events found: "), n.cast("string")).alias(
-                "fallback_summary"
-            ),
+            text.fill(DETECTED, line, n).alias("fallback_summary"),
         )
     )
 
@@ -361,12 +361,7 @@ def window_summary(incidents: DataFrame, logs: DataFrame, hours: DataFrame, as_o
         F.slice("entries", 1, WINDOW_LINES),
         lambda e: F.concat(F.lit("["), _iso(e["timestamp"]), F.lit("] "), e["log_line"]),
     )
-    h = F.col("hours").cast("string")
-    found = F.concat(
-        F.lit("Found "), n.cast("string"), F.lit(" incidents in the last "), h,
-        F.lit(" hour(s). Related context: "), m.cast("string"), F.lit(" log entries."),
-    )
-    nothing = F.concat(F.lit("No incidents found in the last "), h, F.lit(" hour(s)"))
+    found, nothing = text.fill(FOUND, n, F.col("hours"), m), text.fill(NO_INCIDENTS, F.col("hours"))
     return (
         inside.join(counted, "hours")
         .join(context, "hours", "left")
@@ -384,19 +379,37 @@ def window_summary(incidents: DataFrame, logs: DataFrame, hours: DataFrame, as_o
 EMBED_CHARS, EMBED_DIM = 512, 256
 
 
-def embed_logs(logs: DataFrame, dim: int = EMBED_DIM, model: Callable | None = None) -> DataFrame:
-    """Add an embedding of the first 512 characters of each line.
+def embed_text(rows: DataFrame, column: str, dim: int = EMBED_DIM) -> DataFrame:
+    """Add an embedding of the first 512 characters of a text column: keyword counts scaled to unit length.
 
-    Default: hashed keyword counts scaled to unit length, in the JVM.  ``model`` may
-    be a pandas UDF from text to array<float> instead.
+    A keyword counts in slot ``stable_id(keyword) % dim``, so any engine with md5 makes
+    the same vector. All of it runs in the JVM.
     """
-    cut = F.substring("log_line", 1, EMBED_CHARS)
-    if model is not None:
-        return logs.withColumn("embedding", model(cut))
-    from pyspark.ml.feature import HashingTF, Normalizer
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
     from pyspark.ml.functions import vector_to_array
 
-    terms = logs.withColumn("_terms", text.keywords(cut, None))
-    hashed = HashingTF(numFeatures=dim, inputCol="_terms", outputCol="_tf").transform(terms)
-    unit = Normalizer(inputCol="_tf", outputCol="_unit").transform(hashed)
-    return unit.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_terms", "_tf", "_unit")
+    slots = F.transform(text.keywords(F.substring(column, 1, EMBED_CHARS), None), lambda w: (text.stable_id(w) % dim).cast("string"))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dim)], "_slots", "_counts")
+    counted = counter.transform(rows.withColumn("_slots", F.coalesce(slots, F.array().cast("array<string>"))))
+    unit = Normalizer(inputCol="_counts", outputCol="_unit").transform(counted)
+    return unit.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_slots", "_counts", "_unit")
+
+
+def embed_logs(logs: DataFrame, dim: int = EMBED_DIM, model: Callable | None = None) -> DataFrame:
+    """Add an embedding of each line, by :func:`embed_text` or by ``model``, a pandas UDF from text to array<float>."""
+    if model is not None:
+        return logs.withColumn("embedding", model(F.substring("log_line", 1, EMBED_CHARS)))
+    return embed_text(logs, "log_line", dim)
+
+
+def retrieve_by_text(incidents: DataFrame, logs: DataFrame, as_of: str, hours: int = 1, k: int = 10, dim: int = EMBED_DIM) -> DataFrame:
+    """The k logs of the trailing window nearest to each incident's line and summary, by the vectors of their texts.
+
+    incident_id, log_id, timestamp, log_line, similarity, rank. Starts a job (see
+    :func:`faultline.operators.nearest.nearest`).
+    """
+    recent = logs.filter(F.col("timestamp") >= cutoff(as_of, hours))
+    asked = incidents.select(F.col("incident_id").alias("query_id"), F.concat_ws(" ", "log_line", F.coalesce("summary", F.lit(""))).alias("query_text"))
+    hits = nearest(embed_logs(recent.select("log_id", "timestamp", "log_line"), dim), embed_text(asked, "query_text", dim).drop("query_text"), k)
+    named = cut_lineage(hits.select(F.col("query_id").alias("incident_id"), "log_id", "similarity", "rank"))
+    return named.join(recent.select("log_id", "timestamp", "log_line"), "log_id").select("incident_id", "log_id", "timestamp", "log_line", "similarity", "rank")

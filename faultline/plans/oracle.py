@@ -17,6 +17,7 @@ from faultline.sources.warehouse import (
 )
 
 ORACLE: dict[str, str] = {}
+ORACLE_PARTS: dict[str, tuple[list[str], str]] = {}
 
 NOW, ORDERS_NOW = f"TIMESTAMP '{AS_OF}'", f"TIMESTAMP '{ORDERS_AS_OF}'"
 K = "CAST(regexp_extract(props, '[0-9]+') AS INT)"
@@ -161,6 +162,7 @@ TOOLS = """tools(name, description, required, risk_level, requires_approval) AS
 def put(name: str, ctes: list[str], body: str) -> None:
     prefix = f"WITH {', '.join(ctes)} " if ctes else ""
     ORACLE[name] = prefix + body
+    ORACLE_PARTS[name] = ctes, body
 
 
 LOG_COLUMNS = 'log_id, "timestamp", log_line, is_anomaly'
@@ -171,6 +173,11 @@ put("load_logs_csv", [LOGS], f"SELECT log_line, is_anomaly, {_iso_ts} AS timesta
 put("load_logs_json", [LOGS], f"""SELECT log_line, is_anomaly,
   CASE WHEN is_anomaly = 1 THEN {_iso_ts} ELSE '{AS_OF}' END AS timestamp FROM logs""")
 put("load_logs", [LOGS], f"SELECT log_line, is_anomaly, '{AS_OF}' AS timestamp FROM logs")
+put("load_logs_documents", [LOGS], f"""SELECT row_number() OVER (ORDER BY "timestamp") - 1 AS log_id, log_line, is_anomaly,
+  CASE WHEN is_anomaly = 1 THEN {_iso_ts} ELSE '{AS_OF}' END AS timestamp FROM logs""")
+put("load_logs_in_order", [LOGS], f"""SELECT row_number() OVER (ORDER BY "timestamp", log_line) - 1 AS log_id, log_line, is_anomaly, {_iso_ts} AS timestamp FROM logs""")
+put("stored_logs", [LOGS], f"""SELECT CAST("timestamp" AS DATE) AS log_date, count(*) AS logs, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
+  min(log_id) AS first_id, max(log_id) AS last_id FROM logs WHERE CAST("timestamp" AS DATE) >= CAST({NOW} AS DATE) - 7 GROUP BY 1""")
 put("dataset_limit", [LOGS], f"SELECT {LOG_COLUMNS} FROM logs ORDER BY log_id LIMIT 1000")
 put("ingest_batch", [LINES], f"""SELECT doc_id, line_no, log_line, CAST({ingest_flag()} AS INT) AS is_anomaly,
   template_pattern, {stable_id('template_pattern')} AS template_id FROM (
@@ -236,12 +243,14 @@ put("constraint_violations", [TEMPLATED, INCIDENTS, ACTIONS], """
   UNION ALL SELECT 'actions', 'status_value', count(*) FILTER (status NOT IN ('pending', 'executed', 'approved', 'rejected', 'failed')) FROM actions
   UNION ALL SELECT 'logs', 'timestamp_null', count(*) FILTER ("timestamp" IS NULL) FROM logs
   UNION ALL SELECT 'logs', 'log_line_null', count(*) FILTER (log_line IS NULL) FROM logs
-  UNION ALL SELECT 'templates', 'pattern_unique', CAST(0 AS BIGINT)""")
+  UNION ALL SELECT 'templates', 'pattern_unique', count(*) FROM (
+    SELECT template_pattern FROM templated WHERE {FLAG} INTERSECT SELECT template_pattern FROM templated WHERE is_anomaly = 0)""".replace("{FLAG}", ingest_flag()))
 put("orphan_rows", [TEMPLATED], f"""
   SELECT 'actions.incident_id' AS relation, count(*) AS orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
   UNION ALL SELECT 'logs.template_id', count(*) FROM templated
     WHERE template_id NOT IN (SELECT template_id FROM templated WHERE {ingest_flag()})
-  UNION ALL SELECT 'lexical_index.log_id', CAST(0 AS BIGINT)""")
+  UNION ALL SELECT 'lexical_index.log_id', CAST(sum(len({keywords('o_orderpriority')}[1:20])) AS BIGINT) FROM orders
+    WHERE o_orderkey NOT IN (SELECT log_id FROM templated)""")
 
 # -- joins
 FIRST = "first_of_line AS (SELECT log_line, min(log_id) AS log_id, arg_min(template_id, log_id) AS template_id FROM templated GROUP BY 1)"
@@ -512,8 +521,35 @@ put("answer_questions", [*_window, f"""auth AS (SELECT *, row_number() OVER (ORD
   WHEN 'open_incidents' THEN (SELECT CASE WHEN c = 0 THEN 'No open incidents.' ELSE 'Found ' || c || ' open incidents:' || chr(10) || ls END FROM opened)
   ELSE '{questions.NOT_RECOGNISED}' END AS answer
   FROM routed r LEFT JOIN summary_rows m ON m.hours = r.hours LEFT JOIN suspicious s ON s.hours = r.hours LEFT JOIN advised a ON a.service = r.service""")
-put("embed_logs", [LINES], f"""SELECT doc_id, line_no, 256 AS dim,
-  CASE WHEN len({keywords('substring(log_line, 1, 512)')}) = 0 THEN 0::DOUBLE ELSE 1::DOUBLE END AS norm FROM lines""")
+
+
+def slots_of(line: str) -> str:
+    return f"list_transform({keywords(f'substring({line}, 1, 512)')}, lambda w: {stable_id('w')} % 256)"
+
+
+# How many keywords of a text, whose slots are s, fall on each of 256 slots.
+SLOT_COUNTS = "list_transform(range(256), lambda i: len(list_filter(s, lambda x: x = i)))"
+
+
+def unit_vector(counts: str) -> str:
+    norm = f"sqrt(list_sum(list_transform({counts}, lambda x: x * x)))"
+    return f"list_transform({counts}, lambda v: CAST(CASE WHEN v = 0 THEN 0 ELSE v / {norm} END AS FLOAT))"
+
+
+put("embed_logs", [LINES, f"""slotted AS (SELECT doc_id, line_no,
+    {slots_of('log_line')} AS s FROM lines)""",
+    """counted AS (SELECT doc_id, line_no, list_sort(list_distinct(s)) AS d, list_transform(list_sort(list_distinct(s)), lambda i: len(list_filter(s, lambda x: x = i))) AS c FROM slotted)"""],
+    """SELECT doc_id, line_no, 256 AS dim, array_to_string(list_transform(d, lambda i, k: i || ':' ||
+      CAST(round(CAST(CAST(c[k] / sqrt(list_sum(list_transform(c, lambda x: x * x))) AS FLOAT) AS DOUBLE) * 1e5) AS BIGINT)), ' ') AS slots FROM counted""")
+put("retrieve_by_text", [LOGS, INCIDENTS,
+    f"""asked AS (SELECT incident_id, {unit_vector('c')} AS q FROM (SELECT incident_id, {SLOT_COUNTS} AS c FROM (
+      SELECT incident_id, {slots_of('said')} AS s FROM (SELECT *, concat_ws(' ', log_line, coalesce(summary, '')) AS said FROM incidents WHERE {_week}))))""",
+    f"""held AS (SELECT log_id, "timestamp", log_line, {unit_vector('c')} AS e FROM (SELECT *, {SLOT_COUNTS} AS c FROM (
+      SELECT *, {slots_of('log_line')} AS s FROM logs WHERE {_log_week})))""",
+    f"""scored AS (SELECT incident_id, log_id, "timestamp", log_line,
+      coalesce(CASE WHEN list_sum(q) = 0 OR list_sum(e) = 0 THEN 0 ELSE {cosine('q', 'e', 9)} END, 0) AS similarity FROM asked, held)"""],
+    """SELECT incident_id, log_id, "timestamp", log_line, round(similarity, 6) AS similarity, rank FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY incident_id ORDER BY similarity DESC, "timestamp" DESC, log_id) AS INT) AS rank FROM scored) WHERE rank <= 10""")
 
 # -- rules, governance, reports
 put("windowed_alerts", [LOGS, INCIDENTS, patterns(24)], """SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, pattern,
@@ -633,5 +669,15 @@ put("stream_outcomes", [LOGS, OUTCOMES], f"""SELECT incident_id, CASE WHEN outco
   FROM (SELECT log_id AS incident_id, "timestamp" AS detected_at, {diagnosed_action('log_line')} = 'ESCALATE' AS ready,
     CASE WHEN {diagnosed_action('log_line')} = 'ESCALATE' THEN o.outcome END AS outcome, o.output, o.executed_at
     FROM logs LEFT JOIN outcomes o ON o.request_id = log_id WHERE {monitor_flag()})""")
-put("stream_rule_alerts", [LOGS, INCIDENTS, patterns(24)], ORACLE["windowed_alerts"].split(f"{patterns(24)} ", 1)[1])
+put("stream_rule_alerts", *ORACLE_PARTS["windowed_alerts"])
 put("stream_template_table", [TEMPLATED, TABLE], "SELECT * FROM template_rows")
+put("stored_audit", ORACLE_PARTS["audit_events"][0], f"""SELECT tool_name, status, approved_by, error, count(*) AS n, CAST(sum(request_id) AS BIGINT) AS requests
+  FROM ({ORACLE_PARTS["audit_events"][1]}) GROUP BY ALL""")
+put("stored_rules", *ORACLE_PARTS["evaluate_rules"])
+put("stored_policy", [*_gate, governed(False)], """SELECT tool_name, status, risk_level, message, count(*) AS n, CAST(sum(request_id) AS BIGINT) AS requests
+  FROM governed GROUP BY ALL""")
+_counted = " ".join([f"WHEN 'error' THEN {eval_flag()} WHEN 'anomaly' THEN {ingest_flag()}"] + [f"WHEN '{w}' THEN {has_keyword(w)}" for w in ("auth", "apache", "nginx")])
+put("trailing_counts", [LOGS, QUESTIONS, ROUTED, "asked AS (SELECT DISTINCT CAST(hours AS BIGINT) AS hours FROM routed)",
+    "names AS (SELECT unnest(['error', 'anomaly', 'auth', 'apache', 'nginx']) AS name)"], f"""
+  SELECT hours, name, count(log_id) AS n FROM asked CROSS JOIN names
+  LEFT JOIN logs ON "timestamp" >= {hours_ago('hours', "TIMESTAMP '2024-01-30 22:17:30'")} AND CASE name {_counted} END GROUP BY hours, name""")

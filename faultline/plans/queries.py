@@ -78,6 +78,78 @@ def load_logs(spark, d):
     return files.load_logs(spark, path, AS_OF).drop("log_id")
 
 
+@query
+def load_logs_documents(spark, d):
+    """One JSON document for each day of logs, a list or an object with a list of logs by turns, read back in file order."""
+    path = work_dir(spark, "dataset")
+    entry = F.when(F.col("is_anomaly") == 1, F.to_json(F.struct("log_line", "is_anomaly", "timestamp"))).otherwise(F.to_json(F.struct(_line().alias("log"))))
+    days = _labelled(spark, d).withColumn("day", F.substring("timestamp", 1, 10)).groupBy("day").agg(
+        F.array_sort(F.collect_list(F.struct("timestamp", entry.alias("entry")))).alias("entries"))  # a document is one record by nature
+    listed = F.concat(F.lit("["), F.array_join("entries.entry", ",\n"), F.lit("]"))
+    document = F.when(F.day(F.col("day").cast("date")) % 2 == 0, listed).otherwise(F.concat(F.lit('{"logs": '), listed, F.lit("}")))
+    days.select("day", document.alias("value")).write.partitionBy("day").text(path)
+    return files.load_logs_json(spark, path, AS_OF)
+
+
+@query
+def load_logs_in_order(spark, d):
+    """A dataset of several files: the ids follow the order of the lines."""
+    path = work_dir(spark, "dataset") + ".csv"
+    order = ["timestamp", "log_line"]
+    dated = _labelled(spark, d).repartitionByRange(5, *order).sortWithinPartitions(*order)
+    dated.write.options(header=True, escape='"').csv(path)
+    return files.load_logs(spark, path, AS_OF)
+
+
+@query
+def stored_logs(spark, d):
+    """Logs appended to a dated store in two batches, read back for one week of folders."""
+    path = work_dir(spark, "store")
+    flagged = wh.logs(spark, d)
+    for part in (0, 1):
+        files.append_logs(flagged.where(F.col("log_id") % 2 == part), path)
+    week = F.col("log_date") >= F.lit(AS_OF[:10]).cast("date") - 7
+    return spark.read.parquet(path).where(week).groupBy("log_date").agg(
+        F.count("*").alias("logs"), F.sum("is_anomaly").alias("anomalies"), F.min("log_id").alias("first_id"), F.max("log_id").alias("last_id"))
+
+
+@query
+def stored_audit(spark, d):
+    """The audit trail appended as JSON lines and read back, per tool and status."""
+    path = work_dir(spark, "audit")
+    governed = _governed(spark, d, False)
+    files.append_audit(governance.audit_events(governed), path)
+    told = spark.read.schema(
+        "request_id bigint, seq int, requested_at timestamp_ntz, tool_name string, incident_id bigint, status string, approved_by string, error string").json(path)
+    return told.groupBy("tool_name", "status", "approved_by", "error").agg(F.count("*").alias("n"), F.sum("request_id").alias("requests"))
+
+
+@query
+def stored_rules(spark, d):
+    """Suggested rules written to a file, read back and evaluated."""
+    path = work_dir(spark, "rules")
+    files.write_json(rules.suggest_rules(_incidents(spark, d), AS_OF, WEEK), path)
+    known = spark.read.schema("pattern string, regex string, threshold bigint, action string, frequency bigint").json(path)
+    return rules.evaluate_rules(wh.logs(spark, d), known)
+
+
+@query
+def stored_policy(spark, d):
+    """Requests governed by a policy and a tool registry that were read from files."""
+    folder = work_dir(spark, "config")
+    policy, tools = files.load_policy(spark), _tools(spark)
+    entry = F.struct("risk_level", "requires_approval", "description")
+    policy.agg(F.map_from_entries(F.collect_list(F.struct("action_name", entry))).alias("actions")).select(
+        "actions", F.lit(False).alias("dry_run_mode")).coalesce(1).write.json(f"{folder}/policy")  # one document
+    schema = F.struct(F.lit("object").alias("type"), F.col("required"))
+    tools.agg(F.collect_list(F.struct("name", "description", schema.alias("inputSchema"), "risk_level", "requires_approval")).alias("tools")).coalesce(1).write.json(f"{folder}/tools")
+    requests = wh.action_requests(spark, d)
+    governed = governance.govern_actions(
+        requests, files.load_tools(spark, f"{folder}/tools"), files.load_policy(spark, f"{folder}/policy"), wh.approval_decisions(spark, d),
+        dry_run=files.load_dry_run(spark, f"{folder}/policy"))
+    return governed.groupBy("tool_name", "status", "risk_level", "message").agg(F.count("*").alias("n"), F.sum("request_id").alias("requests"))
+
+
 @query
 def dataset_limit(spark, d):
     return evaluation.dataset_limit(wh.logs(spark, d), 1000)
@@ -226,17 +298,21 @@ def incident_listing(spark, d):
 
 @query
 def constraint_violations(spark, d):
-    table = templates.template_table(wh.templated_logs(spark, d))
+    """Constraints of all tables; the templates are those of flagged and of other lines, put together without a merge."""
+    templated = wh.templated_logs(spark, d)
+    flagged = detect.detect_ingest(_line())
+    table = templates.template_table(templated.where(flagged)).unionByName(templates.template_table(templated.where(F.col("is_anomaly") == 0)))
     return incidents.constraint_violations(_incidents(spark, d), wh.line_actions(spark, d), wh.logs(spark, d), table)
 
 
 @query
 def orphan_rows(spark, d):
-    """Actions against orders, logs against templates of error lines, index against logs."""
+    """Actions against orders, logs against templates of error lines, an index of order texts against logs."""
     templated = wh.templated_logs(spark, d)
     known = templates.template_table(templated.filter(detect.detect_ingest(_line()))).select("template_id")
     return incidents.orphan_rows(
-        wh.line_actions(spark, d), wh.order_incidents(spark, d), templated, known, logs.lexical_index(templated)
+        wh.line_actions(spark, d), wh.order_incidents(spark, d), templated, known,
+        logs.lexical_index(wh.order_incidents(spark, d).withColumnRenamed("incident_id", "log_id")),
     )
 
 
@@ -581,13 +657,18 @@ def answer_questions(spark, d):
 
 @query
 def embed_logs(spark, d):
-    """Hashed keyword vectors of all document lines: size, norm and non-zero count."""
+    """Hashed keyword vectors of all document lines: their slots and values, in hundred-thousandths."""
     lines = wh.document_lines(spark, d).withColumn("log_id", F.col("doc_id"))
-    v = F.col("embedding")
-    squares = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return retrieval.embed_logs(lines).select(
-        "doc_id", "line_no", F.size(v).alias("dim"), F.round(F.sqrt(squares), 5).alias("norm"),
-    )
+    entry = lambda x, i: F.when(x > 0, F.concat_ws(":", i, F.round(x.cast("double") * 1e5).cast("bigint")))
+    slots = F.array_join(F.array_compact(F.transform("embedding", entry)), " ")
+    return retrieval.embed_logs(lines).select("doc_id", "line_no", F.size("embedding").alias("dim"), slots.alias("slots"))
+
+
+@query
+def retrieve_by_text(spark, d):
+    """Logs of the last week nearest to the line and summary of each of its incidents."""
+    hits = retrieval.retrieve_by_text(incidents.in_window(_incidents(spark, d), AS_OF, WEEK), wh.logs(spark, d), AS_OF, WEEK, k=10)
+    return hits.withColumn("similarity", F.round("similarity", 6))
 
 
 # -- rules, governance, reports ----------------------------------------------

@@ -9,16 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 from faultline.functions import text
 from faultline.functions.times import micros_between
 from faultline.plans.queries import query
-from faultline.operators import rules, templates
+from faultline.operators import questions, rules, templates
 from faultline.session import work_dir
 from faultline.sources import files, warehouse as wh
-from faultline.streaming import alerts, growing, mining, outcomes, pipelines, snapshots, sources
+from faultline.streaming import alerts, growing, mining, outcomes, pipelines, rollup, snapshots, sources
 
 # Alert rules of the streaming query: every known pattern class, from 2 matches on.
 STREAM_RULES = [(p, r, 2, "ESCALATE") for p, r in text.PATTERN_REGEX.items()]
 
 # Later than every event by more than any watermark delay.
 END_OF_TIME = "2100-01-01 00:00:00"
+# Not on the hour, so that windows begin within one.
+TRAILING_AS_OF = "2024-01-30 22:17:30"
 # Longer than all logs last, so that the two halves of the reports are both in time.
 TIMEOUT_HOURS = 24 * 60
 
@@ -201,6 +203,17 @@ def stream_template_table(spark, d):
     return table.current().select("template_pattern", "frequency", "created_at", "first_log_id", "template_id")
 
 
+@query
+def trailing_counts(spark, d):
+    """Lines of the windows that questions ask for, from an hourly rollup and the hours in which the windows begin."""
+    kept = rollup.Rollup(spark, work_dir(spark, "rollup"), every=2)
+    flagged = wh.logs(spark, d)
+    for part in range(3):
+        kept.add(flagged.where(F.pmod("log_id", F.lit(3)) == part), part)
+    asked = questions.route_questions(wh.questions(spark, d)).select("hours")
+    return kept.counts(flagged, asked, TRAILING_AS_OF)
+
+
 @query
 def stream_templates(spark, d):
     """Greedy templates mined with state in event-time order; equal to the batch result."""

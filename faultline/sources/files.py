@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline import schemas
 from faultline.functions import text
+from faultline.session import cut_lineage
 
 # The policy and registry used when no file is given.
 DEFAULT_POLICY = [
@@ -38,23 +39,42 @@ def _digits_or_zero(value: Column) -> Column:
     return F.coalesce(F.when(value.rlike(r"^\d+$"), value.try_cast("int")), F.lit(0))
 
 
+def in_file_order(lines: DataFrame, name: str = "log_id") -> DataFrame:
+    """``lines`` with dense ids in the order of their files by path, and of their place in each file.
+
+    Needs the columns file, start (of the block that was read) and row (ascending
+    within a block), which it drops. Starts a job that writes the lines, so that their
+    ids outlive lost executors; blocks, not lines, are put in order.
+    """
+    lines = cut_lineage(lines)
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block of a file
+    starts = lines.groupBy("file", "start").agg(F.count("*").alias("_n")).select(
+        "file", "start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    place = Window.partitionBy("file", "start").orderBy("row")
+    numbered = lines.withColumn("_place", F.row_number().over(place) - 1).join(starts, ["file", "start"])
+    others = [c for c in lines.columns if c not in ("file", "start", "row")]
+    return numbered.select((F.col("_first") + F.col("_place")).alias(name), *others)
+
+
+def _place_in_file(meta: str = "_metadata") -> list[Column]:
+    return [F.col(f"{meta}.file_path").alias("file"), F.col(f"{meta}.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")]
+
+
 def load_logs_csv(spark: SparkSession, path: str, as_of: str, multi_line: bool = False) -> DataFrame:
-    """Labelled CSV with a header: log_id, log_line, is_anomaly, timestamp (text).
+    """Labelled CSV with a header: log_id (in file order), log_line, is_anomaly, timestamp (text).
 
     Columns go by name.  Lines are stripped and empty ones dropped; a label that is not
     all digits counts as 0; ``as_of`` stands in for a missing timestamp column.  Set
-    ``multi_line`` only for quoted line breaks: such files cannot be split.
+    ``multi_line`` only for quoted line breaks: such files cannot be split.  Starts a
+    job (see :func:`in_file_order`).
     """
     table = spark.read.options(header=True, escape='"', multiLine=multi_line).csv(path)
     present = set(table.columns)
     line = F.translate(F.col("log_line"), "�", "") if "log_line" in present else F.lit("")
     label = _digits_or_zero(F.col("is_anomaly")) if "is_anomaly" in present else F.lit(0)
     at = F.col("timestamp") if "timestamp" in present else F.lit(as_of)
-    return (
-        table.select(text.strip(line).alias("log_line"), label.alias("is_anomaly"), at.alias("timestamp"))
-        .filter(F.coalesce("log_line", F.lit("")) != "")
-        .select(F.monotonically_increasing_id().alias("log_id"), "log_line", "is_anomaly", "timestamp")
-    )
+    kept = table.select(text.strip(line).alias("log_line"), label.alias("is_anomaly"), at.alias("timestamp"), *_place_in_file())
+    return in_file_order(kept.filter(F.coalesce("log_line", F.lit("")) != ""))
 
 
 def _from_object(entry: Column, as_of: str) -> list[Column]:
@@ -72,21 +92,28 @@ def _from_object(entry: Column, as_of: str) -> list[Column]:
 
 
 def load_logs_json(spark: SparkSession, path: str, as_of: str, lines: bool = False) -> DataFrame:
-    """Labelled JSON: a list, or an object with a ``logs`` list, of strings and objects.
+    """Labelled JSON: a list, or an object with a ``logs`` list, of strings and objects; log_id in file order.
 
     A whole document is one record by nature.  For large inputs write one entry per
-    line and pass ``lines=True``, which Spark can split.
+    line and pass ``lines=True``, which Spark can split.  A document that is neither
+    form and a line that is no JSON fail the job with the name of their file.  Starts a
+    job (see :func:`in_file_order`).
     """
     if lines:
-        entries = spark.read.text(path).select(F.col("value").alias("entry")).filter(F.trim("entry") != "")
-        entries = entries.select(F.monotonically_increasing_id().alias("log_id"), "entry")
+        read = spark.read.text(path).select(F.trim("value").alias("entry"), *_place_in_file()).filter(F.col("entry") != "")
+        known = F.try_parse_json("entry").isNotNull()
+        wrong = F.raise_error(F.concat(F.lit("not a JSON entry in "), F.col("file"), F.lit(": "), F.substring("entry", 1, 100)))
+        entry = F.when(F.col("entry").startswith('"'), F.get_json_object("entry", "$")).otherwise(F.col("entry"))
+        entries = read.select(F.when(known, entry).otherwise(wrong).alias("entry"), "file", "start", "row")
     else:
-        document = spark.read.text(path, wholetext=True).select(F.trim("value").alias("doc"))
+        document = spark.read.text(path, wholetext=True).select(F.trim("value").alias("doc"), F.col("_metadata.file_path").alias("file"))
         body = F.when(F.col("doc").startswith("{"), F.get_json_object("doc", "$.logs")).otherwise(F.col("doc"))
-        items = F.from_json(body, "array<string>")
-        entries = document.select(F.posexplode(items).alias("pos", "entry"))
-        entries = entries.select(F.monotonically_increasing_id().alias("log_id"), "entry")
-    return entries.filter(F.col("entry").isNotNull()).select("log_id", *_from_object(F.col("entry"), as_of))
+        whole = F.try_parse_json("doc").isNotNull() & body.startswith("[")
+        items = F.when(whole, F.from_json(body, "array<string>"))
+        wrong = F.raise_error(F.concat(F.lit("neither a list of log entries nor an object with a list of logs: "), F.col("file")))
+        entries = document.select(F.posexplode(F.coalesce(items, wrong.cast("array<string>"))).alias("row", "entry"), "file", F.lit(0).alias("start"))
+    numbered = in_file_order(entries.filter(F.col("entry").isNotNull()).select("entry", "file", "start", "row"))
+    return numbered.select("log_id", *_from_object(F.col("entry"), as_of))
 
 
 def load_logs(spark: SparkSession, path: str, as_of: str, format: str | None = None) -> DataFrame:

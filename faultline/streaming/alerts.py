@@ -22,8 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from faultline.operators.rules import RULE_FIELDS, rule_matches
-from faultline.streaming.pipelines import _save, start_batches
-from faultline.streaming.snapshots import _numbers
+from faultline.streaming.pipelines import _save, complete, start_batches
 
 RULES = "pattern string, regex string, threshold bigint, action string"
 COUNTS = "window_start timestamp, window_end timestamp, pattern string, regex string, matches bigint, batch_id int"
@@ -34,7 +33,7 @@ _FIRST = "0001-01-01 00:00:00"
 
 def _rules_of(spark: SparkSession, source: Callable[[], DataFrame], out: str, batch_id: int) -> DataFrame:
     """The rules of a batch: those kept with it if it is a replay."""
-    if batch_id not in _numbers(spark, f"{out}/rules", "batch_id"):
+    if batch_id not in complete(spark, f"{out}/rules"):
         _save(source().select(*[F.col(c).cast(f.dataType) for c, f in zip(RULE_FIELDS, T.StructType.fromDDL(RULES))]), f"{out}/rules", batch_id)
     return spark.read.schema(RULES).parquet(f"{out}/rules/batch_id={batch_id}")
 

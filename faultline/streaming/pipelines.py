@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +33,14 @@ def _save(rows: DataFrame, path: str, batch_id: int) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(target)
 
 
+def complete(spark: SparkSession, folder: str, name: str = "batch_id") -> list[int]:
+    """The N of the folders ``name=N`` that have been written in full."""
+    jvm = spark.sparkContext._jvm
+    system = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}=*/_SUCCESS")) or []
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
+
 def dense_ids(rows: DataFrame, base: int) -> DataFrame:
     """``rows`` with ``log_id`` = ``base``, base + 1, ... in the order of their columns ``part`` and ``row``.
 
@@ -60,12 +68,9 @@ def _with_ids(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
             "*", F.shiftright("local", 33).alias("part"), F.col("local").bitwiseAND(F.lit((1 << 33) - 1)).alias("row")
         )
         lines = _save(placed.drop("local"), f"{out}/lines", batch_id)
-        schema = "next_id bigint, batch_id bigint"
-        if batch_id == 0:
-            base = 0
-        else:
-            ends = spark.read.schema(schema).parquet(f"{out}/ids").filter(F.col("batch_id") < batch_id)
-            base = ends.agg(F.coalesce(F.max("next_id"), F.lit(0))).first()[0]
+        before = [n for n in complete(spark, f"{out}/ids") if n < batch_id]
+        # One row of the newest batch; no other file of the ids is read.
+        base = spark.read.schema("next_id bigint").parquet(f"{out}/ids/batch_id={before[-1]}").first()[0] if before else 0
         _save(spark.createDataFrame([(base + lines.count(),)], "next_id bigint"), f"{out}/ids", batch_id)
         batch = dense_ids(lines, base)
     return batch.withColumn("timestamp", F.col("event_time").cast("timestamp_ntz")).drop("event_time")

@@ -13,24 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faultline.operators import templates
-from faultline.streaming.pipelines import _save, start_batches
+from faultline.streaming.pipelines import _save, complete, start_batches
 
 EVERY = 16
 
 
-def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
-    """The N of the complete folders ``name=N``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}=*/_SUCCESS")) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
-
-
 class Snapshots:
     """``merge(previous, increments)``: one table from two of ``schema``; it must not matter how increments are grouped."""
 
@@ -45,9 +35,9 @@ class Snapshots:
     def current(self, below: int | None = None) -> DataFrame:
         """The table as of the newest increment, or as of the last one before batch ``below``."""
         before = lambda numbers: [n for n in numbers if below is None or n < below]
-        versions = before(_numbers(self.spark, f"{self.path}/versions", "version"))
+        versions = before(complete(self.spark, f"{self.path}/versions", "version"))
         last = versions[-1] if versions else -1
-        later = [n for n in before(_numbers(self.spark, f"{self.path}/increments", "batch_id")) if n > last]
+        later = [n for n in before(complete(self.spark, f"{self.path}/increments")) if n > last]
         return self.merge(self._rows("versions", versions[-1:], "version"), self._rows("increments", later, "batch_id"))
 
     def add(self, increment: DataFrame, batch_id: int) -> None:
@@ -55,8 +45,8 @@ class Snapshots:
         _save(increment.select(*self._columns()), f"{self.path}/increments", batch_id)
         if (batch_id + 1) % self.every == 0:
             # Made from what lies below this version, never from an earlier try of itself.
-            older = [n for n in _numbers(self.spark, f"{self.path}/versions", "version") if n < batch_id]
-            since = [n for n in _numbers(self.spark, f"{self.path}/increments", "batch_id") if (older[-1] if older else -1) < n <= batch_id]
+            older = [n for n in complete(self.spark, f"{self.path}/versions", "version") if n < batch_id]
+            since = [n for n in complete(self.spark, f"{self.path}/increments") if (older[-1] if older else -1) < n <= batch_id]
             version = self.merge(self._rows("versions", older[-1:], "version"), self._rows("increments", since, "batch_id"))
             version.select(*self._columns()).write.mode("overwrite").parquet(f"{self.path}/versions/version={batch_id}")
 
@@ -65,12 +55,12 @@ class Snapshots:
 
     def expire(self) -> None:
         """Delete the versions below the newest one and the increments that it holds."""
-        versions = _numbers(self.spark, f"{self.path}/versions", "version")
+        versions = complete(self.spark, f"{self.path}/versions", "version")
         if not versions:
             return
         jvm = self.spark.sparkContext._jvm
         spent = [f"{self.path}/versions/version={n}" for n in versions[:-1]]
-        spent += [f"{self.path}/increments/batch_id={n}" for n in _numbers(self.spark, f"{self.path}/increments", "batch_id") if n <= versions[-1]]
+        spent += [f"{self.path}/increments/batch_id={n}" for n in complete(self.spark, f"{self.path}/increments") if n <= versions[-1]]
         for path in spent:
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

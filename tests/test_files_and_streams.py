@@ -16,6 +16,7 @@ from faultline.streaming import mining, pipelines, sources
 from test_templates import long_lines, sample_lines, sequential
 
 AS_OF = "2024-01-10T00:00:00"
+SPLIT = "spark.sql.files.maxPartitionBytes"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -257,3 +258,33 @@ def test_mining_state_is_flat_over_repeats_and_forgets():
     assert len(kept.answers) == 21 and len(told) == 60
     bounded, told = drive(8 * hour, 40)
     assert set(bounded.answers) == {("same",)} and set(told["template_pattern"]) >= {"same", "once 3"}
+
+
+def test_ids_follow_the_files(spark, tmp_path):
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    for name, first in (("b", 300), ("a", 0), ("c", 600)):
+        write(folder, f"{name}.csv", "log_line,is_anomaly\n" + "".join(f"line {first + k},0\n" for k in range(300)))
+    before = spark.conf.get(SPLIT)
+    spark.conf.set(SPLIT, "1k")  # many blocks of each file
+    try:
+        got = files.load_logs(spark, str(folder), AS_OF).orderBy("log_id").collect()
+    finally:
+        spark.conf.set(SPLIT, before)
+    assert [(r["log_id"], r["log_line"]) for r in got] == [(k, f"line {k}") for k in range(900)]
+
+
+@pytest.mark.parametrize("content", ["{}", '{"entries": []}', "[1, 2", '"text"', "17"])
+def test_json_of_another_form_fails(spark, tmp_path, content):
+    path = write(tmp_path, "x.json", content)
+    with pytest.raises(Exception, match="x.json"):
+        files.load_logs(spark, path, AS_OF).collect()
+
+
+def test_broken_json_line_fails(spark, tmp_path):
+    path = write(tmp_path, "x.jsonl", '{"log": "a"}\n"bare"\n{"log": "b"\n')
+    with pytest.raises(Exception, match="x.jsonl"):
+        files.load_logs(spark, path, AS_OF).collect()
+    path = write(tmp_path, "y.jsonl", '{"log": "a"}\n"bare"\n')
+    assert rows(files.load_logs(spark, path, AS_OF)) == [("a", 0, AS_OF), ("bare", 0, AS_OF)]
+    assert rows(files.load_logs(spark, write(tmp_path, "z.json", "[]"), AS_OF)) == []

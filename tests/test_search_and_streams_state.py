@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import LOG_SCHEMA
 from faultline.operators import governance, logs, search_index, templates
 from faultline.sources import files
-from faultline.streaming import alerts, outcomes, pipelines, snapshots, sources
+from faultline.streaming import alerts, outcomes, pipelines, rollup, snapshots, sources
 
 AS_OF = "2024-01-10 00:00:00"
 NOW = dt.datetime(2024, 1, 10)
@@ -69,7 +69,7 @@ def test_snapshots_count_replays_once(make, spark, tmp_path):
     assert told(kept.current(below=4)) == told(templates.template_table(table.where(F.col("log_id") % 8 < 4)))
     kept.expire()
     assert told(kept.current()) == told(templates.template_table(table))
-    assert snapshots._numbers(spark, f"{tmp_path}/increments", "batch_id") == [6, 7]
+    assert pipelines.complete(spark, f"{tmp_path}/increments") == [6, 7]
 
 
 def test_stream_keeps_the_template_table(make, spark, tmp_path):
@@ -164,3 +164,35 @@ def test_reports_are_ordered_as_structs_are():
     rows = [(5, None, "x"), (5, "a", None), (5, "a", "b"), (4, "z", "z"), (5, None, None)]
     assert max(rows, key=outcomes._order) == (5, "a", "b") and min(rows, key=outcomes._order) == (4, "z", "z")
     assert governance.TIMEOUT == "timeout"
+
+
+# Rollup
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-10 00:00:00", "2024-01-09 23:17:30.5"])
+def test_rollup_counts_equal_the_lines(make, spark, tmp_path, as_of):
+    rng = random.Random(6)
+    lines = ["ERROR: auth failed", "WARNING: nginx slow", "INFO: apache ok", "CRITICAL: disk", "INFO: quiet"]
+    rows = [(i, NOW - dt.timedelta(seconds=rng.randint(-4000, 200_000)), rng.choice(lines)) for i in range(900)]
+    rows += [(1000 + h, dt.datetime.fromisoformat(as_of) - dt.timedelta(hours=h), "ERROR: on the edge") for h in range(5)]
+    table = make(LOG_SCHEMA, rows)
+    kept = rollup.Rollup(spark, str(tmp_path), every=2)
+    for part in (0, 1, 2, 1):  # one batch comes again
+        kept.add(table.where(F.col("log_id") % 3 == part), part)
+    asked = make("hours int", [(h,) for h in (0, 1, 2, 24, 24, 48, 500)])
+    got = {(r["hours"], r["name"]): r["n"] for r in kept.counts(table, asked, as_of).collect()}
+    assert len(got) == 6 * len(kept.predicates)
+    end = dt.datetime.fromisoformat(as_of)
+    words = {"error": ("ERROR", "CRITICAL"), "anomaly": ("ERROR", "CRITICAL", "WARNING"), "auth": ("auth",), "apache": ("apache",), "nginx": ("nginx",)}
+    for (hours, name), n in got.items():
+        assert n == sum(at >= end - dt.timedelta(hours=hours) and any(w in x for w in words[name]) for _, at, x in rows)
+    # Lines outside the hours in which windows begin are not needed.
+    begins = {(end - dt.timedelta(hours=h)).replace(minute=0, second=0, microsecond=0) for h in (0, 1, 2, 24, 48, 500)}
+    few = make(LOG_SCHEMA, [r for r in rows if r[1].replace(minute=0, second=0, microsecond=0) in begins])
+    assert {(r["hours"], r["name"]): r["n"] for r in kept.counts(few, asked, as_of).collect()} == got
+
+
+def test_rollup_of_nothing(make, spark, tmp_path):
+    kept = rollup.Rollup(spark, str(tmp_path))
+    got = kept.counts(make(LOG_SCHEMA, []), make("hours int", [(1,), (24,)]), AS_OF).collect()
+    assert sorted((r["hours"], r["n"]) for r in got) == [(1, 0)] * 5 + [(24, 0)] * 5
