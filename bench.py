@@ -24,6 +24,8 @@ HEADLINE = [
     "apply_resolutions", "action_status_counts", "action_usefulness", "metrics_summary", "error_patterns",
     "windowed_alerts", "govern_actions", "audit_events", "semantic_topk", "hybrid_merge", "keyword_fallback",
     "hybrid_retrieve", "incident_context", "answer_questions", "stream_ingest",
+    "window_summary", "embed_logs", "template_jaccard", "template_correlation", "evaluation_report",
+    "semantic_topk_many", "search_indexed", "stream_triage", "stream_alerts", "stream_templates",
 ]
 
 
