@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Ids of rows without an id: above every real one, the same for the same text.
-NO_ID = 1 << 62
+#: The id that rows without one share with rows of that very id; their ties tell them apart.
+LAST_ID = (1 << 63) - 1
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -52,9 +52,19 @@ def crc_mod(doc_id: Column, by: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % by
 
 
-def row_id(doc_id: Column, text: Column) -> Column:
-    """The id of a row; rows without one get an id above NO_ID made from their text."""
-    return F.coalesce(doc_id.cast("long"), F.xxhash64(text).bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID)))
+def row_place(doc_id: Column, text: Column) -> list[Column]:
+    """id and tie of a row, in whose order rows come: by id, those without one last, then by a hash of the text.
+
+    Ties are negative in rows that have an id, so no id is mistaken for an absent one.
+    """
+    hashed = F.xxhash64(text)
+    tie = F.when(doc_id.isNull(), hashed.bitwiseAND(F.lit(LAST_ID))).otherwise(hashed.bitwiseOR(F.lit(-1 - LAST_ID)))
+    return [F.coalesce(doc_id.cast("long"), F.lit(LAST_ID)).alias("id"), tie.alias("tie")]
+
+
+def own_id() -> Column:
+    """The id that a row of ``row_place`` had, null if none."""
+    return F.when(~((F.col("id") == LAST_ID) & (F.col("tie") >= 0)), F.col("id"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ ORACLE = {
     "op1_ngram_jaccard": near_duplicates.SQL,
     "op5_license_scan": licenses.SQL,
     "op6_substring_dedup": substring_dedup.SQL,
+    "op9_suffix_dedup": suffix_dedup.SQL,
     "op12_filter_audit": filter_audit.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }

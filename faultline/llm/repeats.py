@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import gram_hashes, mix, prefix_hash, row_id, signed, slices, sliding_argmin, span_hash, squeeze, unsqueeze, word_spans
+from faultline.llm.common import gram_hashes, mix, own_id, prefix_hash, row_place, signed, slices, sliding_argmin, span_hash, squeeze, unsqueeze, word_spans
 from faultline.session import cut_lineage, remove_stages
 
 FREQUENT = 16
@@ -173,7 +173,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
     gives the ids, ties and starts of the windows equal to an earlier one.
     """
     share = min(1.0, unit.sample / max(1, total))
-    sample = rows.where(F.xxhash64("id").bitwiseAND(F.lit((1 << 30) - 1)) < int(share * (1 << 30)))
+    sample = rows.where(F.xxhash64("id", "tie").bitwiseAND(F.lit((1 << 30) - 1)) < int(share * (1 << 30)))
 
     def list_grams(parts):
         for part in parts:
@@ -198,7 +198,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
             # meeting and go anywhere, their first window stored as a negative number
             _, one, of, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
             sure = counts[of] > 1
-            away = signed(mix(place[0].view(np.uint64)) + place[2].view(np.uint64))
+            away = signed(mix(place[0].view(np.uint64) ^ mix(place[1].view(np.uint64))) + place[2].view(np.uint64))
             told = one[counts > 1]
             columns = [np.where(sure, away, key), *place[:2], np.where(sure, -1 - place[2], place[2])]
             more = [key[told], *(x[told] for x in place)]
@@ -305,7 +305,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
 def remove_repeats(docs: DataFrame, unit: Unit, settle: Callable, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_units, n_removed, n_spans (maximal removed runs) and kept_sha256 of every row."""
     rows = docs.select(
-        row_id(F.col(doc_id), F.col(text)).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).cast("binary").alias("text")
+        *row_place(F.col(doc_id), F.col(text)), F.col(text).cast("binary").alias("text")
     )
     empty = hashlib.sha256(b"").hexdigest()
 
@@ -342,7 +342,7 @@ def remove_repeats(docs: DataFrame, unit: Unit, settle: Callable, doc_id: str =
     joined = base.join(firsts, "sha", "left").withColumn("copy", F.coalesce(copy, F.lit(False))).join(parts, ["id", "tie"], "left")
     pick = lambda whole, part, none: F.when(F.col("copy"), whole).otherwise(F.coalesce(part, none))
     return joined.select(
-        "id", "units", pick(F.col("units"), F.col("removed"), F.lit(0)).alias("n_removed"),
+        own_id().alias("id"), "units", pick(F.col("units"), F.col("removed"), F.lit(0)).alias("n_removed"),
         pick(F.lit(1), F.col("spans"), F.lit(0)).cast("long").alias("n_spans"),
         pick(F.lit(empty), F.col("kept"), F.col("sha")).alias("kept_sha256"),
     )

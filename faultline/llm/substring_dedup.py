@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm.common import NO_ID, table
+from faultline.llm.common import table
 from faultline.llm.repeats import Words, remove_repeats
 
 UNIT = Words()
@@ -36,8 +36,7 @@ def repeated_windows(members: list[tuple[int, int, int, bytes]], window: int = U
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"), UNIT, repeated_windows)
-    doc_id = F.when(F.col("id") < NO_ID, F.col("id")).alias("doc_id")
-    return found.select(doc_id, F.col("units").alias("n_words"), "n_removed", "kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), F.col("units").alias("n_words"), "n_removed", "kept_sha256")
 
 
 SQL = r"""

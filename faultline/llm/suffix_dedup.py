@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm.common import NO_ID, table
+from faultline.llm.common import table
 from faultline.llm.repeats import Bytes, remove_repeats
 
 UNIT = Bytes()
@@ -103,5 +103,22 @@ def repeated_windows(members: list[tuple[int, int, int, bytes]], window: int = U
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"), UNIT, repeated_windows)
-    doc_id = F.when(F.col("id") < NO_ID, F.col("id")).alias("doc_id")
-    return found.select(doc_id, F.col("units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), F.col("units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
+SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT *, length(h) // 2 AS n FROM texts),
+windows AS (SELECT doc_id, i, hash(h[2 * i + 1:2 * i + 200]) AS a, md5_number(h[2 * i + 1:2 * i + 200]) AS b
+  FROM (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM sized WHERE n >= 100)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+edges AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS first FROM late),
+runs AS (SELECT doc_id, min(i) AS low, max(i) + 100 AS high
+  FROM (SELECT *, sum(CAST(first AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges) GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS low, low AS high FROM runs
+  UNION ALL SELECT s.doc_id, coalesce(max(r.high), 0), any_value(s.n) FROM sized s LEFT JOIN runs r ON r.doc_id = s.doc_id GROUP BY s.doc_id),
+kept AS (SELECT g.doc_id, string_agg(s.h[2 * g.low + 1:2 * g.high], '' ORDER BY g.low) AS h
+  FROM gaps g JOIN sized s ON s.doc_id = g.doc_id WHERE g.high > g.low GROUP BY g.doc_id)
+SELECT s.doc_id, s.n AS n_bytes, CAST(coalesce(r.removed, 0) AS BIGINT) AS n_removed, coalesce(r.spans, 0) AS n_spans, sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+FROM sized s LEFT JOIN (SELECT doc_id, sum(high - low) AS removed, count(*) AS spans FROM runs GROUP BY doc_id) r ON r.doc_id = s.doc_id
+LEFT JOIN kept k ON k.doc_id = s.doc_id"""

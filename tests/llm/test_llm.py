@@ -43,30 +43,76 @@ def none(spark):
 
 
 def _component_model(rows):
-    sets = {}
-    for i, t, *_ in rows:
+    """(id, size, smallest id reachable) of every row, each row a document of its own."""
+    sets = []
+    for _, t, *_ in rows:
         w = (t or "").encode().lower().split()
-        if i is not None:
-            sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
-    best = {i: i for i in sets}
-    for _ in sets:
-        for a, x in sets.items():
-            for b, y in sets.items():
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    part = list(range(len(rows)))
+    for _ in rows:
+        before = list(part)
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets):
                 if x and y and 100 * len(x & y) >= 75 * len(x | y):
-                    best[a] = best[b] = min(best[a], best[b])
-    return {i: (len(s), best[i]) for i, s in sets.items()}
+                    part[a] = part[b] = min(part[a], part[b])
+        if part == before:
+            break
+    least = {p: min([r[0] for r, q in zip(rows, part) if q == p and r[0] is not None], default=None) for p in part}
+    return [(r[0], len(s), least[p]) for r, s, p in zip(rows, sets, part)]
 
 
 def test_near_duplicates(docs, none):
-    got = near_duplicates.link(docs).collect()
-    model = _component_model(_rows())
-    assert len(got) == docs.count()
-    assert {r.id: (r.n, r.component) for r in got if r.id < near_duplicates.NO_ID} == model
+    got = near_duplicates.linked(docs)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, _component_model(_rows())))
     kept = near_duplicates.keep_first(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
-    assert sorted(ids) == sorted({c for _, c in model.values()})
-    assert near_duplicates.link(none).count() == 0
+    rows = [r for r in _rows() if r[1] is not None]
+    ids = [r.doc_id for r in kept.where("text is not null").collect()]
+    model = _component_model(rows)
+    assert sorted(ids) == sorted({c for _, n, c in model if n} | {i for i, n, _ in model if not n})
+    assert kept.where("text is null").count() == sum(r[1] is None for r in _rows())
+    assert near_duplicates.linked(none).count() == near_duplicates.keep_first(none).count() == 0
+
+
+def test_links_of_any_ids(spark):
+    """Ids at both ends of 64 bits, negative, absent and shared."""
+    prose = [" ".join(f"{x}{k}" for k in range(40)) for x in "abcdef"]
+    big = 1 << 62
+    rows = [(big, prose[0]), (big + 5, prose[0] + " more"), (3, prose[1]), (2 * big - 1, prose[2]), (-2 * big, prose[2]), (None, prose[3]), (None, prose[3]),
+            (None, prose[4]), (big + 1, prose[4]), (2 * big - 1, prose[5]), (2 * big - 1, ""), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = near_duplicates.linked(frame).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, _component_model(rows)))
+    kept = {(r.doc_id, r.text) for r in near_duplicates.keep_first(frame).collect()}
+    assert kept == {(big, prose[0]), (3, prose[1]), (-2 * big, prose[2]), (None, prose[3]), (big + 1, prose[4]), (2 * big - 1, prose[5]), (2 * big - 1, ""), (None, None)}
+
+
+def test_a_family_of_near_copies_makes_few_rows(spark, monkeypatch):
+    """2,000 copies of one text, each with its own edits: linked and unlinked ones, rows in proportion to the copies."""
+    rng = np.random.default_rng(12)
+    base = [f"w{k}" for k in range(220)]
+
+    def copy(edits):
+        words = list(base)
+        for k in rng.choice(len(words), edits, replace=False):
+            words[k] = f"x{rng.integers(1 << 40)}"
+        return " ".join(words)
+
+    rows = [(i, copy(2 if i % 2 else 12)) for i in range(2000)]
+    counted, checked = [], near_duplicates.near
+
+    def near(pairs, sets, percent):
+        counted.append(pairs.count())
+        out = checked(pairs, sets, percent)
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "near", near)
+    got = {r.doc_id: r.component_id for r in near_duplicates.linked(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect()}
+    assert max(counted) <= 2 * len(rows)
+    close = [i for i in got if i % 2]
+    assert len({got[i] for i in close}) == 1  # 2 edits change 10 of 216 shingles
 
 
 def test_keep_first_keeps_unlike_rows_of_one_id(spark):
@@ -85,8 +131,39 @@ def test_linked_sets_share_a_lane(n, changed, seed):
     a, b = pool[:n], np.unique(np.concatenate([pool[: max(0, n - changed)], pool[n:]]))
     frequent = np.sort(rng.choice(pool, len(pool) // 3, replace=False))
     if len(b) and near_duplicates.alike(a, b, 75) and not np.array_equal(a, b):
-        both = set(near_duplicates.lane_keys(a, 75, frequent)) & set(near_duplicates.lane_keys(b, 75, frequent))
-        assert both
+        sent = [dict(zip(*(x.tolist() for x in near_duplicates.lane_keys(s, 75, frequent)))) for s in (a, b)]
+
+        def admits(n, place, other):
+            """The bounds of ``partner_sizes`` in whole numbers."""
+            least = max(-(-n * 75 // 100), 7 * (-1 - place) - n if place < 0 else 0)
+            most = (n - place) * 175 // 75 - n if place >= 0 else n * 100 // 75
+            return least <= other <= most
+
+        both = sent[0].keys() & sent[1].keys()
+        assert any(admits(len(a), sent[0][k], len(b)) and admits(len(b), sent[1][k], len(a)) for k in both)
+
+
+def test_partner_sizes(spark):
+    rows = [(n, place) for n in (4, 20, 143, 300, 1001) for place in (0, 1, 3, n // 10, n // 4, -1, -2, -1 - n // 10, -1 - n // 4)]
+    got = spark.createDataFrame(rows, "n int, place int").select("n", "place", *near_duplicates.partner_sizes(75)).collect()
+    for n, place, low, high in map(tuple, got):
+        assert low == max(-(-n * 75 // 100), 7 * (-1 - place) - n if place < 0 else 0)
+        assert high == ((n - place) * 175 // 75 - n if place >= 0 else n * 100 // 75)
+
+
+def test_pairs_across_blocks(spark, monkeypatch):
+    """Blocks of a group meet each other and themselves once, and no pair within the bounds is lost."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
+    rng = np.random.default_rng(2)
+    flat = ([0] * 16,)
+    rows = [(sig, 100 * sig + k, int(rng.integers(5)), int(rng.integers(90, 110)), 92, 108, *flat) for sig in range(3) for k in range(15 * sig + 1)]
+    left = spark.createDataFrame(rows, "sig bigint, id bigint, c bigint, n int, low int, high int, sketch array<bigint>").repartition(3)
+    got = sorted(map(tuple, near_duplicates.pairs_across(left, 75).collect()))
+    inside = [r for r in rows if 92 <= r[3] <= 108]
+    assert got == sorted((x[1], y[1]) for x in inside for y in inside if x[0] == y[0] and x[1] < y[1] and x[2] != y[2])
+    few = near_duplicates.pairs_across(left, 75, partners=2).collect()
+    assert few and {tuple(r) for r in few} <= set(got)
+    assert max(collections.Counter(r.a // 100 * 1000 + r.a % 100 for r in few).values()) <= 2 * 12  # two of each block that it meets
 
 
 def test_components(spark):
@@ -125,6 +202,24 @@ def test_repeats(docs, none, module, limit, monkeypatch):
         assert repeats.remove_repeats(none, module.UNIT, module.repeated_windows).count() == 0
 
 
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_repeats_of_any_ids(spark, module):
+    """Ids at both ends of 64 bits, negative and absent: rows come in their order, those without an id last."""
+    prose = " ".join(f"w{k}" for k in range(60))
+    big = 1 << 62
+    ids = [2 * big - 1, big, -2 * big, None, big + 5, None, 3, None]
+    texts = [prose, prose + " a", "b " + prose, prose + " c", prose, "d " + prose, "e " + prose + " e", prose + " c"]
+    frame = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").repartition(3)
+    got = repeats.remove_repeats(frame, module.UNIT, module.repeated_windows).collect()
+    by_id = {r.id: r for r in got if r.id is not None}
+    assert sorted(by_id) == sorted(i for i in ids if i is not None) and len(got) == len(ids)
+    assert by_id[-2 * big].n_removed == 0  # the first of all; what repeats in the others is its prose
+    assert all(by_id[i].n_removed > 0 for i in by_id if i != -2 * big)
+    assert all(r.n_removed > 0 for r in got if r.id is None)
+    model = _repeat_model([r for r in zip(ids, texts) if r[0] is not None], module.UNIT)
+    assert {i: (r.units, r.n_removed, r.n_spans, r.kept_sha256) for i, r in by_id.items()} == model
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 3), max_size=60))
 def test_suffix_array(s):
@@ -400,6 +495,19 @@ def test_words_encode_as_whole_texts():
         assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+_TOKENIZER, _WORDS = Tokenizer.from_file(token_files.TOKENIZER), token_files.WordTokenizer(token_files.TOKENIZER, cached=50)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet="aBcsStTreVEmlLD'’.,!?-_0123 \n\t\u0301\u030cjJéÉİßΣςŁŽſµªÿ你ก\u200d\x1c\xa0", max_size=16) | st.text(max_size=12) | st.lists(st.sampled_from(
+    ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "a", "B.", " ", "é", "'s", "endoftext"]), max_size=7).map("".join))
+def test_any_text_encodes_as_the_library_does(text):
+    text = text.encode("utf-8", "replace").decode()
+    expected = _TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(_WORDS.encode([text.encode()])[0], "<u4").tolist() == expected
+    assert _WORDS.parts
+
+
 def test_pipeline_stages(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontaminate", "mix", "tokens"]
     copies = corpus_pipeline.mix(spark, docs, "")
