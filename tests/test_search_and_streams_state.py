@@ -160,6 +160,32 @@ def test_reports_come_batches_after_the_request(make, spark, tmp_path):
     assert run((4, "executed", "too late", 2, 0)) == (audit, resolved)
 
 
+def test_many_requests_share_few_states(make, spark, tmp_path):
+    n = 40
+    governed = [(i, "T", i, dt.datetime(2024, 1, 1, 0, i), "LOW", False, "ready", True, "m", "a", None, []) for i in range(n)]
+    make(outcomes.GOVERNED, governed).write.parquet(str(tmp_path / "governed"))
+    told = [(i, "executed", "in time", dt.datetime(2024, 1, 1, 1, i)) for i in range(0, n, 2)]
+    told += [(i, "failed", "of a later day", dt.datetime(2024, 1, 1, 23)) for i in range(n)]
+    make("request_id bigint, status string, output string, executed_at timestamp", told).write.parquet(str(tmp_path / "arrived"))
+    arrived = spark.readStream.schema("request_id bigint, status string, output string, executed_at timestamp").parquet(str(tmp_path / "arrived"))
+    accepted = outcomes.accepted_reports(outcomes.follow_governed(spark, str(tmp_path)), arrived, 4, buckets=3)
+    before = spark.conf.get(outcomes.PROVIDER_CONF)
+    spark.conf.set(outcomes.PROVIDER_CONF, outcomes.ROCKSDB)
+    try:
+        stream = accepted.writeStream.option("checkpointLocation", str(tmp_path / "waits")).trigger(availableNow=True).start(str(tmp_path / "out"), "parquet", "append")
+        stream.awaitTermination()
+    finally:
+        spark.conf.set(outcomes.PROVIDER_CONF, before)
+    # A report of what came after the time-out takes no place of one in time and keeps no request from timing out.
+    rows = spark.read.schema(accepted.schema).parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["request_id"], r["status"], r["executed_at"].hour) for r in rows) == [(i, *(("timeout", 4) if i % 2 else ("executed", 1))) for i in range(n)]
+    assert max(m.numRowsTotal for m in _state_rows(stream)) <= 3
+
+
+def _state_rows(stream):
+    return [s for p in stream.recentProgress for s in p.stateOperators]
+
+
 def test_reports_are_ordered_as_structs_are():
     rows = [(5, None, "x"), (5, "a", None), (5, "a", "b"), (4, "z", "z"), (5, None, None)]
     assert max(rows, key=outcomes._order) == (5, "a", "b") and min(rows, key=outcomes._order) == (4, "z", "z")
