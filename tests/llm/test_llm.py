@@ -287,6 +287,16 @@ def test_quality_rules(docs, none):
     assert quality_rules.judge(none).count() == 0
 
 
+def test_quality_rules_of_any_number_of_languages(spark):
+    from pyspark.sql import functions as F
+
+    n = quality_rules.BROADCAST_LANGUAGES + 50
+    text = F.concat(F.repeat(F.lit("plain words of a text "), 10), F.col("id").cast("string"))
+    many = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"), F.nullif(F.concat(F.lit("l"), "id"), F.lit("l7")).alias("lang"))
+    apart = quality_rules.judge(many, least_reference=0)
+    assert apart.agg(F.count("*"), F.count("word_distance"), F.round(F.max("word_distance"), 6), F.sum("n_words")).first() == (n, n, 0.0, 51 * n)
+
+
 def test_licenses(spark, none):
     mit = next(t for n, t in licenses.KNOWN if n == "MIT" and "Permission" in t)
     rows = [
