@@ -4,7 +4,10 @@ Exact: the log vectors are read once, however many queries there are. Queries up
 ``block_bytes`` go to every task, which keeps the k best of its rows for each of them.
 More queries are cut into blocks, and blocks and parts of the logs meet as a grid: one
 shuffle brings each part's rows to each block, queries first, so that a task holds one
-block of queries and their running best rows while the log rows stream past.
+block of queries and their running best rows while the log rows stream past. A log row
+travels once for each block, so a block of the grid is never made smaller than
+``CELL_BYTES``, however few bytes of queries may go to every task. Logs with the same
+vector are scored once, as their newest row; their k newest rows join the result.
 
 Index: logs in lists around centroids. The centroids are fitted on a bounded sample;
 every log is in the list of its nearest one. A query looks into the lists of its
@@ -31,6 +34,10 @@ from faultline.session import cut_lineage
 # are rounded before they are ranked: equal vectors then tie exactly.
 SIMILARITY_DIGITS = 9
 BLOCK_BYTES, QUERY_CHUNK = 16 << 20, 512
+#: Least size of a block of the grid, queries and their best rows; a log row is copied once for each block.
+CELL_BYTES = 16 << 20
+#: Least rows of a part of the logs that meets the blocks, as each part gives out k rows for every query.
+PART_ROWS = 4096
 #: Vectors that the centroids of an index are fitted on, at most, and the rounds of that fit.
 SAMPLE_ROWS, FIT_ROUNDS = 20_000, 12
 LISTS = 64
@@ -167,14 +174,17 @@ def _meet(queries: DataFrame, logs: DataFrame, k: int) -> DataFrame:
     """Hits of queries (cell, id, micros, embedding) and logs (cell, id, micros, embedding) that share a cell."""
     columns = ["cell", "is_log", "id", "micros", "embedding"]
     both = queries.withColumn("is_log", F.lit(False)).select(columns).unionByName(logs.withColumn("is_log", F.lit(True)).select(columns))
-    return both.repartition("cell").sortWithinPartitions("cell", "is_log").mapInArrow(_along_the_grid(k), _HIT)
+    # The work grows with products of rows, not with bytes, so the number of tasks is given: it is not to be coalesced.
+    tasks = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return both.repartition(tasks, "cell").sortWithinPartitions("cell", "is_log").mapInArrow(_along_the_grid(k), _HIT)
 
 
 def _grid(asked: DataFrame, sizes: list, logs: DataFrame, k: int, block_bytes: int) -> DataFrame:
-    """Hits of all queries; ``asked``: lead, dim, embedding, cutoff; ``sizes``: (dim, number of queries)."""
+    """Hits of all queries; ``asked``: lead, dim, embedding, cutoff; ``sizes``: (dim, number of queries). Counts the logs."""
     tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = {dim: max(1, -(-n * (8 * dim + 24 * k) // block_bytes)) for dim, n in sizes}
-    parts = {dim: max(1, tasks // b) for dim, b in blocks.items()}
+    blocks = {dim: max(1, -(-n * (8 * dim + 24 * k) // max(block_bytes, CELL_BYTES))) for dim, n in sizes}
+    most = -(-logs.count() // PART_ROWS)
+    parts = {dim: max(1, min(tasks // b, most)) for dim, b in blocks.items()}
     of = lambda numbers: F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
     n_blocks, n_parts = (F.try_element_at(of(numbers), F.col("dim")) for numbers in (blocks, parts))
     cell = lambda block, part: F.xxhash64("dim", block.cast("bigint"), part.cast("bigint"))
@@ -217,10 +227,27 @@ def nearest(logs: DataFrame, queries: DataFrame, k: int = 10, block_bytes: int =
     same = ["embedding", "cutoff", "dim"]
     asked = cut_lineage(known.select(same).distinct().withColumn("lead", F.monotonically_increasing_id()))
     sizes = [(r["dim"], r["count"]) for r in asked.groupBy("dim").count().collect()]
-    hits = _ranked(_grid(asked, sizes, rows, k, block_bytes), k).withColumnRenamed("query_id", "lead")
+    vectors, members = _by_vector(rows, k)
+    groups = _ranked(_grid(asked, sizes, vectors, k, block_bytes), k).select(F.col("query_id").alias("lead"), F.col("log_id").alias("first"), "similarity", "rank")
+    hits = groups.join(members, "first").where(F.col("place") <= k + 1 - F.col("rank"))
+    hits = hits.join(asked.select("lead", "cutoff"), "lead").where(F.col("micros") >= F.col("cutoff"))
+    hits = _ranked(hits.select(F.col("lead").alias("query_id"), "log_id", "micros", "similarity"), k).withColumnRenamed("query_id", "lead")
     return known.join(asked, same).select("query_id", "lead").join(hits, "lead").drop("lead")
 
 
+def _by_vector(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The newest row of each vector, and the k newest rows of each with their place (first: the newest one's log_id).
+
+    Rows of one vector tie in similarity, so those that a query takes are among the k
+    newest of the k vectors that rank first by their newest row; of the r-th of these,
+    which r - 1 rows precede, among the k + 1 - r newest. Starts a job that writes the rows.
+    """
+    newest = Window.partitionBy(F.xxhash64("embedding"), "embedding").orderBy(F.desc("micros"), "log_id")
+    kept = rows.withColumn("place", F.row_number().over(newest)).where(F.col("place") <= k)
+    kept = cut_lineage(kept.withColumn("first", F.first("log_id").over(newest)))
+    return kept.where(F.col("place") == 1).select("log_id", "micros", "embedding"), kept.select("first", "place", "log_id", "micros")
+
+
 # -- Index
 
 
