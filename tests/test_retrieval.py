@@ -234,3 +234,39 @@ def test_many_queries_read_the_vectors_once(make):
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, nearest.nearest(rows, asked, 3).collect()))
     plan = many._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and plan.count("timestamp#") <= 4  # one scan of the logs, whatever the blocks
+
+
+# The grid of many queries
+
+
+def _logs_sent(monkeypatch) -> list:
+    sent, meet = [], nearest._meet
+    monkeypatch.setattr(nearest, "_meet", lambda queries, logs, k: sent.append(logs.count()) or meet(queries, logs, k))
+    return sent
+
+
+def test_a_log_travels_once_however_small_the_blocks_are(make, monkeypatch):
+    rng = np.random.default_rng(3)
+    logs = make("log_id bigint, timestamp timestamp_ntz, embedding array<float>", [(i, dt.datetime(2024, 1, 1), [float(x) for x in rng.normal(size=4)]) for i in range(60)])
+    queries = logs.select(F.col("log_id").alias("query_id"), "embedding")
+    sent = _logs_sent(monkeypatch)
+    found = nearest.nearest(logs, queries, 3, block_bytes=256).collect()
+    assert sent == [60]
+    assert len(found) == 180 and all(r["query_id"] == r["log_id"] for r in found if r["rank"] == 1)
+
+
+def test_logs_of_one_vector_are_scored_once(make, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = [[float(x) for x in v] for v in rng.integers(-2, 3, size=(9, 3))]
+    rows = [(i, dt.datetime(2024, 1, 1, 0, int(rng.integers(0, 30))), vectors[int(rng.integers(0, 9)) if i % 2 else 0]) for i in range(300)]
+    asked = [(q, vectors[q % 9], dt.datetime(2024, 1, 1, 0, (0, 20, 29)[q % 3])) for q in range(27)]
+    logs = make("log_id bigint, timestamp timestamp_ntz, embedding array<float>", rows)
+    queries = make("query_id bigint, embedding array<float>, cutoff timestamp_ntz", asked)
+    hit = lambda block: sorted((r["query_id"], r["rank"], r["log_id"]) for r in nearest.nearest(logs, queries, 6, block_bytes=block).collect())
+    plain = hit(1 << 20)  # every log against every query
+    monkeypatch.setattr(nearest, "CELL_BYTES", 8 * 3 + 24 * 6)  # a block for each query
+    monkeypatch.setattr(nearest, "PART_ROWS", 2)
+    sent = _logs_sent(monkeypatch)
+    assert hit(1) == plain
+    different, asked_once = len({tuple(r[2]) for r in rows}), len({(tuple(v), c) for _, v, c in asked})
+    assert sent == [different * asked_once]
