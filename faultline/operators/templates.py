@@ -13,7 +13,6 @@ could join, see :func:`grow_templates` and :func:`similar_templates`.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -81,12 +80,13 @@ def template_jaccard(logs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 class LeafIndex:
-    """Templates of one leaf in the order they were made, found by their rare tokens.
+    """Templates of one leaf in the order they were made, found by few tokens.
 
-    A template of n tokens that is similar to a line shares at least ``threshold * n``
-    tokens with it, so one of any n - ceil(threshold * n) + 1 of its tokens is among
-    them. Each template is listed under that many of its tokens, those met in the fewest
-    lines so far; a line looks up its own tokens and compares only what it finds.
+    A line of a tokens and a similar template of b tokens share at least
+    ``least_shared(a, b, threshold)``, so one of any a - least_shared + 1 tokens of the
+    line is among them. Templates are listed by token and size; for each size a line
+    looks up that many of its tokens, those with the shortest lists, and compares only
+    what it finds.
     """
 
     def __init__(self, threshold: float) -> None:
@@ -94,14 +94,22 @@ class LeafIndex:
         self.patterns: list[str] = []
         self.sets: list[frozenset] = []
         self._numbers: dict[str, int] = {}
-        self._under: dict[int, list[int]] = {}
-        self._met: Counter = Counter()
+        self._under: dict[int, dict[int, list[int]]] = {}  # by size, then by token
+
+    def candidates(self, tokens: frozenset) -> list[int]:
+        """Numbers of the templates that a line of ``tokens`` is compared with, ascending."""
+        probes, found = tokens or (NO_TOKEN,), set()
+        for size, lists in self._under.items():
+            shared = least_shared(len(probes), size, self.threshold)
+            if shared <= min(len(probes), size):
+                short = sorted((lists.get(t, ()) for t in probes), key=len)
+                found.update(*short[: len(probes) - shared + 1])
+        return sorted(found)
 
     def match(self, tokens: frozenset) -> str | None:
         """The most similar template, the first of equals; None below the threshold."""
-        self._met.update(tokens)
         best, score = -1, 0.0
-        for i in sorted({i for t in tokens or (NO_TOKEN,) for i in self._under.get(t, ())}):
+        for i in self.candidates(tokens):
             other = self.sets[i]
             shared = len(tokens & other)
             union = len(tokens) + len(other) - shared
@@ -117,14 +125,16 @@ class LeafIndex:
         number = self._numbers[pattern] = len(self.patterns)
         self.patterns.append(pattern)
         self.sets.append(tokens)
-        for t in sorted(tokens, key=lambda t: (self._met[t], t))[: listed_tokens(len(tokens), self.threshold)] or (NO_TOKEN,):
-            self._under.setdefault(t, []).append(number)
+        listed = tokens or (NO_TOKEN,)
+        lists = self._under.setdefault(len(listed), {})
+        for t in listed:
+            lists.setdefault(t, []).append(number)
         return True
 
 
-def listed_tokens(size: int, threshold: float) -> int:
-    """How many tokens of a template list it in an index for ``threshold``."""
-    return min(size, size - math.ceil(threshold * size - 1e-9) + 1)
+def least_shared(a: int, b: int, threshold: float) -> int:
+    """How many tokens sets of ``a`` and ``b`` tokens share at least if they reach ``threshold``."""
+    return max(1, math.ceil(threshold * (a + b) / (1 + threshold) - 1e-9))
 
 
 def _made_by_leaf(threshold: float):
@@ -183,21 +193,30 @@ def similar_templates(sets: DataFrame, templates: DataFrame, threshold: float) -
     """set_id and template (similarity, age, pattern) of every pair of one leaf that reaches ``threshold``.
 
     ``sets``: set_id, leaf, tokens; ``templates``: leaf, first_id, own_pattern,
-    own_tokens. Templates are listed under their rarest tokens as in :class:`LeafIndex`,
-    here by the number of the leaf's templates with that token; the join is on leaf and
-    token. A pair may be found under several tokens and is listed as often.
+    own_tokens. The tokens of both are put in one order, by the number of the leaf's
+    templates with them; tokens of no template come first. Sets of a and b tokens that
+    share s of them also share one of the first a - s + 1 and b - s + 1, so only those
+    meet, in a join on leaf, token and size of the template. A pair may be found under
+    several tokens and is listed as often.
     """
     padded = lambda c: F.when(F.size(c) > 0, F.col(c)).otherwise(F.array(F.lit(NO_TOKEN).cast("bigint")))
-    each = templates.select("leaf", "first_id", "own_pattern", "own_tokens", F.explode(padded("own_tokens")).alias("token"))
-    met = each.withColumn("met", F.count("*").over(Window.partitionBy("leaf", "token")))
-    ranked = met.groupBy("leaf", "first_id", "own_pattern", "own_tokens").agg(
+    least = lambda a, b: F.greatest(F.ceil(threshold * (a + b) / (1 + threshold) - 1e-9), F.lit(1)).cast("int")
+    n, own = F.col("n"), ["leaf", "first_id", "own_pattern", "own_tokens", "n"]
+    each = templates.withColumn("n", F.size(padded("own_tokens"))).select(*own, F.explode(padded("own_tokens")).alias("token"))
+    met = each.groupBy("leaf", "token").agg(F.count("*").alias("met"), F.collect_set("n").alias("sizes"))  # lengths of the leaf's templates
+    ranked = each.join(met, ["leaf", "token"]).groupBy(*own).agg(
         F.array_sort(F.collect_list(F.struct("met", "token"))).alias("by_rarity"))  # the tokens of one line
-    n = F.size("own_tokens")
-    listed = F.greatest(F.least(n, n - F.ceil(threshold * n - 1e-9) + 1), F.lit(1)).cast("int")
-    index = ranked.select("leaf", "first_id", "own_pattern", "own_tokens", F.explode(F.slice(F.col("by_rarity.token"), F.lit(1), listed)).alias("token"))
-    probes = sets.select("set_id", "leaf", "tokens", F.explode(padded("tokens")).alias("token"))
-    sizes = (F.size("tokens") >= threshold * n) & (n >= threshold * F.size("tokens"))
-    scored = probes.join(index, ["leaf", "token"]).where(sizes).withColumn("similarity", _similarity(F.col("tokens"), F.col("own_tokens")))
+    fewest = F.greatest(F.ceil(threshold * n - 1e-9), F.lit(1)).cast("int")
+    index = ranked.select(*own, F.posexplode(F.slice("by_rarity.token", F.lit(1), n - fewest + 1)).alias("place", "token"))
+    known = sets.select("set_id", "leaf", "tokens", F.size(padded("tokens")).alias("a"), F.explode(padded("tokens")).alias("token")).join(
+        met, ["leaf", "token"]).groupBy("set_id", "leaf", "tokens", "a").agg(
+        F.array_sort(F.collect_list(F.struct("met", "token", "sizes"))).alias("known"))  # the tokens of one line
+    by_size = known.select("*", F.explode(F.array_distinct(F.flatten("known.sizes"))).alias("n")).withColumn("least", least(F.col("a"), n))
+    by_size = by_size.where(F.col("least") <= F.least(F.size("known"), n))
+    first = F.slice("known", F.lit(1), F.size("known") - F.col("least") + 1)
+    probes = by_size.select("set_id", "leaf", "tokens", "n", "least", F.explode(F.filter(first, lambda k: F.array_contains(k["sizes"], F.col("n")))["token"]).alias("token"))
+    met_by = probes.join(index, ["leaf", "token", "n"]).where(F.col("place") <= n - F.col("least"))
+    scored = met_by.withColumn("similarity", _similarity(F.col("tokens"), F.col("own_tokens")))
     return scored.where((F.col("similarity") >= threshold) & (F.col("similarity") > 0)).select(
         "set_id", F.struct("similarity", (-F.col("first_id")).alias("age"), F.col("own_pattern").alias("pattern")).alias("template"))
 

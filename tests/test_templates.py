@@ -121,3 +121,52 @@ def test_table_merge_adds_frequencies(make):
     assert sorted(merged.select(key).collect()) == sorted(templates.template_table(whole).select(key).collect())
     assert templates.template_stats(merged).first()[:2] == (3, 5)
     assert templates.template_stats(merged.limit(0)).first()[:2] == (0, 0)
+
+
+@pytest.mark.parametrize("threshold", [0.2, 1 / 3, 0.5, 0.75, 1.0])
+def test_join_finds_what_a_scan_finds(make, threshold):
+    rng = random.Random(2)
+    some = lambda: sorted(rng.sample(range(1, 25), rng.randint(0, 8)))
+    sets, known = [("a", some()) for _ in range(150)] + [("b", some())], [("a", some()) for _ in range(80)]
+    schema = "leaf string, first_id bigint, own_pattern string, own_tokens array<bigint>"
+    found = templates.similar_templates(
+        make("set_id string, leaf string, tokens array<bigint>", [(str(k), leaf, s) for k, (leaf, s) in enumerate(sets)]),
+        make(schema, [(leaf, k, f"p{k}", s) for k, (leaf, s) in enumerate(known)]), threshold)
+    model = set()
+    for k, (leaf, s) in enumerate(sets):
+        for i, (other, t) in enumerate(known):
+            similarity = len(set(s) & set(t)) / len(set(s) | set(t)) if s or t else 1.0
+            if leaf == other and similarity >= threshold:
+                model.add((str(k), similarity, -i, f"p{i}"))
+    assert {(r.set_id, *r.template) for r in found.collect()} == model
+
+
+def test_common_tokens_do_not_bring_lines_together():
+    """A line is compared with the templates that share a rare token, however many share the common ones."""
+    index = templates.LeafIndex(0.5)
+    for k in range(1000):
+        index.add(f"p{k}", frozenset([1, 2, 3, 4, 5, 6, 7, 100 + k]))
+    assert [len(index.candidates(frozenset([5, 6, 7, token]))) for token in (100, 1099, 1100)] == [1, 1, 0]
+
+
+def test_join_makes_few_rows_of_common_tokens(make):
+    """As above for the join: what it gives before the similarity is checked grows with the lines."""
+    n = 300
+    known = make("leaf string, first_id bigint, own_pattern string, own_tokens array<bigint>",
+                 [("a", k, f"p{k}", [1, 2, 3, 4, 5, 6, 7, 100 + k]) for k in range(n)])
+    sets = make("set_id string, leaf string, tokens array<bigint>", [(str(k), "a", [5, 6, 7, 100 + k]) for k in range(n)])
+    seen = sets.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(size):
+        seen.add(1)
+        return size
+
+    found = templates.similar_templates(sets, known, 0.5).count()
+    plain, similarity = templates._similarity, lambda a, b: F.coalesce(counted(F.size(a) + F.size(b)) * 0, F.lit(0)) + plain(a, b)
+    templates._similarity = similarity
+    try:
+        assert templates.similar_templates(sets, known, 0.5).count() == found == n
+    finally:
+        templates._similarity = plain
+    assert n <= seen.value <= 4 * n
