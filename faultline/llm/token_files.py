@@ -12,10 +12,12 @@ id and the text are not read, whatever their names.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import zlib
-from array import array
-from collections.abc import Iterable, Iterator
+from codecs import charmap_decode
+from collections.abc import Iterator
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -70,41 +72,39 @@ class WordTokenizer:
 
     def _ask(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
         """The ids of words from the tokenizer itself."""
-        if self.parts:
-            merge, left = self.tokenizer.model.tokenize, []
-            for word in words:
-                letters = _latin(word)
-                if letters is None:
-                    left.append(word)
-                else:
-                    into[word] = array("I", [t.id for t in merge(letters)]).tobytes()
-            words = left
         for k in range(0, len(words), 2000):
-            part = [w.decode("utf-8", "replace") for w in words[k : k + 2000]]
-            starts = np.cumsum([0, *(len(w) + 1 for w in part)])
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            at = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
-            cuts = (4 * np.searchsorted(at, starts)).tolist()
-            data = ids.tobytes()
-            into.update(zip(words[k : k + 2000], [data[x:y] for x, y in zip(cuts[:-1], cuts[1:])]))
-
-    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+            asked = words[k : k + 2000]
+            part = b" ".join(asked).decode("utf-8", "replace").split(" ")
+            if self.parts:
+                latin = [t.isalpha() and (t.isascii() or not _FAR(t)) for t in part]
+                letters = " ".join(compress(part, latin)).lower().encode()
+                merge = self.tokenizer.model.tokenize
+                ids = [[t.id for t in merge(w)] for w in charmap_decode(letters, "strict", _BYTE_CHARACTERS)[0].split()]
+                into.update(zip(compress(asked, latin), _cut(list(chain.from_iterable(ids)), [0, *accumulate(map(len, ids))])))
+                asked, part = ([x for x, known in zip(xs, latin) if not known] for xs in (asked, part))
+            if asked:
+                got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+                starts = np.cumsum([0, *(len(w) + 1 for w in part)])
+                into.update(zip(asked, _cut(got.ids, np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts).tolist())))
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words that are not known, and of the parts that they were put together from."""
         known, fresh = self.known, {}
         if not self.parts:
             self._ask(list(words), fresh)
             return fresh
         whole, pairs = set(), []
+        marked = b" ".join(words).lower()
+        specials = [s for s in self.special if s in marked]
         for word in words:
-            plain, low = word.isascii(), word.lower()
-            special = any(s in low for s in self.special)
-            low = low if plain else word
+            plain = word.isascii()
+            low = word.lower() if plain else word
             stem = low.rstrip(_MARKS)
-            marks = low[len(stem) :]
-            if special:
+            if stem == word or specials and any(s in word.lower() for s in specials):
                 whole.add(word)
-            elif (plain or marks) and marks[:1] != b"'" and (stem[-1:].isalnum() if plain else stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha()):
+                continue
+            marks = low[len(stem) :]
+            if (plain or marks) and marks[:1] != b"'" and (stem[-1:].isalnum() if plain else stem.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha()):
                 pairs.append((word, stem, marks))
                 whole.add(stem)
                 if marks:
@@ -141,29 +141,25 @@ class WordTokenizer:
         return out
 
 
-def _latin(word: bytes) -> str | None:
-    """A word of Latin letters in lower case as byte characters; None for any other.
+def _cut(ids: list[int], starts: list[int]) -> list[bytes]:
+    """The ids between each two ``starts`` as bytes."""
+    data, cuts = np.array(ids, "<u4").tobytes(), [4 * x for x in starts]
+    return [data[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+
+
+def _byte_characters() -> str:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, others from 256 on.
 
-    Such letters are composed, and each has a lower case of its own, but for a capital
-    I with a dot.
+    The space is left alone; words stand one space apart.
     """
-    text = word.decode("utf-8", "replace")
-    if not text.isalpha():
-        return None
-    if text.isascii():
-        return text.lower()
-    if max(text) > "\u017f" or "\u0130" in text:
-        return None
-    return text.lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-
-
-def _byte_characters() -> dict[int, int]:
-    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, others from 256 on."""
     plain = [b for b in range(256) if 0x21 <= b <= 0x7E or b >= 0xA1 and b != 0xAD]
-    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
+    others = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
+    return "".join(" " if b == 0x20 else chr(others.get(b, b)) for b in range(256))
 
 
 _BYTE_CHARACTERS = _byte_characters()
+#: Finds a letter that is not Latin, or not composed, or without a lower case of its own (a capital I with a dot).
+_FAR = re.compile("[^\0-\u012f\u0131-\u017f]").search
 
 
 def _cuts_at_marks(spec: dict) -> bool:
