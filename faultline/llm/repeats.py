@@ -33,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import gram_hashes, mix, own_id, prefix_hash, row_place, signed, slices, sliding_argmin, span_hash, squeeze, unsqueeze, word_spans
+from faultline.llm.common import gram_hashes, mix, own_id, prefix_hash, row_place, signed, slices, sliding_min, span_hash, squeeze, unsqueeze, window_hashes, word_spans
 from faultline.session import cut_lineage, remove_stages
 
 FREQUENT = 16
 GROUP_BYTES = 600_000
 _SEEN = 100_000
+_MARK_BITS = 18
 
 Place = tuple[int, int, int]
 
@@ -91,10 +92,7 @@ class Bytes:
         return len(content)
 
     def grams(self, content: bytes) -> np.ndarray:
-        if len(content) < self.gram:
-            return np.zeros(0, np.uint64)
-        starts = np.arange(len(content) - self.gram + 1)
-        return span_hash(prefix_hash(np.frombuffer(content, np.uint8)), starts, starts + self.gram)
+        return window_hashes(np.frombuffer(content, np.uint8), self.gram)
 
     def cuts(self, content: bytes) -> None:
         return None
@@ -109,19 +107,29 @@ class Bytes:
 Unit = Words | Bytes
 
 
-def spans(unit: Unit, content: bytes, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window and number of windows of each span, and the hash of its minimiser."""
+def marks(frequent: np.ndarray) -> np.ndarray:
+    """For the low bits of a gram: whether a frequent gram may have them."""
+    out = np.zeros(1 << _MARK_BITS, bool)
+    out[frequent & np.uint64(len(out) - 1)] = True
+    return out
+
+
+def spans(unit: Unit, content: bytes, frequent: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window and number of windows of each span, and the place of its minimiser in the order of grams; ``marked``: see ``marks``."""
     grams = unit.grams(content)
     width = unit.window - unit.gram + 1
     if len(grams) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     order = grams >> np.uint64(1)
     if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-        order = np.where(frequent[at] == grams, order | np.uint64(1 << 63), order)
-    place = sliding_argmin(order, width)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return first, np.diff(np.append(first, len(place))), grams[place[first]]
+        maybe = np.flatnonzero(marked[grams & np.uint64(len(marked) - 1)])
+        at = np.minimum(np.searchsorted(frequent, grams[maybe]), len(frequent) - 1)
+        order[maybe[frequent[at] == grams[maybe]]] |= np.uint64(1 << 63)
+    least = sliding_min(order, width)
+    # the minimiser is another one where a smaller gram comes in or the leftmost smallest one goes out
+    starts = (least[1:] < least[:-1]) | (order[: len(least) - 1] == least[:-1])
+    first = np.flatnonzero(np.concatenate([[True], starts]))
+    return first, np.diff(np.append(first, len(least))), least[first]
 
 
 class FirstSeen:
@@ -181,6 +189,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
 
     counts = _run(sample, "gram long", list_grams).groupBy("gram").count().where(F.col("count") >= FREQUENT).select("gram")
     frequent = np.sort(counts.toArrow()["gram"].to_numpy().astype(np.int64).view(np.uint64))  # bounded by the sample
+    marked = marks(frequent)
 
     def minimisers(parts):
         seen = FirstSeen()
@@ -190,7 +199,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
                 content = unit.content(t)
                 if seen.later(hashlib.sha256(content).digest(), (i, tie)):
                     continue
-                first, _, keys = spans(unit, content, frequent)
+                first, _, keys = spans(unit, content, frequent, marked)
                 for column, x in zip(out, (signed(keys), np.full(len(first), i), np.full(len(first), tie), first)):
                     column.append(x)
             key, *place = (np.concatenate(x) for x in out)
@@ -217,7 +226,7 @@ def find_repeats(rows: DataFrame, unit: Unit, settle: Callable, total: int) -> t
             for i, tie, t, firsts in zip(*(c.to_pylist() for c in part.columns)):
                 content, wanted = unit.content(unsqueeze(t)), set(firsts)
                 cuts = unit.cuts(content)
-                for first, n, key in zip(*(x.tolist() for x in spans(unit, content, frequent))):
+                for first, n, key in zip(*(x.tolist() for x in spans(unit, content, frequent, marked))):
                     if first not in wanted:
                         continue
                     string = unit.piece(content, cuts, first, n + unit.window - 1)

@@ -33,7 +33,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     cover = np.concatenate([ones, twos])
     triples = (padded[cover] * top + padded[cover + 1]) * top + padded[cover + 2]
-    order = np.argsort(triples, kind="stable")
+    order = np.argsort(triples)  # equal triples get one name, in whatever order they are
     ordered = triples[order]
     names = np.empty(len(cover), np.int64)
     names[order] = np.cumsum(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -46,7 +46,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     width = len(cover) + 2
     rest = np.arange(0, n, 3)
     by_next = padded[rest] * width + rank[rest + 1]
-    order = np.argsort(by_next, kind="stable")
+    order = np.argsort(by_next)  # no two are equal
     rest, by_next = rest[order], by_next[order]
     # a suffix of the rest against those of the cover: by one symbol and a rank, or by two and a rank
     first, second = sample[sample % 3 == 1], sample[sample % 3 == 2]
