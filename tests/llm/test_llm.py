@@ -297,6 +297,18 @@ def test_quality_rules_of_any_number_of_languages(spark):
     assert apart.agg(F.count("*"), F.count("word_distance"), F.round(F.max("word_distance"), 6), F.sum("n_words")).first() == (n, n, 0.0, 51 * n)
 
 
+@pytest.mark.parametrize("chars", [quality_rules.BROADCAST_CHARS, 0])
+def test_quality_rules_count_words_of_every_length(spark, monkeypatch, chars):
+    monkeypatch.setattr(quality_rules, "BROADCAST_CHARS", chars)
+    text = lambda words: " ".join(f"{words} number{k:02}" for k in range(30))
+    usual, other = text("kirjoittaa luetella valmistaa kuljettaa"), text("omenapuu sadekuuro lentokone tietokone")
+    rows = [(k, usual, "fi") for k in range(50)] + [(50, other, "fi"), (51, other, None)]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    assert all(r.word_distance < 0.1 and r.kept for k, r in got.items() if k != 50)
+    assert got[50].word_distance > quality_rules.WORD_BOUND and not got[50].kept
+
+
 def test_licenses(spark, none):
     mit = next(t for n, t in licenses.KNOWN if n == "MIT" and "Permission" in t)
     rows = [
